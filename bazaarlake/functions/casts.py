@@ -62,5 +62,5 @@ def safe_date(c: Column) -> Column:
 
 
 def present(c: Column) -> Column:
-    """Neither NULL nor blank."""
-    return c.isNotNull() & (strip(text(c)) != "")
+    """Neither NULL nor blank: some character is not white space."""
+    return c.isNotNull() & text(c).rlike(f"[^{WHITESPACE}]")

@@ -118,10 +118,14 @@ class QualityGateError(RuntimeError):
         super().__init__(f"{len(failures)} data tests failed: " + "; ".join(lines))
 
 
-def enforce(tests: dict[str, TableTests], table: Callable[[str], DataFrame]) -> list:
+def enforce(
+    tests: dict[str, TableTests],
+    table: Callable[[str], DataFrame],
+    warn_only: tuple[tuple[str, str, str], ...] = (),
+) -> list:
     """Run the tests and raise if any row breaks one; returns the result rows (one per test)."""
-    results = run_tests(tests, table).collect()
-    failures = [r for r in results if r.failures > 0]
+    results = run_tests(tests, table, warn_only).collect()
+    failures = [r for r in results if r.status == "ERROR"]
     if failures:
         raise QualityGateError(failures)
     return results

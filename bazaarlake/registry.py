@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle
+from .contracts import ENTITIES
 from .operators import checks, joins
 from .operators.dedup import latest_per_key
 from .operators.rank import global_rank
-from .plans import gold, marts, quality, reports, silver
-from .session import configure, materialize
+from .plans import gold, ingest, marts, quality, reports, silver
+from .session import configure, materialize, scratch_path
 from .sources import sample
+from .sources.tables import Lake
 from .streaming import events as stream_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,56 +35,72 @@ class Tables:
         self.spark = configure(spark)
         self.sf_dir = sf_dir
 
+    @cache
     def bronze(self, entity: str) -> DataFrame:
         return sample.BRONZE[entity](self.spark, self.sf_dir)
 
+    @cache
     def log(self, name: str) -> DataFrame:
         return sample.AUDIT[name](self.spark, self.sf_dir)
 
+    @cache
     def events(self) -> DataFrame:
         return sample.pipeline_events(self.spark, self.sf_dir)
 
+    @cache
     def silver(self, entity: str) -> DataFrame:
         return silver.trusted(entity, self.bronze(entity))
 
+    @cache
     def heavy(self, entity: str, key: str) -> list:
         """Hot keys, looked up on the raw rows with one pass over one column."""
-        return joins.heavy_keys(self.bronze(entity), key)
+        return joins.heavy_keys(sample.key_column(self.spark, self.sf_dir, entity, key), key)
 
+    @cache
     def dim_date(self) -> DataFrame:
         return gold.dim_date_covering(self.silver("orders"))
 
+    @cache
     def dim_customer(self) -> DataFrame:
         return gold.dim_customer(self.silver("customers"), self.silver("orders"), _AS_OF)
 
+    @cache
     def dim_product(self) -> DataFrame:
         return gold.dim_product(self.silver("products"))
 
+    @cache
     def dim_seller(self) -> DataFrame:
         return gold.dim_seller(self.silver("sellers"))
 
+    @cache
     def fact_orders(self) -> DataFrame:
         return gold.fact_orders(self.silver("orders"), self.silver("order_items"), self.silver("payments"))
 
+    @cache
     def fact_order_items(self) -> DataFrame:
         return gold.fact_order_items(
             self.silver("order_items"), self.silver("orders"), self.heavy("order_items", "order_id")
         )
 
+    @cache
     def fact_payments(self) -> DataFrame:
         return gold.fact_payments(self.silver("payments"), self.silver("orders"), self.heavy("payments", "order_id"))
 
+    @cache
     def mart_sales_performance(self) -> DataFrame:
         return marts.mart_sales_performance(
             self.fact_order_items(), self.dim_product(), self.heavy("order_items", "product_id")
         )
 
+    @cache
     def mart_product_performance(self) -> DataFrame:
         return marts.mart_product_performance(self.fact_order_items(), self.dim_product())
 
+    @cache
     def mart_customer_rfm(self) -> DataFrame:
         return marts.mart_customer_rfm(self.fact_orders(), self.dim_customer())
 
+    @cache
     def mart_pipeline_quality(self) -> DataFrame:
         return marts.mart_pipeline_quality(
             self.log("pipeline_run_log"),
@@ -90,16 +109,23 @@ class Tables:
             self.log("file_upload_log"),
         )
 
+    @cache
+    def ingested(self) -> Lake:
+        """A lake filled by the ingest job from CSV files that hold the raw tables."""
+        base = scratch_path(self.spark, "ingest")
+        sample.land(self.spark, self.sf_dir, f"{base}/landing")
+        lake = Lake(self.spark, f"{base}/lake")
+        ingest.ingest_landing(lake, f"{base}/landing", "sample", _AS_OF)
+        return lake
+
+    @cache
     def written(self, name: str) -> DataFrame:
         """A table of any layer, written once to the shared folder, as the build jobs do.
 
         Used by queries that read one table several times.
         """
-        cache = self.__dict__.setdefault("_written", {})
-        if name not in cache:
-            lazy = self.silver(name.removeprefix("silver_")) if name.startswith("silver_") else getattr(self, name)()
-            cache[name] = materialize(lazy, name)
-        return cache[name]
+        lazy = self.silver(name.removeprefix("silver_")) if name.startswith("silver_") else getattr(self, name)()
+        return materialize(lazy, name)
 
 
 def _register(name: str, sql: str | None = None):
@@ -207,6 +233,45 @@ _tables(
     where batch_id not in ('payments_initial', 'payments_vouchers')""",
 )
 
+# --- file ingest --------------------------------------------------------------------------------
+
+_tables(
+    "bronze_ingest",
+    lambda t: ingest.read_log(t.ingested(), "file_upload_log")
+    .groupBy("table_name", "upload_status")
+    .agg(F.sum("row_count").alias("rows_loaded"), F.max("error_message").alias("error_message")),
+    " union all ".join(
+        f"select '{e}' as table_name, 'SUCCESS' as upload_status, count(*) as rows_loaded, "
+        f"cast(null as varchar) as error_message from bronze_{e}"
+        for e in sample.BRONZE
+    )
+    + f""" union all select 'orders', 'DUPLICATE', 0, '{ingest.DUPLICATE_MESSAGE}'
+    union all select 'orders', 'FAILED', 0, 'Missing required columns: [''order_id'', ''customer_id'', ''order_status'',
+ ''order_purchase_timestamp'', ''order_approved_at'', ''order_delivered_carrier_date'',
+ ''order_delivered_customer_date'', ''order_estimated_delivery_date'']'""".replace(",\n ", ", "),
+)
+for _entity in ("orders", "order_items", "products"):
+    # An empty cell of a CSV file is a missing value.
+    _columns = ", ".join(f"nullif({c}, '') as {c}" for c in ENTITIES[_entity].required_columns)
+    _tables(
+        f"ingested_{_entity}",
+        lambda t, e=_entity: ingest.read_bronze(t.ingested(), e).select(
+            *ENTITIES[e].required_columns, "batch_id", "source_system"
+        ),
+        f"select {_columns}, '{_entity}_good' as batch_id, 'olist' as source_system from bronze_{_entity}",
+    )
+_tables(
+    "ingest_checks",
+    lambda t: ingest.read_log(t.ingested(), "data_quality_log")
+    .groupBy("table_name", "check_name", "check_status")
+    .agg((F.count(F.lit(1)) > 0).alias("seen")),
+    """select e as table_name, c as check_name, 'PASS' as check_status, true as seen
+      from unnest(['orders', 'customers', 'order_items', 'products', 'payments', 'sellers']) t(e),
+        unnest(['file_not_empty', 'schema_validation', 'row_count_check']) s(c)
+    union all select 'orders', 'duplicate_file_check', 'FAILED', true
+    union all select 'orders', 'file_validation', 'FAILED', true""",
+)
+
 # --- operational queries ------------------------------------------------------------------------
 
 _tables("bronze_row_count", lambda t: reports.total_rows(t.bronze("orders")), "select count(*) as total_rows from bronze_orders")
@@ -217,8 +282,8 @@ _tables(
 )
 _tables(
     "rows_per_source_file",
-    lambda t: reports.rows_per(t.bronze("order_items"), "source_file_name", largest_first=True),
-    "select source_file_name, count(*) as row_count from bronze_order_items group by source_file_name",
+    lambda t: reports.rows_per(t.bronze("payments"), "source_file_name", largest_first=True),
+    "select source_file_name, count(*) as row_count from bronze_payments group by source_file_name",
 )
 _tables(
     "lineage_sample",

@@ -7,10 +7,13 @@ row of every sample table is used.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import bronze_schema
+from ..contracts import ENTITIES, bronze_schema
+from .landing import copy_files
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -19,20 +22,45 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def read_spread(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
+    """Columns of a table, dealt out by a hash of the whole row when it has fewer files than cores.
+
+    The sample files hold one row group each, which one task reads alone. A table of many files is
+    read as it is.
+    """
+    df = read(spark, sf_dir, table).select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, *columns) if len(df.inputFiles()) < cores else df
+
+
+# Sample columns behind the keys of the raw tables that may be hot.
+_KEY_COLUMNS = {
+    ("order_items", "order_id"): ("lineitem", "l_orderkey"),
+    ("order_items", "product_id"): ("lineitem", "l_partkey"),
+    ("payments", "order_id"): ("orders", "o_orderkey"),
+}
+
+
+def key_column(spark: SparkSession, sf_dir: str, entity: str, key: str) -> DataFrame:
+    """One key of a raw table alone, so that only its column is read."""
+    table, column = _KEY_COLUMNS[entity, key]
+    return read(spark, sf_dir, table).select(F.col(column).cast("string").alias(key))
+
+
 def _txt(sql: str) -> Column:
     return F.expr(f"cast({sql} as string)")
 
 
-def _raw(df: DataFrame, entity: str, columns: dict[str, Column], batch: Column, clock: Column) -> DataFrame:
+def _raw(df: DataFrame, entity: str, columns: dict[str, Column], batch: str, clock: Column) -> DataFrame:
     """Select the landed columns, then stamp the lineage of ``batch`` ingested at ``clock``."""
-    name = F.concat(batch, F.lit(".csv"))
+    name = f"{batch}.csv"
     lineage = {
-        "batch_id": batch,
-        "run_id": F.concat(F.lit("run_"), batch),
+        "batch_id": F.lit(batch),
+        "run_id": F.lit(f"run_{batch}"),
         "source_system": F.lit("olist"),
-        "source_file_name": name,
-        "gcs_uri": F.concat(F.lit(f"raw/source=olist/table={entity}/batch_id="), batch, F.lit("/"), name),
-        "file_hash": F.sha2(batch, 256),
+        "source_file_name": F.lit(name),
+        "gcs_uri": F.lit(f"raw/source=olist/table={entity}/batch_id={batch}/{name}"),
+        "file_hash": F.lit(hashlib.sha256(batch.encode()).hexdigest()),
         "load_date": F.to_date(clock).cast("string"),
         "ingestion_timestamp": clock.cast("timestamp"),
     }
@@ -42,7 +70,7 @@ def _raw(df: DataFrame, entity: str, columns: dict[str, Column], batch: Column,
 
 def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries per order: first as created, a day later with its final status."""
-    src = read(spark, sf_dir, "orders")
+    src = read_spread(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     key = _txt("o_orderkey")
     placed = _txt("o_orderdate")
     # Orders of low priority come from guests, who are not in the customer file.
@@ -74,14 +102,27 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_delivered_customer_date": F.expr(f"if(o_orderstatus = 'F', {days_later('o_orderkey % 40')}, '10:56:33')"),
     }
     clock = F.col("o_orderdate")
-    return _raw(src, "orders", first, F.lit("orders_initial"), clock).unionByName(
-        _raw(src, "orders", final, F.lit("orders_final"), F.expr("o_orderdate + interval 1 day"))
+    return _raw(src, "orders", first, "orders_initial", clock).unionByName(
+        _raw(src, "orders", final, "orders_final", F.expr("o_orderdate + interval 1 day"))
     )
 
 
 def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines; the sample repeats some (order, line) pairs."""
-    src = read(spark, sf_dir, "lineitem")
+    src = read_spread(
+        spark,
+        sf_dir,
+        "lineitem",
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        "l_quantity",
+        "l_extendedprice",
+        "l_tax",
+        "l_returnflag",
+        "l_shipdate",
+    )
     columns = {
         "order_id": _txt("l_orderkey"),
         # A line number written as a float cannot be read as an integer.
@@ -92,12 +133,12 @@ def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "price": _txt("cast(l_extendedprice as decimal(18,2)) * cast(0.005 as decimal(4,3))"),
         "freight_value": _txt("cast(l_extendedprice as decimal(18,2)) * cast(0.0005 as decimal(5,4))"),
     }
-    return _raw(src, "order_items", columns, F.expr("concat('items_', l_linestatus)"), F.col("l_shipdate"))
+    return _raw(src, "order_items", columns, "items_full", F.col("l_shipdate"))
 
 
 def bronze_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payment per order, corrected two days later; urgent orders also use a voucher."""
-    src = read(spark, sf_dir, "orders")
+    src = read_spread(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     kind = F.expr(
         "case o_orderpriority when '1-URGENT' then 'CREDIT_CARD' when '2-HIGH' then ' boleto' "
         "when '3-MEDIUM' then 'Voucher ' when '4-NOT SPECIFIED' then 'not_defined' else 'debit_card' end"
@@ -120,10 +161,10 @@ def bronze_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     clock = F.col("o_orderdate")
     return (
-        _raw(src, "payments", first, F.lit("payments_initial"), clock)
-        .unionByName(_raw(src, "payments", fixed, F.lit("payments_fixed"), F.expr("o_orderdate + interval 2 days")))
+        _raw(src, "payments", first, "payments_initial", clock)
+        .unionByName(_raw(src, "payments", fixed, "payments_fixed", F.expr("o_orderdate + interval 2 days")))
         .unionByName(
-            _raw(src.where("o_orderpriority = '1-URGENT'"), "payments", voucher, F.lit("payments_vouchers"), clock)
+            _raw(src.where("o_orderpriority = '1-URGENT'"), "payments", voucher, "payments_vouchers", clock)
         )
     )
 
@@ -150,8 +191,8 @@ def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     # The old list knows no product of size 50.
     old = {**new, "product_category_name": F.lit("legacy")}
-    return _raw(src, "products", old, F.lit("products_old"), F.expr(_OLD)).unionByName(
-        _raw(src, "products", new, F.lit("products_new"), F.expr(_NEW))
+    return _raw(src, "products", old, "products_old", F.expr(_OLD)).unionByName(
+        _raw(src, "products", new, "products_new", F.expr(_NEW))
     )
 
 
@@ -167,7 +208,7 @@ def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "customer_city": F.expr("concat('  ', n_name, chr(9))"),
         "customer_state": F.expr("concat(lower(c_mktsegment), ' ')"),
     }
-    return _raw(src, "customers", columns, F.lit("customers_full"), F.expr(_NEW))
+    return _raw(src, "customers", columns, "customers_full", F.expr(_NEW))
 
 
 def bronze_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,7 +222,7 @@ def bronze_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "seller_city": F.expr("upper(s_name)"),
         "seller_state": F.expr("concat(' ', lower(n_name))"),
     }
-    return _raw(src, "sellers", columns, F.lit("sellers_full"), F.expr(_NEW))
+    return _raw(src, "sellers", columns, "sellers_full", F.expr(_NEW))
 
 
 BRONZE = {
@@ -194,6 +235,33 @@ BRONZE = {
 }
 
 
+# --- landing zone -------------------------------------------------------------------------------
+
+
+def land(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Write the raw tables as uploaded CSV files below ``root``.
+
+    Besides one good upload per entity there is a copy of the orders (a duplicate) and a file of
+    nations sent as orders (missing columns).
+    """
+
+    def folder(entity: str, upload: str) -> str:
+        return f"tmp/source=olist/table={entity}/upload_id={upload}"
+
+    def write(df: DataFrame, entity: str, upload: str) -> None:
+        # Rows per file keep every file below the size limit; blanks around values are kept.
+        writer = df.write.option("header", "true").option("maxRecordsPerFile", 400_000)
+        writer = writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+        writer.csv(f"{root}/{folder(entity, upload)}")
+
+    for entity, build in BRONZE.items():
+        write(build(spark, sf_dir).select(*ENTITIES[entity].required_columns), entity, f"{entity}_good")
+    write(read(spark, sf_dir, "nation"), "orders", "orders_wrong")
+    files = spark.read.format("binaryFile").load(f"{root}/{folder('orders', 'orders_good')}").select("path")
+    again = F.replace(F.col("path"), F.lit("/upload_id=orders_good/"), F.lit("/upload_id=orders_repeat/"))
+    copy_files(files.select(F.col("path").alias("source"), again.alias("target")))
+
+
 # --- audit logs and events ----------------------------------------------------------------------
 # Every event becomes a row of exactly one log. Some rows have no time, and no log covers all days,
 # so the joins of the quality mart have unmatched sides.

@@ -71,9 +71,11 @@ class Lake:
             self.path(layer, table)
         )
 
-    def delete_batches(self, layer: str, table: str, batch_ids: list[str], by: tuple[str, ...]) -> None:
+    def delete_batches(
+        self, layer: str, table: str, batch_ids: list[str], by: tuple[str, ...], schema: T.StructType
+    ) -> None:
         """Remove all rows of some batches; only the partitions that hold them are rewritten."""
-        df = self.read(layer, table)
+        df = self.read(layer, table, schema)
         doomed = F.coalesce(F.col("batch_id").isin(batch_ids), F.lit(False))
         state = df.groupBy(*by).agg(F.count_if(doomed).alias("gone"), F.count_if(~doomed).alias("kept"))
         # One row per touched partition.
