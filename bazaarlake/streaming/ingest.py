@@ -32,6 +32,7 @@ def start_ingest(
     spark = lake.spark
     paths = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", options.max_files)
