@@ -9,24 +9,16 @@ MAX_HEAVY_KEYS = 64
 SALTS = 64
 
 
-def heavy_keys(df: DataFrame, key: str, share: float = 0.002, tracked: int = 10_000) -> list:
-    """Values of ``key`` that own more than ``share`` of the rows; at most 64 of them.
+def heavy_keys(df: DataFrame, *keys: str, share: float = 0.002, tracked: int = 10_000) -> dict[str, list]:
+    """For each key column, the values that own more than ``share`` of the rows; at most 64 of them.
 
-    One pass over one column: every task keeps a bounded frequency sketch, and only the top
+    One pass over the key columns: every task keeps a bounded frequency sketch, and only the top
     entries reach the driver. The answer steers the balance of a join, never its result.
     """
-    top = (
-        df.where(F.col(key).isNotNull())
-        .agg(
-            F.expr(f"approx_top_k(`{key}`, {MAX_HEAVY_KEYS}, {tracked})").alias("top"),
-            F.count(F.lit(1)).alias("total"),
-        )
-        .select(F.explode("top").alias("entry"), "total")
-        .where(F.col("entry.count") > F.col("total") * share)
-        .where(F.col("entry.count") > 1)
-        .select("entry.item")
-    )
-    return [row[0] for row in top.collect()]
+    sketches = [F.expr(f"approx_top_k(`{k}`, {MAX_HEAVY_KEYS}, {tracked})").alias(k) for k in keys]
+    row = df.select(*keys).agg(F.count(F.lit(1)).alias("total"), *sketches).first()
+    least = max(row.total * share, 1)
+    return {k: [e["item"] for e in row[k] or [] if e["item"] is not None and e["count"] > least] for k in keys}
 
 
 def lookup_join(left: DataFrame, right: DataFrame, key: str, heavy: list | None = None, salts: int = SALTS) -> DataFrame:

@@ -99,7 +99,7 @@ def _mark_duplicates(checked: DataFrame, known: DataFrame) -> DataFrame:
     )
     seen = known.join(F.broadcast(contents.select("file_hash")), "file_hash", "left_semi").distinct()
     contents = contents.join(seen.withColumn("known", F.lit(True)), "file_hash", "left")
-    heavy = heavy_keys(checked, "file_hash")
+    heavy = heavy_keys(checked, "file_hash")["file_hash"]
     marked = lookup_join(checked, contents, "file_hash", heavy)
     duplicate = F.coalesce(F.col("known"), F.lit(False)) | F.coalesce(F.col("seq") > F.col("first_good"), F.lit(False))
     return marked.withColumn("duplicate", has_bytes & duplicate).drop("known", "first_good")
@@ -119,10 +119,10 @@ def verdicts(
     present = sorted({r.tmp_file_path for r in requests} & landed)
     # Header and hash of each file; the largest header sets how many cells a row may have.
     prints = materialize(landing.fingerprints(spark, root, present, options.max_bytes), "fingerprints")
-    readable = prints.where(F.col("header").isNotNull())
-    names = [r.tmp_file_path for r in readable.select("tmp_file_path").collect()]
-    width = (readable.agg(F.max(F.size("header"))).first()[0] or 1) + 1
-    if names:
+    readable = prints.where(F.col("header").isNotNull()).select("tmp_file_path", F.size("header").alias("width")).collect()
+    if readable:
+        width = max(r.width for r in readable) + 1
+        names = [r.tmp_file_path for r in readable]
         counts = landing.row_counts(landing.read_cells(spark, root, names, width), width)
     else:
         counts = spark.createDataFrame([], "tmp_file_path string, row_count long, widest int")
@@ -191,33 +191,35 @@ def results(verdict: DataFrame) -> DataFrame:
 # --- raw rows -----------------------------------------------------------------------------------
 
 
-def bronze_rows(
-    spark: SparkSession, root: str, verdict: DataFrame, entity: str, ingest_id: str
-) -> DataFrame | None:
-    """Rows of the good files of one entity with lineage, bound by header name; None without files."""
-    good = verdict.where((F.col("status") == "success") & (F.col("table_name") == entity))
-    chosen = good.select("tmp_file_path", F.size("header").alias("width")).collect()
-    if not chosen:
-        return None
-    required = ENTITIES[entity].required_columns
-    places = F.transform(F.array(*[F.lit(c) for c in required]), lambda c: F.array_position("header", c).cast("int"))
-    # One short row per file of the batch, so at most ``max_files`` rows.
-    lineage = good.select(
-        "tmp_file_path",
-        places.alias("places"),
-        "batch_id",
-        "run_id",
-        "source_system",
-        "source_file_name",
-        F.col("target_uri").alias("gcs_uri"),
-        "file_hash",
-        "load_date",
-        F.col("at").alias("ingestion_timestamp"),
-    )
-    cells = landing.read_cells(spark, root, [r.tmp_file_path for r in chosen], max(r.width for r in chosen))
-    stamped = cells.join(F.broadcast(lineage), "tmp_file_path")
-    columns = [F.get("cells", F.col("places")[i] - 1).alias(c) for i, c in enumerate(required)]
-    return stamped.select(*columns, *LINEAGE, F.lit(ingest_id).alias("ingest_id"))
+def bronze_rows(spark: SparkSession, root: str, verdict: DataFrame, ingest_id: str) -> dict[str, DataFrame]:
+    """Rows of the good files with lineage, bound by header name, for each entity that has some."""
+    good = verdict.where(F.col("status") == "success")
+    # Paths of at most ``max_files`` files.
+    chosen: dict[str, list] = {}
+    for row in good.select("table_name", "tmp_file_path", F.size("header").alias("width")).collect():
+        chosen.setdefault(row.table_name, []).append(row)
+    found = {}
+    for entity, picked in chosen.items():
+        required = ENTITIES[entity].required_columns
+        names = F.array(*[F.lit(c) for c in required])
+        # One short row per file of the batch, so at most ``max_files`` rows.
+        lineage = good.where(F.col("table_name") == entity).select(
+            "tmp_file_path",
+            F.transform(names, lambda c: F.array_position("header", c).cast("int")).alias("places"),
+            "batch_id",
+            "run_id",
+            "source_system",
+            "source_file_name",
+            F.col("target_uri").alias("gcs_uri"),
+            "file_hash",
+            "load_date",
+            F.col("at").alias("ingestion_timestamp"),
+        )
+        cells = landing.read_cells(spark, root, [r.tmp_file_path for r in picked], max(r.width for r in picked))
+        stamped = cells.join(F.broadcast(lineage), "tmp_file_path")
+        columns = [F.get("cells", F.col("places")[i] - 1).alias(c) for i, c in enumerate(required)]
+        found[entity] = stamped.select(*columns, *LINEAGE, F.lit(ingest_id).alias("ingest_id"))
+    return found
 
 
 # --- audit logs ---------------------------------------------------------------------------------
@@ -442,10 +444,8 @@ def _ingest(
     verdict = materialize(verdicts(spark, root, requests, known, ingest_id, as_of, options), "verdicts")
     routed = verdict.where(F.col("exists") & F.col("zone").isNotNull())
     landing.copy_files(routed.select(F.col("tmp_uri").alias("source"), F.col("target_uri").alias("target")))
-    for entity in ENTITIES:
-        rows = bronze_rows(spark, root, verdict, entity, ingest_id)
-        if rows is not None:
-            lake.replace_partitions("bronze", f"bronze_{entity}", rows, BRONZE_PARTITIONS)
+    for entity, rows in bronze_rows(spark, root, verdict, ingest_id).items():
+        lake.replace_partitions("bronze", f"bronze_{entity}", rows, BRONZE_PARTITIONS)
     for log, entries in audit_rows(verdict, ingest_id, root, options.skip_step).items():
         lake.replace_partitions("audit", log, entries, LOG_PARTITIONS)
     _write_events(lake, log_events(verdict, options), ingest_id)
@@ -454,13 +454,11 @@ def _ingest(
 
 def pending_requests(lake: Lake, root: str) -> list[UploadRequest]:
     """Requests for landed files that no log entry names yet, in path order."""
-    spark = lake.spark
-    landed = landing.requests_frame(spark, [landing.request_for(p) for p in landing.list_files(spark, root)])
-    landed = landed.withColumn("source_file_name", files.file_name(F.col("tmp_file_path")))
-    done = read_log(lake, "file_upload_log").select("batch_id", "table_name", "source_file_name").distinct()
-    open_files = landed.join(done, ["batch_id", "table_name", "source_file_name"], "left_anti")
-    rows = open_files.select("source_system", "table_name", "tmp_file_path", "batch_id").orderBy("tmp_file_path")
-    return [UploadRequest(*row) for row in rows.collect()]
+    paths = [(p,) for p in landing.list_files(lake.spark, root)]
+    landed = landing.describe(lake.spark.createDataFrame(paths, "tmp_file_path string"))
+    named = ["batch_id", "table_name", "source_file_name"]
+    done = read_log(lake, "file_upload_log").select(*named).distinct()
+    return landing.collect_requests(landed.join(done, named, "left_anti"))
 
 
 def ingest_landing(

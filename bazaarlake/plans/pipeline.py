@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..contracts import AUDIT_LOGS, ENTITIES
 from ..operators.checks import TableTests
+from ..session import scratch_scope
 from ..sources.tables import Lake
 from . import gold, ingest, marts, quality, silver
 
@@ -68,12 +69,13 @@ def build_gold(
         **by_day,
         cluster_by=("product_category_name",),
     )
-    write(
-        "mart_product_performance",
-        marts.mart_product_performance(table("fact_order_items"), table("dim_product")),
-        cluster_by=("product_category_name",),
-        spread_by=("product_id",),
-    )
+    with scratch_scope(lake.spark):
+        write(
+            "mart_product_performance",
+            marts.mart_product_performance(table("fact_order_items"), table("dim_product")),
+            cluster_by=("product_category_name",),
+            spread_by=("product_id",),
+        )
     write(
         "mart_customer_rfm",
         marts.mart_customer_rfm(table("fact_orders"), table("dim_customer")),

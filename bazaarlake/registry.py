@@ -10,15 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle
-from .contracts import ENTITIES
+from .contracts import ENTITIES, MAX_FILE_BYTES, SOURCE_SYSTEMS
+from .functions.files import file_name, path_value
 from .operators import checks, joins
 from .operators.dedup import latest_per_key
 from .operators.rank import global_rank
 from .plans import gold, ingest, marts, quality, reports, silver
 from .session import configure, materialize, scratch_path
-from .sources import sample
-from .sources.tables import Lake
+from .sources import landing, sample
+from .sources.tables import Lake, union_by_name
 from .streaming import events as stream_events
+from .streaming.ingest import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,9 +54,9 @@ class Tables:
         return silver.trusted(entity, self.bronze(entity))
 
     @cache
-    def heavy(self, entity: str, key: str) -> list:
-        """Hot keys, looked up on the raw rows with one pass over one column."""
-        return joins.heavy_keys(sample.key_column(self.spark, self.sf_dir, entity, key), key)
+    def heavy(self, entity: str) -> dict[str, list[str]]:
+        """Hot keys by key column, looked up on the raw rows."""
+        return sample.hot_keys(self.spark, self.sf_dir, entity)
 
     @cache
     def dim_date(self) -> DataFrame:
@@ -79,17 +81,17 @@ class Tables:
     @cache
     def fact_order_items(self) -> DataFrame:
         return gold.fact_order_items(
-            self.silver("order_items"), self.silver("orders"), self.heavy("order_items", "order_id")
+            self.silver("order_items"), self.silver("orders"), self.heavy("order_items")["order_id"]
         )
 
     @cache
     def fact_payments(self) -> DataFrame:
-        return gold.fact_payments(self.silver("payments"), self.silver("orders"), self.heavy("payments", "order_id"))
+        return gold.fact_payments(self.silver("payments"), self.silver("orders"), self.heavy("payments")["order_id"])
 
     @cache
     def mart_sales_performance(self) -> DataFrame:
         return marts.mart_sales_performance(
-            self.fact_order_items(), self.dim_product(), self.heavy("order_items", "product_id")
+            self.fact_order_items(), self.dim_product(), self.heavy("order_items")["product_id"]
         )
 
     @cache
@@ -118,6 +120,23 @@ class Tables:
         ingest.ingest_landing(lake, f"{base}/landing", "sample", _AS_OF)
         return lake
 
+    @cache
+    def streamed(self) -> Lake:
+        """The same, filled by the streaming job."""
+        base = scratch_path(self.spark, "stream")
+        sample.land(self.spark, self.sf_dir, f"{base}/landing")
+        lake = Lake(self.spark, f"{base}/lake")
+        ingest_available(lake, f"{base}/landing", f"{base}/checkpoint", clock=lambda: _AS_OF)
+        return lake
+
+    @cache
+    def event_windows(self, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Windows of the event stream, as the streaming job leaves them."""
+        base = scratch_path(self.spark, "windows")
+        stream = build(sample.pipeline_event_stream(self.spark, self.sf_dir))
+        stream_events.keep_current(stream, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+        return self.spark.read.parquet(f"{base}/table")
+
     @cache
     def written(self, name: str) -> DataFrame:
         """A table of any layer, written once to the shared folder, as the build jobs do.
@@ -209,7 +228,7 @@ _tables(
         t.silver("order_items").select("order_id", "order_item_id", "product_id"),
         t.dim_product().select("product_id", "product_category_name"),
         "product_id",
-        t.heavy("order_items", "product_id"),
+        t.heavy("order_items")["product_id"],
     ),
     """select i.order_id, i.order_item_id, i.product_id, d.product_category_name
     from silver_order_items i left join dim_product d on i.product_id = d.product_id""",
@@ -224,15 +243,53 @@ _logs(
     """select upload_id, file_hash, upload_status from file_upload_log
     where file_hash in (select file_hash from file_upload_log where upload_status = 'SUCCESS')""",
 )
+
+
+def _after_delete(t: Tables) -> DataFrame:
+    lake = Lake(t.spark, scratch_path(t.spark, "delete"))
+    payments = t.bronze("payments").select("order_id", "payment_sequential", "batch_id", "payment_type")
+    lake.replace_partitions("bronze", "payments", payments, ("payment_type",))
+    gone = ["payments_initial", "payments_vouchers"]
+    lake.delete_batches("bronze", "payments", gone, ("payment_type",), payments.schema)
+    return lake.read("bronze", "payments", payments.schema)
+
+
 _tables(
     "batch_delete",
-    lambda t: t.bronze("payments")
-    .where(~F.col("batch_id").isin("payments_initial", "payments_vouchers"))
-    .select("order_id", "payment_sequential", "batch_id"),
-    """select order_id, payment_sequential, batch_id from bronze_payments
+    _after_delete,
+    """select order_id, payment_sequential, batch_id, payment_type from bronze_payments
     where batch_id not in ('payments_initial', 'payments_vouchers')""",
 )
 
+
+def _written_back(df: DataFrame, **layout) -> DataFrame:
+    lake = Lake(df.sparkSession, scratch_path(df.sparkSession, "layout"))
+    lake.overwrite("gold", "layout", df, **layout)
+    return lake.read("gold", "layout")
+
+
+_logs(
+    "day_partitioned_table",
+    lambda t: _written_back(
+        t.log("pipeline_run_log").withColumn("run_date", F.to_date("start_time")), day="run_date", cluster_by=("status",)
+    ),
+    "select *, cast(start_time as date) as run_date from pipeline_run_log",
+)
+_tables(
+    "clustered_table",
+    lambda t: _written_back(t.dim_product(), cluster_by=("product_category_name",), spread_by=("product_id",)),
+    "select * from dim_product",
+)
+_logs(
+    "added_column",
+    lambda t: union_by_name(
+        t.log("file_upload_log").where("upload_status <> 'SUCCESS'"),
+        t.log("file_upload_log").where("upload_status = 'SUCCESS'").drop("source_file_name"),
+    ).select("upload_id", "upload_status", "source_file_name"),
+    """select upload_id, upload_status, case when upload_status <> 'SUCCESS' then source_file_name end
+      as source_file_name from file_upload_log""",
+)
+
 # --- file ingest --------------------------------------------------------------------------------
 
 _tables(
@@ -260,6 +317,66 @@ for _entity in ("orders", "order_items", "products"):
         ),
         f"select {_columns}, '{_entity}_good' as batch_id, 'olist' as source_system from bronze_{_entity}",
     )
+_tables(
+    "stream_ingest",
+    lambda t: ingest.read_log(t.streamed(), "file_upload_log")
+    .groupBy("table_name", "upload_status")
+    .agg(F.sum("row_count").alias("rows_loaded")),
+    " union all ".join(
+        f"select '{e}' as table_name, 'SUCCESS' as upload_status, count(*) as rows_loaded from bronze_{e}"
+        for e in sample.BRONZE
+    )
+    + " union all select 'orders', 'DUPLICATE', 0 union all select 'orders', 'FAILED', 0",
+)
+_tables(
+    "path_metadata",
+    lambda t: t.bronze("orders")
+    .unionByName(t.bronze("products"), allowMissingColumns=True)
+    .select(
+        path_value(F.col("gcs_uri"), "source").alias("source"),
+        path_value(F.col("gcs_uri"), "table").alias("entity"),
+        path_value(F.col("gcs_uri"), "batch_id").alias("batch"),
+        path_value(F.col("gcs_uri"), "load_date").alias("load_day"),
+        file_name(F.col("gcs_uri")).alias("file_name"),
+    )
+    .groupBy("source", "entity", "batch", "load_day", "file_name")
+    .agg(F.count(F.lit(1)).alias("row_count")),
+    """select source, entity, batch, cast(null as varchar) as load_day, file_name, count(*) as row_count from (
+      select regexp_extract(gcs_uri, 'source=([^/]+)/', 1) as source,
+        regexp_extract(gcs_uri, 'table=([^/]+)/', 1) as entity,
+        regexp_extract(gcs_uri, 'batch_id=([^/]+)/', 1) as batch,
+        regexp_extract(gcs_uri, '([^/]+)$', 1) as file_name
+      from (select gcs_uri from bronze_orders union all select gcs_uri from bronze_products))
+    group by all""",
+)
+_register(
+    "upload_screening",
+    """with uploads as (
+      select case when p_brand = 'Brand#1' then 'other' else 'olist' end as source_system,
+        case when p_type = 'PROMO' then 'widgets' when p_type = 'SMALL' then 'sellers' else 'orders' end as table_name,
+        case when p_size = 2 then '' when p_size = 3 then p_name || '.txt'
+          else 'in box/' || p_name || ' (' || p_partkey || ').CSV' end as file_name,
+        (p_size - 1) * 3 as size_mb, substr(sha256(cast(p_partkey as varchar)), 1, 8) as short_hash
+      from part),
+    named as (
+      select *, 'ui_20020101_000000_' || short_hash as batch_id,
+        case when file_name = '' then 'uploaded_file_' || short_hash || '.csv'
+          else regexp_replace(regexp_replace(file_name, '^.*/', ''), '[^\pL\pN_.-]', '_', 'g') end as source_file_name,
+        case when source_system <> 'olist' then 'Only source_system=''olist'' is supported in v1.'
+          when table_name = 'widgets' then 'Unsupported table_name: widgets'
+          when file_name = '' then 'No file selected.'
+          when not lower(file_name) like '%.csv' then 'Only .csv files are allowed.'
+          when size_mb = 0 then 'Uploaded file is empty.'
+          when size_mb > 100 then 'File size exceeds 100 MB limit.' end as reason
+      from uploads)
+    select reason, source_file_name, batch_id, case when reason is null then 'tmp/source=olist/table=' || table_name
+      || '/upload_id=' || batch_id || '/' || source_file_name end as tmp_file_path
+    from named""",
+)(
+    lambda t: landing.screen_uploads(
+        sample.uploads(t.spark, t.sf_dir), F.lit(_AS_OF), SOURCE_SYSTEMS, tuple(ENTITIES), MAX_FILE_BYTES
+    ).select("reason", "source_file_name", "batch_id", "tmp_file_path")
+)
 _tables(
     "ingest_checks",
     lambda t: ingest.read_log(t.ingested(), "data_quality_log")
@@ -507,42 +624,42 @@ _tables(
     where order_item_id is null or price < 5""",
 )
 
-# --- event counters and alerts (the same functions run on a stream) -----------------------------
+# --- event counters and alerts, over a table and as streaming jobs ------------------------------
 
 _FIVE = "time_bucket(interval 5 minute, timestamp)"
 _WINDOW_SQL = f"{_FIVE} as window_start, {_FIVE} + interval 5 minute as window_end"
 
-_logs(
-    "event_counts_5min",
-    lambda t: stream_events.event_counts(t.events()),
-    f"""select {_WINDOW_SQL}, case event when 'pipeline_completed' then 'ecom_pipeline_success_count'
-      when 'file_rejected' then 'ecom_rejected_file_count' else 'ecom_duplicate_file_count' end as metric, count(*) as n
+_WINDOWED: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
+    "event_counts_5min": (
+        stream_events.event_counts,
+        f"""select {_WINDOW_SQL}, case event when 'pipeline_completed' then 'pipeline_success_count'
+      when 'file_rejected' then 'rejected_file_count' else 'duplicate_file_count' end as metric, count(*) as n
     from pipeline_events where event in ('pipeline_completed', 'file_rejected', 'duplicate_file_detected')
     group by all""",
-)
-_logs(
-    "failure_alerts",
-    lambda t: stream_events.failure_alerts(t.events()),
-    f"select {_WINDOW_SQL}, count(*) as n from pipeline_events where event = 'pipeline_failed' group by all",
-)
-_logs(
-    "server_error_alerts",
-    lambda t: stream_events.server_error_alerts(t.events()),
-    f"select {_WINDOW_SQL}, count(*) as n from pipeline_events where status >= 500 group by all",
-)
-_logs(
-    "rejection_alerts",
-    lambda t: stream_events.rejection_alerts(t.events(), threshold=1),
-    f"""select {_WINDOW_SQL}, count(*) as n from pipeline_events where event = 'file_rejected'
+    ),
+    "failure_alerts": (
+        stream_events.failure_alerts,
+        f"select {_WINDOW_SQL}, count(*) as n from pipeline_events where event = 'pipeline_failed' group by all",
+    ),
+    "server_error_alerts": (
+        stream_events.server_error_alerts,
+        f"select {_WINDOW_SQL}, count(*) as n from pipeline_events where status >= 500 group by all",
+    ),
+    "rejection_alerts": (
+        lambda events: stream_events.rejection_alerts(events, threshold=1),
+        f"""select {_WINDOW_SQL}, count(*) as n from pipeline_events where event = 'file_rejected'
     group by all having count(*) > 1""",
-)
-_logs(
-    "ops_series",
-    lambda t: stream_events.ops_series(t.events()),
-    f"""select {_WINDOW_SQL}, count(*) as requests, count(*) filter (status >= 500) as errors,
+    ),
+    "ops_series": (
+        stream_events.ops_series,
+        f"""select {_WINDOW_SQL}, count(*) as requests, count(*) filter (status >= 500) as errors,
       quantile_disc(duration_ms, 0.95) as p95_duration_ms
     from pipeline_events group by all""",
-)
+    ),
+}
+for _name, (_build, _sql) in _WINDOWED.items():
+    _logs(_name, lambda t, f=_build: f(t.events()), _sql)
+    _logs(f"stream_{_name}", lambda t, f=_build: t.event_windows(f), _sql)
 
 # --- dashboard tiles ----------------------------------------------------------------------------
 

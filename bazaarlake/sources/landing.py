@@ -53,10 +53,26 @@ def list_files(spark: SparkSession, root: str, zone: str = "tmp") -> list[str]:
     return sorted(unquote(p).split(base, 1)[1] for p in lister.inputFiles())
 
 
-def request_for(path: str) -> UploadRequest:
-    """Request of a file from the ``source=/table=/upload_id=`` folders of its path."""
-    folders = dict(part.split("=", 1) for part in path.split("/") if "=" in part)
-    return UploadRequest(folders.get("source", ""), folders.get("table", ""), path, folders.get("upload_id", ""))
+def describe(paths: DataFrame) -> DataFrame:
+    """Requests from the ``source=/table=/upload_id=`` folders of landed paths."""
+    path = F.col("tmp_file_path")
+
+    def part(name: str) -> Column:
+        return F.coalesce(files.path_value(path, name), F.lit("")).alias(name)
+
+    return paths.select(
+        part("source").alias("source_system"),
+        part("table").alias("table_name"),
+        path,
+        part("upload_id").alias("batch_id"),
+        files.file_name(path).alias("source_file_name"),
+    )
+
+
+def collect_requests(described: DataFrame) -> list[UploadRequest]:
+    """Requests in path order."""
+    rows = described.select("source_system", "table_name", "tmp_file_path", "batch_id").orderBy("tmp_file_path")
+    return [UploadRequest(*row) for row in rows.collect()]
 
 
 def requests_frame(spark: SparkSession, requests: Iterable[UploadRequest]) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import ENTITIES, bronze_schema
+from ..operators.joins import heavy_keys
 from .landing import copy_files
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -33,18 +34,18 @@ def read_spread(spark: SparkSession, sf_dir: str, table: str, *columns: str) ->
     return df.repartition(cores, *columns) if len(df.inputFiles()) < cores else df
 
 
-# Sample columns behind the keys of the raw tables that may be hot.
+# Sample columns behind those keys of the raw tables that may be hot.
 _KEY_COLUMNS = {
-    ("order_items", "order_id"): ("lineitem", "l_orderkey"),
-    ("order_items", "product_id"): ("lineitem", "l_partkey"),
-    ("payments", "order_id"): ("orders", "o_orderkey"),
+    "order_items": ("lineitem", {"order_id": "l_orderkey", "product_id": "l_partkey"}),
+    "payments": ("orders", {"order_id": "o_orderkey"}),
 }
 
 
-def key_column(spark: SparkSession, sf_dir: str, entity: str, key: str) -> DataFrame:
-    """One key of a raw table alone, so that only its column is read."""
-    table, column = _KEY_COLUMNS[entity, key]
-    return read(spark, sf_dir, table).select(F.col(column).cast("string").alias(key))
+def hot_keys(spark: SparkSession, sf_dir: str, entity: str) -> dict[str, list[str]]:
+    """Hot keys of a raw table, from one pass over the key columns of the sample."""
+    table, columns = _KEY_COLUMNS[entity]
+    found = heavy_keys(read(spark, sf_dir, table), *columns.values())
+    return {key: [str(v) for v in found[column]] for key, column in columns.items()}
 
 
 def _txt(sql: str) -> Column:
@@ -371,7 +372,17 @@ AUDIT = {
 
 def pipeline_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structured log events of the ingest service."""
-    return read(spark, sf_dir, "events").select(
+    return _as_events(read(spark, sf_dir, "events"))
+
+
+def pipeline_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events as a stream of files."""
+    schema = read(spark, sf_dir, "events").schema
+    return _as_events(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+
+
+def _as_events(events: DataFrame) -> DataFrame:
+    return events.select(
         F.expr("cast(ts as timestamp)").alias("timestamp"),
         F.expr(
             "case event_type when 'purchase' then 'pipeline_completed' when 'signup' then 'pipeline_started' "
@@ -382,3 +393,17 @@ def pipeline_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("concat('batch_', user_id)").alias("batch_id"),
         F.expr("cast(cast(value as decimal(18,2)) * 1000 as bigint)").alias("duration_ms"),
     )
+
+
+def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files offered for upload, one per part, many of them not acceptable."""
+    return read(spark, sf_dir, "part").select(
+        F.expr("if(p_brand = 'Brand#1', 'other', 'olist')").alias("source_system"),
+        F.expr("if(p_type = 'PROMO', 'widgets', lower(if(p_type = 'SMALL', 'sellers', 'orders')))").alias("table_name"),
+        F.expr(
+            "case when p_size = 2 then cast(null as string) when p_size = 3 then concat(p_name, '.txt') "
+            "else concat('in box/', p_name, ' (', p_partkey, ').CSV') end"
+        ).alias("file_name"),
+        F.expr("cast(p_size - 1 as bigint) * 3 * 1024 * 1024").alias("size_bytes"),
+        F.expr("sha2(cast(p_partkey as string), 256)").alias("file_hash"),
+    )

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import delete_path
+
 
 class Lake:
     """Tables below one root folder, addressed as ``<layer>/<table>``."""
@@ -17,14 +19,10 @@ class Lake:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
-    def _folder(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        return folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), folder
-
     def exists(self, layer: str, table: str) -> bool:
-        fs, folder = self._folder(self.path(layer, table))
-        return fs.exists(folder)
+        sc = self.spark.sparkContext
+        folder = sc._jvm.org.apache.hadoop.fs.Path(self.path(layer, table))
+        return folder.getFileSystem(sc._jsc.hadoopConfiguration()).exists(folder)
 
     def read(self, layer: str, table: str, schema: T.StructType | None = None) -> DataFrame:
         """Read a table; with a schema, a table nobody wrote yet is empty."""
@@ -87,8 +85,7 @@ class Lake:
             self.replace_partitions(layer, table, df.where(here.isin(keys)).where(~doomed), by)
         for row in touched:
             if row.kept == 0:
-                fs, folder = self._folder(self.path(layer, table) + "".join(f"/{c}={row[c]}" for c in by))
-                fs.delete(folder, True)
+                delete_path(self.spark, self.path(layer, table) + "".join(f"/{c}={row[c]}" for c in by))
 
     def add_column(self, layer: str, table: str, name: str, kind: T.DataType) -> DataFrame:
         """The table with one more column, NULL in the rows written before."""

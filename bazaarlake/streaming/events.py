@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 # Counted events and the name of their counter; the alert window and threshold.
 COUNTERS = {
-    "pipeline_completed": "ecom_pipeline_success_count",
-    "file_rejected": "ecom_rejected_file_count",
-    "duplicate_file_detected": "ecom_duplicate_file_count",
+    "pipeline_completed": "pipeline_success_count",
+    "file_rejected": "rejected_file_count",
+    "duplicate_file_detected": "duplicate_file_count",
 }
 FAILURE_EVENT = "pipeline_failed"
 REJECTION_EVENT = "file_rejected"
@@ -72,3 +73,22 @@ def ops_series(events: DataFrame, window: str = WINDOW, lateness: str = "10 minu
         )
         .select(*_bounds(), "requests", "errors", "p95_duration_ms")
     )
+
+
+def keep_current(windows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Run a windowed stream over all events that arrived; the table at ``path`` holds every window so far.
+
+    Each micro-batch replaces the table with the complete result (one row per window and label), so a
+    repeated batch leaves it right.
+    """
+
+    def replace(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    return (
+        windows.writeStream.outputMode("complete")
+        .foreachBatch(replace)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

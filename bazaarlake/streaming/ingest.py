@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans import ingest
 from ..plans.ingest import IngestOptions
+from ..session import scratch_scope
 from ..sources import landing
 from ..sources.tables import Lake
 
@@ -37,13 +38,14 @@ def start_ingest(
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", options.max_files)
         .load(f"{root}/tmp")
-        .select(landing.relative(F.col("path"), root).alias("path"))
+        .select(landing.relative(F.col("path"), root).alias("tmp_file_path"))
     )
 
     def process(batch: DataFrame, epoch: int) -> None:
-        new = [landing.request_for(row.path) for row in batch.orderBy("path").collect()]
+        new = landing.collect_requests(landing.describe(batch))
         if new:
-            ingest.ingest_batch(lake, root, new, f"{name}-{epoch}", clock(), options)
+            with scratch_scope(spark):
+                ingest.ingest_batch(lake, root, new, f"{name}-{epoch}", clock(), options)
             if after_batch:
                 after_batch(lake)
 
@@ -61,4 +63,5 @@ def ingest_available(lake: Lake, root: str, checkpoint: str, name: str = "stream
     clock = options.get("clock") or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     settings = options.get("options") or IngestOptions()
     stamp = clock()
-    ingest.ingest_landing(lake, root, f"{name}-left-{stamp:%Y%m%d%H%M%S}", stamp, settings)
+    with scratch_scope(lake.spark):
+        ingest.ingest_landing(lake, root, f"{name}-left-{stamp:%Y%m%d%H%M%S}", stamp, settings)

@@ -56,9 +56,11 @@ def test_global_rank_of_few_or_no_values(spark, rows):
 
 def test_heavy_keys(spark):
     df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    assert joins.heavy_keys(df, "k") == ["hot"]
-    assert joins.heavy_keys(df.where("k <> 'hot'"), "k") == []
-    assert joins.heavy_keys(df.where("false"), "k") == []
+    assert joins.heavy_keys(df, "k") == {"k": ["hot"]}
+    assert joins.heavy_keys(df.where("k <> 'hot'"), "k") == {"k": []}
+    assert joins.heavy_keys(df.where("false"), "k") == {"k": []}
+    nulls = df.select(F.when(F.col("k") == "hot", F.col("k")).alias("k"), F.lit(1).alias("n"))
+    assert joins.heavy_keys(nulls, "k", "n") == {"k": ["hot"], "n": [1]}
 
 
 def test_lookup_join_with_hot_key(spark, rows):
@@ -68,7 +70,7 @@ def test_lookup_join_with_hot_key(spark, rows):
     )
     right = left.where("k is not null and (k = 'hot' or id < 500)").select("k").distinct().withColumn("name", F.upper("k"))
     plain = rows(left.join(right, "k", "left"))
-    salted = joins.lookup_join(left, right, "k", joins.heavy_keys(left, "k"), salts=8)
+    salted = joins.lookup_join(left, right, "k", joins.heavy_keys(left, "k")["k"], salts=8)
     assert rows(salted) == plain
     assert rows(joins.lookup_join(left, right, "k")) == plain
 

@@ -203,3 +203,41 @@ def test_quality_mart_keeps_undated_rows_apart(spark):
     first, second = by_day[dt.date(2024, 1, 1)], by_day[dt.date(2024, 1, 2)]
     assert [(r.pipeline_steps, r.total_quality_checks, r.rejected_file_count) for r in first] == [(1, 1, 0)]
     assert [(r.rejected_file_count, r.total_file_uploads) for r in second] == [(1, 1)]
+
+
+def test_hot_order_is_split_at_run_time(spark, tmp_path):
+    """On written tables Spark itself splits the partition of an order with very many lines."""
+    lines = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("order_id"),
+        F.col("id").alias("order_item_id"),
+        F.uuid().alias("product_id"),
+        *[F.lit("x").alias(c) for c in ("seller_id", "batch_id", "run_id", "gcs_uri", "file_hash", "source_system")],
+        F.lit("f").alias("source_file_name"),
+        F.lit(DAY).alias("shipping_limit_date"),
+        F.lit(Decimal(1)).cast("decimal(28,9)").alias("price"),
+        F.lit(Decimal(1)).cast("decimal(28,9)").alias("freight_value"),
+        F.lit(DAY.date()).alias("load_date"),
+        F.lit(DAY).alias("ingestion_timestamp"),
+    )
+    lines.write.parquet(str(tmp_path / "items"))
+    lines.select(
+        "order_id", F.uuid().alias("customer_id"), F.lit("s").alias("order_status"), F.lit(DAY).alias("order_purchase_timestamp")
+    ).dropDuplicates(["order_id"]).write.parquet(str(tmp_path / "orders"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        items, orders_ = spark.read.parquet(str(tmp_path / "items")), spark.read.parquet(str(tmp_path / "orders"))
+        fact = gold.fact_order_items(items, orders_)
+        assert len(fact.collect()) == 60_000
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert "SortMergeJoin(skew=true)" in plan
