@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_HEAVY_KEYS = 64
-SALTS = 64
+SALTS = 256
 
 
 def heavy_keys(df: DataFrame, *keys: str, share: float = 0.002, tracked: int = 10_000) -> dict[str, list]:
@@ -27,7 +27,7 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, heavy: list | None
     Spark decides between broadcast and shuffle by size. ``heavy`` lists keys known to be hot: their
     rows on the left are spread over ``salts`` partitions by a hash of the row, and the matching
     (few) rows on the right are repeated for each salt. The hash depends on the row alone, so a
-    repeated task gives the same result.
+    repeated task gives the same result; the left rows need a column that tells them apart.
     """
     if not heavy:
         return left.join(right, key, "left")

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 
+# Each cut value is one comparison per row.
+MAX_BUCKETS = 400
+
+
 def _cut_points(df: DataFrame, column: str, buckets: int) -> list:
     """Distinct cut values (ascending) that split the column into about ``buckets`` even parts."""
     shares = [i / buckets for i in range(1, buckets)]
@@ -24,7 +28,7 @@ def global_rank(df: DataFrame, column: str, name: str = "rank", buckets: int | N
     above them. Any choice of cut values gives the right rank; they only steer the balance.
     """
     spark = df.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
     df = materialize(df, "rank")
     value = F.col(column)
     cuts = _cut_points(df, column, buckets)

@@ -317,6 +317,15 @@ for _entity in ("orders", "order_items", "products"):
         ),
         f"select {_columns}, '{_entity}_good' as batch_id, 'olist' as source_system from bronze_{_entity}",
     )
+_tables(
+    "rows_loaded",
+    lambda t: ingest.rows_loaded(t.ingested(), "sample-0")
+    .groupBy("table_name")
+    .agg(F.sum("row_count").alias("row_count")),
+    " union all ".join(
+        f"select '{e}' as table_name, count(*) as row_count from bronze_{e}" for e in sample.BRONZE
+    ),
+)
 _tables(
     "stream_ingest",
     lambda t: ingest.read_log(t.streamed(), "file_upload_log")
@@ -408,6 +417,12 @@ _tables(
     """select batch_id, run_id, source_system, source_file_name, gcs_uri, file_hash, load_date, ingestion_timestamp
     from bronze_orders order by ingestion_timestamp desc, batch_id, run_id limit 10""",
 )
+_tables(
+    "lineage_of_batch",
+    lambda t: reports.lineage_sample(t.bronze("payments"), "payments_vouchers"),
+    """select batch_id, run_id, source_system, source_file_name, gcs_uri, file_hash, load_date, ingestion_timestamp
+    from bronze_payments where batch_id = 'payments_vouchers' order by ingestion_timestamp desc limit 10""",
+)
 _tables(
     "value_frequency",
     lambda t: reports.value_frequency(t.silver("orders"), "order_status"),

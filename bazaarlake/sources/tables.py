@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,9 +22,22 @@ class Lake:
         return f"{self.root}/{layer}/{table}"
 
     def exists(self, layer: str, table: str) -> bool:
+        fs, folder = self._folder(self.path(layer, table))
+        return fs.exists(folder)
+
+    def _folder(self, path: str):
         sc = self.spark.sparkContext
-        folder = sc._jvm.org.apache.hadoop.fs.Path(self.path(layer, table))
-        return folder.getFileSystem(sc._jsc.hadoopConfiguration()).exists(folder)
+        folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(sc._jsc.hadoopConfiguration()), folder
+
+    def _swap_in(self, staged: str, path: str) -> None:
+        """Put a completely written folder in the place of the old one."""
+        fs, new = self._folder(staged)
+        _, old = self._folder(path)
+        fs.delete(old, True)
+        fs.mkdirs(old.getParent())
+        if not fs.rename(new, old):
+            raise OSError(f"could not move {staged} to {path}")
 
     def read(self, layer: str, table: str, schema: T.StructType | None = None) -> DataFrame:
         """Read a table; with a schema, a table nobody wrote yet is empty."""
@@ -47,7 +62,8 @@ class Lake:
         ``day`` makes one folder per date; Spark rebalances the rows by date and splits a date that
         holds very many. Without ``day`` the rows are laid out in ranges of ``cluster_by``, and
         ``spread_by`` (the key) splits a cluster value that holds very many. Rows are sorted by
-        ``cluster_by`` inside each file, so that readers can skip by min and max.
+        ``cluster_by`` inside each file, so that readers can skip by min and max. The new rows are
+        written beside the table first: the old ones stay readable until then, also by ``df`` itself.
         """
         writer_options = {}
         if day:
@@ -56,9 +72,9 @@ class Lake:
             df = df.sortWithinPartitions(day, *cluster_by)
         elif cluster_by:
             df = df.repartitionByRange(*cluster_by, *spread_by).sortWithinPartitions(*cluster_by, *spread_by)
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-            self.path(layer, table), **writer_options
-        )
+        staged = f"{self.root}/{layer}/_staged/{table}-{uuid.uuid4().hex}"
+        df.write.parquet(staged, **writer_options)
+        self._swap_in(staged, self.path(layer, table))
 
     def replace_partitions(self, layer: str, table: str, df: DataFrame, by: tuple[str, ...]) -> None:
         """Write ``df`` in place of the partitions it covers and leave the others alone.

@@ -175,7 +175,7 @@ def test_sales_mart_ratio(spark, rows):
         ],
         "product_id string, order_id string, order_purchase_date date, item_revenue decimal(28,9), "
         "freight_value decimal(28,9), gross_item_value decimal(29,9)",
-    )
+    ).withColumn("order_item_id", F.lit(1))
     products = spark.createDataFrame([("p", "toys")], "product_id string, product_category_name string")
     mart = marts.mart_sales_performance(items, products)
     got = rows(mart, F.dayofmonth("order_purchase_date"), "product_category_name", "total_orders", "average_order_value")

@@ -22,6 +22,9 @@ def test_day_partitions_and_pruning(lake, rows):
     assert "PartitionFilters: [isnotnull(day" in plan
     lake.overwrite("gold", "t", df.where("id < 3"), day="day")
     assert lake.read("gold", "t").count() == 3
+    # A table may be rewritten from itself.
+    lake.overwrite("gold", "t", lake.read("gold", "t").where("id < 2"))
+    assert lake.read("gold", "t").count() == 2
 
 
 def test_clustered_table(lake, rows):
