@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,10 +52,12 @@ def global_rank(df: DataFrame, column: str, name: str = "rank", buckets: int | N
     last = 2 * len(descending) + 1
     placed = df.withColumn("_bucket", F.when(bucket == -1, F.lit(last)).otherwise(bucket))
 
-    # At most 2 * buckets + 1 rows.
-    sizes = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    above = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(above), F.lit(0)).alias("_above"))
+    # At most 2 * buckets rows: the rows of each range, and from them the rows above it.
+    sizes = sorted(placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("size")).collect())
+    above = [0, *accumulate(row["size"] for row in sizes)]
+    offsets = spark.createDataFrame(
+        [(row["_bucket"], before) for row, before in zip(sizes, above)], "_bucket int, _above long"
+    )
     placed = placed.join(F.broadcast(offsets), "_bucket")
 
     single = (F.col("_bucket") % 2) == 1

@@ -370,7 +370,7 @@ _register(
     named as (
       select *, 'ui_20020101_000000_' || short_hash as batch_id,
         case when file_name = '' then 'uploaded_file_' || short_hash || '.csv'
-          else regexp_replace(regexp_replace(file_name, '^.*/', ''), '[^\pL\pN_.-]', '_', 'g') end as source_file_name,
+          else regexp_replace(regexp_replace(file_name, '^.*/', ''), '[^\\pL\\pN_.-]', '_', 'g') end as source_file_name,
         case when source_system <> 'olist' then 'Only source_system=''olist'' is supported in v1.'
           when table_name = 'widgets' then 'Unsupported table_name: widgets'
           when file_name = '' then 'No file selected.'
