@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from bazaarlake import registry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -29,14 +30,15 @@ def _plain(value):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLE)
+    assert set(registry.QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_matches_sql(spark, duck, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = registry.QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
-    cursor = duck.execute(entry.oracle_sql()[name])
+    cursor = duck.execute(registry.ORACLE[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
     expected = sorted(tuple(_plain(row[names.index(c)]) for c in columns) for row in cursor.fetchall())
