@@ -8,12 +8,11 @@ vertical tab, form feed and carriage return. Hashes depend on the bytes of the w
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 SLICE_ROWS = 20_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -23,16 +22,19 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-@lru_cache(maxsize=4)
-def _powers(base: int, size: int) -> np.ndarray:
-    powers = np.ones(size, np.uint64)
-    powers[1:] = base
-    return np.multiply.accumulate(powers)
+#: The longest table of powers made so far, by base.
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
     """``base**0 .. base**(n-1)`` modulo 2**64."""
-    return _powers(int(base), 1 << max(16, int(n - 1).bit_length()))[:n]
+    held = _POWERS.get(int(base))
+    if held is None or len(held) < n:
+        held = np.full(max(n, 1 << 20), base, np.uint64)
+        held[0] = 1
+        np.multiply.accumulate(held, out=held)
+        _POWERS[int(base)] = held
+    return held[:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
