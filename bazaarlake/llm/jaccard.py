@@ -35,7 +35,7 @@ SHINGLE = 5
 NEED, OF = 75, 100
 GROUPS = 64
 STARS = 6
-TOKENS_PER_BUCKET = 3_000_000
+TOKENS_PER_BUCKET = 2_000_000
 LEAF, FAN = 16, 8
 
 
@@ -130,11 +130,22 @@ def shared_shingles(docs: DataFrame, buckets: int) -> DataFrame:
         shared += np.bincount(ref[several & (ref >= 0)], minlength=len(shared))
         some = np.flatnonzero(shared)
         value = np.concatenate(marks)[some].view(np.int64)
+        # Packed by groups of classes, which a second step sums up.
         which, at = np.unique(value, return_inverse=True)
-        return pd.DataFrame({"cls": which, "shared": np.bincount(at, shared[some], len(which)).astype(np.int64)})
+        number = np.bincount(at, shared[some], len(which)).astype(np.int64)
+        group = (which.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(group, kind="stable")
+        edge = np.flatnonzero(np.append(True, group[order][1:] != group[order][:-1])) if len(order) else np.zeros(0, np.int64)
+        parts = [order[a:b] for a, b in zip(edge, np.append(edge[1:], len(order)), strict=True)]
+        return pd.DataFrame([(group[p[0]], which[p].tobytes(), number[p].tobytes()) for p in parts], columns=["group", "cls", "shared"])
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        which, at = np.unique(np.frombuffer(b"".join(pdf["cls"]), np.int64), return_inverse=True)
+        return pd.DataFrame({"cls": which, "shared": np.bincount(at, np.frombuffer(b"".join(pdf["shared"]), np.int64), len(which)).astype(np.int64)})
 
     sent = docs.select("text").mapInArrow(send, "bucket int, marks binary, high binary, low binary, ref binary, local binary")
-    return sent.groupBy("bucket").applyInPandas(meet, "cls long, shared long").groupBy("cls").agg(F.sum("shared").alias("shared"))
+    met = sent.groupBy("bucket").applyInPandas(meet, "group int, cls binary, shared binary")
+    return met.groupBy("group").applyInPandas(add, "cls long, shared long")
 
 
 def _prefix(size: int) -> int:
