@@ -9,8 +9,9 @@ What keeps this from comparing everything with everything:
 1. Shingles are counted over the corpus. A document can only link if at least 75 % of its shingles occur in
    some other document, so all others are done. Copies that share a passage, but little else, end here too.
 2. Documents of one shingle set are one class with one point.
-3. Classes are linked to the least class that shares one of their first shingles, if the pair verifies. This settles most
-   members of large groups of near copies in linear work.
+3. Where classes share one of their few first shingles, each is linked to one of them, if the pair verifies; then so
+   are the components that meet at a shingle, by one class each. This settles most members of large groups of
+   near copies in linear work.
 4. Two classes that link share a shingle among the first quarter of both, in the order of the hashes. Points
    meet where they share such a shingle and are not yet in one component. There the tree is built and searched.
 
@@ -33,8 +34,9 @@ from bazaarlake.llm.storage import store, tasks_for
 
 SHINGLE = 5
 NEED, OF = 75, 100
-GROUPS = 64
-STARS = 6
+#: Groups of the tree's boxes; a point has as many more, by powers of two, as keep about two shingles in a group.
+GROUPS, MOST_GROUPS = 64, 8192
+STARS, ROUNDS = 12, 1
 TOKENS_PER_BUCKET = 2_000_000
 LEAF, FAN = 16, 8
 
@@ -153,22 +155,65 @@ def _prefix(size: int) -> int:
     return size - -(-NEED * size // OF) + 1
 
 
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``) of classes whose sets reach the similarity."""
-    left = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb"))
+def _point(tokens: np.ndarray) -> np.ndarray:
+    """Counts of a set's shingles per group; folding a point in half gives the point of half as many groups."""
+    groups = GROUPS
+    while groups < MOST_GROUPS and groups * 2 <= len(tokens):
+        groups *= 2
+    return np.bincount((tokens % np.uint64(groups)).astype(np.int64), minlength=groups).astype(np.uint32)
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _fold(point: np.ndarray, groups: int) -> np.ndarray:
+    return point if len(point) == groups else point.reshape(-1, groups).sum(axis=0, dtype=np.uint32)
+
+
+def _bound(x: np.ndarray, y: np.ndarray) -> int:
+    """At most so many shingles are in both sets: the sum of the coordinate minima."""
+    groups = min(len(x), len(y))
+    return int(np.minimum(_fold(x, groups), _fold(y, groups)).sum())
+
+
+def _points(sets: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ta, tb = batch.column("ta"), batch.column("tb")
-            ok = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                x, y = np.frombuffer(ta[i].as_buffer(), np.uint64), np.frombuffer(tb[i].as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok[i] = OF * both >= NEED * (len(x) + len(y) - both)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(ok)), batch.column("b").filter(pa.array(ok))], ["a", "b"])
+            out = [_point(np.frombuffer(t.as_buffer(), np.uint64)).astype(np.uint16).tobytes() for t in batch.column("tokens")]
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), batch.column("n"), pa.array(out, pa.binary())], ["cls", "n", "point"])
+
+    return sets.mapInArrow(run, "cls long, n long, point binary")
+
+
+def _unpacked(point: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(point.as_buffer(), np.uint16).astype(np.uint32)
+
+
+def _links(pairs: DataFrame, sets: DataFrame, points: DataFrame) -> DataFrame:
+    """The pairs (``a``, ``b``) of classes whose sets reach the similarity; the points sort out most others first."""
+
+    def filtered(test):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x, y = batch.column("x"), batch.column("y")
+                ok = pa.array([test(x[i], y[i]) for i in range(batch.num_rows)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok)], ["a", "b"])
+
+        return run
+
+    def may(x: pa.Scalar, y: pa.Scalar) -> bool:
+        x, y = _unpacked(x), _unpacked(y)
+        both = _bound(x, y)
+        return bool(OF * both >= NEED * (int(x.sum()) + int(y.sum()) - both))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(verify, "a long, b long")
+    def do(x: pa.Scalar, y: pa.Scalar) -> bool:
+        x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return OF * both >= NEED * (len(x) + len(y) - both)
+
+    def joined(pairs: DataFrame, of: DataFrame, column: str, test) -> DataFrame:
+        x = of.select(F.col("cls").alias("a"), F.col(column).alias("x"))
+        y = of.select(F.col("cls").alias("b"), F.col(column).alias("y"))
+        return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(filtered(test), "a long, b long")
+
+    return joined(joined(pairs, points, "point", may), sets, "tokens", do)
 
 
 class CountTree:
@@ -208,57 +253,73 @@ class CountTree:
         return self.order[at[ok]]
 
 
-def _candidates(sets: DataFrame, labels: DataFrame, parts: int) -> DataFrame:
-    """Pairs of classes of different labels that share a first shingle and whose count vectors admit a link."""
+def _heads(sets: DataFrame, most: int | None = None) -> DataFrame:
+    """(``token``, ``cls``): the first shingles of which two linking sets share one, or ``most`` of them."""
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cls, label = batch.column("cls").to_numpy(), batch.column("label").to_numpy()
+            cls = batch.column("cls").to_numpy()
             for low in range(0, batch.num_rows, 256):
                 tokens = [np.frombuffer(t.as_buffer(), np.uint64) for t in batch.column("tokens").slice(low, 256)]
-                count = [_prefix(len(t)) for t in tokens]
+                count = [min(_prefix(len(t)), most or len(t)) for t in tokens]
                 out = np.concatenate([t[:c] for t, c in zip(tokens, count, strict=True)])
-                yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64)), pa.array(np.repeat(cls[low : low + 256], count)), pa.array(np.repeat(label[low : low + 256], count))], ["token", "cls", "label"])
+                yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64)), pa.array(np.repeat(cls[low : low + 256], count))], ["token", "cls"])
+
+    return sets.mapInArrow(run, "token long, cls long")
+
+
+def _named(heads: DataFrame, labels: DataFrame) -> DataFrame:
+    """``heads`` with the component of each class as ``label``."""
+    return heads.join(labels, heads["cls"] == labels["node"], "left").select("token", "cls", F.coalesce("label", "cls").alias("label"))
+
 
-    labelled = sets.join(labels, sets["cls"] == labels["node"], "left").select("cls", F.coalesce("label", "cls").alias("label"), "tokens")
-    heads = store(labelled.mapInArrow(first, "token long, cls long, label long"), "heads")
-    mixed = heads.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
-    # Classes that meet at the same shingles meet once: a block is a set of classes, whatever shingle names it.
-    blocks = heads.join(mixed, "token")
+def _between(named: DataFrame) -> DataFrame:
+    """Pairs of one class per component that meets at a shingle with one of the component most present there.
+
+    Among equally present ones, and within a component, chance picks a class anew at each shingle.
+    """
+    chance = F.struct(F.xxhash64("cls", "token").alias("h"), "cls")
+    of_each = named.groupBy("token", "label").agg(F.count("*").alias("weight"), F.min(chance)["cls"].alias("cls"))
+    centre = of_each.groupBy("token").agg(F.max(F.struct("weight", F.xxhash64("cls", "token").alias("h"), "cls"))["cls"].alias("b"), F.count("*").alias("many"))
+    pairs = of_each.join(centre.where("many > 1"), "token").where("b <> cls")
+    return pairs.select(F.least("b", "cls").alias("a"), F.greatest("b", "cls").alias("b")).distinct()
+
+
+def _candidates(named: DataFrame, points: DataFrame, parts: int) -> DataFrame:
+    """Pairs of classes of different components that share a first shingle and whose points admit a link."""
+    mixed = named.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
+    # Shingles at which the same classes meet make one block.
+    blocks = named.join(mixed, "token")
     met = blocks.groupBy("token").agg(
         F.count("*").alias("many"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y")
     )
     chosen = met.groupBy("many", "x", "y").agg(F.min("token").alias("token")).select("token")
     members = blocks.join(chosen, "token")
 
-    def points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for t in batch.column("tokens"):
-                group = np.frombuffer(t.as_buffer(), np.uint64) % np.uint64(GROUPS)
-                out.append(np.bincount(group.astype(np.int64), minlength=GROUPS).astype(np.int32).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("cls"), batch.column("n"), pa.array(out, pa.binary())], ["cls", "n", "point"])
-
-    vectors = sets.select("cls", "n", "tokens").mapInArrow(points, "cls long, n long, point binary")
-
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        found: list[np.ndarray] = []
+        found: set[tuple[int, int]] = set()
+        seen: set[tuple[int, int]] = set()
         pdf = pdf.sort_values(["token", "cls"])
         token = pdf["token"].to_numpy()
         cls, label, size = pdf["cls"].to_numpy(), pdf["label"].to_numpy(), pdf["n"].to_numpy()
-        point = np.frombuffer(b"".join(pdf["point"]), np.int32).reshape(-1, GROUPS)
+        fine = [np.frombuffer(p, np.uint16).astype(np.uint32) for p in pdf["point"]]
+        point = np.stack([_fold(p, GROUPS) for p in fine]).astype(np.int64)
         edge = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
         for a, b in zip(edge, np.append(edge[1:], len(token)), strict=True):
             tree = CountTree(point[a:b], size[a:b])
             for i in range(a, b):
                 near = tree.search(point[i], int(size[i])) + a
-                near = near[(cls[near] > cls[i]) & (label[near] != label[i])]
-                if len(near):
-                    found.append(np.stack([np.full(len(near), cls[i]), cls[near]], axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+                for j in near[(cls[near] > cls[i]) & (label[near] != label[i])].tolist():
+                    pair = (int(cls[i]), int(cls[j]))
+                    if pair not in seen:
+                        seen.add(pair)
+                        both = _bound(fine[i], fine[j])
+                        if OF * both >= NEED * (int(size[i]) + int(size[j]) - both):
+                            found.add(pair)
+        pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    placed = members.join(vectors, "cls").withColumn("part", F.pmod(F.xxhash64("token"), F.lit(parts)))
+    placed = members.join(points, "cls").withColumn("part", F.pmod(F.xxhash64("token"), F.lit(parts)))
     return placed.groupBy("part").applyInPandas(join, "a long, b long").distinct()
 
 
@@ -301,20 +362,16 @@ def similar_classes(docs: DataFrame) -> DataFrame:
 
     sets = store(held.mapInArrow(tokens, "cls long, n long, tokens binary").dropDuplicates(["cls"]), "sets")
 
-    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            head = [np.frombuffer(t.as_buffer(), np.uint64)[:STARS] for t in batch.column("tokens")]
-            count = [len(h) for h in head]
-            value = np.concatenate(head) if head else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(np.repeat(batch.column("cls").to_numpy(), count))], ["token", "cls"])
-
-    heads = sets.mapInArrow(stars, "token long, cls long")
-    centre = heads.groupBy("token").agg(F.min("cls").alias("a"))
-    pairs = heads.join(centre, "token").where("a < cls").select("a", F.col("cls").alias("b")).distinct()
-    links = store(_links(pairs, sets), "links")
-    parts = tasks_for(spark, sets.count(), 20_000)
-    more = store(_links(_candidates(sets, components(links), parts), sets), "links")
-    labels = components(links.union(more))
+    points = store(_points(sets), "points")
+    few = store(_heads(sets, STARS), "few-heads")
+    links = store(_links(_between(few.withColumn("label", F.col("cls"))), sets, points), "links")
+    for _ in range(ROUNDS):
+        more = store(_links(_between(_named(few, components(links))), sets, points), "links")
+        links = links.union(more)
+    heads = store(_heads(sets), "heads")
+    parts = tasks_for(spark, heads.count(), 50_000)
+    last = store(_links(_candidates(_named(heads, components(links)), points, parts), sets, points), "links")
+    labels = components(links.union(last))
     grouped = left.join(labels, left["cls"] == labels["node"], "left").select("cls", "least", F.coalesce("label", "cls").alias("label"))
     least = grouped.groupBy("label").agg(F.min("least").alias("component"))
     named = grouped.join(least, "label").select(F.col("cls").alias("_cls"), "component")
