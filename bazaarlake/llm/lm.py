@@ -24,7 +24,9 @@ from bazaarlake.llm import text as tx
 from bazaarlake.llm.storage import store
 
 BACKOFF, MIN_COUNT = 0.4, 2
-BYTES_PER_BUCKET = 16 << 20
+BYTES_PER_BUCKET = 8 << 20
+#: Larger slices repeat fewer words among themselves.
+SLICE_BYTES = 4 << 20
 #: A word of at least this share of all words is frequent: at most 100,000 are.
 FREQUENT_SHARE = 1e-5
 _HALF = np.uint64(16)
@@ -39,6 +41,16 @@ def _unpack48(packed: bytes) -> np.ndarray:
     return (np.frombuffer(packed, np.uint32, n).astype(np.uint64) << _HALF) | np.frombuffer(packed, np.uint16, n, 4 * n)
 
 
+def _pack_counts(x: np.ndarray) -> bytes:
+    """Numbers in the narrowest unsigned type that holds them, named by the first byte."""
+    kind = next(k for k in (1, 2, 4, 8) if int(x.max(initial=0)) < 1 << 8 * k)
+    return bytes([kind]) + x.astype(f"u{kind}").tobytes()
+
+
+def _unpack_counts(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"u{packed[0]}", -1, 1).astype(np.int64)
+
+
 def _edges(*keys: np.ndarray) -> np.ndarray:
     """Starts of the runs in which all keys are equal."""
     n = len(keys[0])
@@ -69,31 +81,31 @@ def _word48(words: tx.Words) -> np.ndarray:
 
 
 def word_counts(docs: DataFrame, buckets: int) -> DataFrame:
-    """A row per bucket of words: packed ``words`` (sorted), ``counts`` and ``firsts``, how often each begins a bigram."""
+    """A row per bucket of words: packed ``words`` (sorted), ``counts`` and ``lasts``, how often each ends a text."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in tx.slices(batch.column("text")):
+            for _, _, data, offsets in tx.slices(batch.column("text"), SLICE_BYTES):
                 words = tx.Words(data, offsets)
                 name = _word48(words)
                 value, at, count = np.unique(name, return_inverse=True, return_counts=True)
                 begins = np.zeros(len(name))
                 begins[:-1] = words.row[1:] == words.row[:-1]
-                first = np.bincount(at, begins, len(value)).astype(np.uint32)
+                last = count - np.bincount(at, begins, len(value)).astype(np.int64)
                 columns: list[list] = [[], [], [], []]
                 for b, mine in _by_bucket((value % np.uint64(buckets)).astype(np.int32)):
-                    for column, part in zip(columns, (b, _pack48(value[mine]), count[mine].astype(np.uint32).tobytes(), first[mine].tobytes()), strict=True):
+                    for column, part in zip(columns, (b, _pack48(value[mine]), _pack_counts(count[mine]), _pack_counts(last[mine])), strict=True):
                         column.append(part)
-                yield _batch(columns, ["bucket", "words", "counts", "firsts"])
+                yield _batch(columns, ["bucket", "words", "counts", "lasts"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         word = np.concatenate([_unpack48(w) for w in pdf["words"]])
         order = np.argsort(word)
         edge = _edges(word[order])
-        sums = [np.add.reduceat(np.concatenate([np.frombuffer(x, np.uint32) for x in pdf[c]]).astype(np.int64)[order], edge) for c in ("counts", "firsts")]
-        return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1], "words": [_pack48(word[order][edge])], "counts": [sums[0].tobytes()], "firsts": [sums[1].tobytes()]})
+        sums = [np.add.reduceat(np.concatenate([_unpack_counts(x) for x in pdf[c]])[order], edge) for c in ("counts", "lasts")] if len(edge) else [word, word]
+        return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1], "words": [_pack48(word[order][edge])], "counts": [sums[0].astype(np.int64).tobytes()], "lasts": [sums[1].astype(np.int64).tobytes()]})
 
-    schema = "bucket int, words binary, counts binary, firsts binary"
+    schema = "bucket int, words binary, counts binary, lasts binary"
     return docs.select("text").mapInArrow(send, schema).groupBy("bucket").applyInPandas(add, schema)
 
 
@@ -104,9 +116,9 @@ def _frequent(words: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray, n
         for batch in batches:
             for i in range(batch.num_rows):
                 word = _unpack48(batch.column("words")[i].as_py())
-                count, first = (np.frombuffer(batch.column(c)[i].as_py(), np.int64) for c in ("counts", "firsts"))
+                count, last = (np.frombuffer(batch.column(c)[i].as_py(), np.int64) for c in ("counts", "lasts"))
                 keep = count >= least
-                yield pa.RecordBatch.from_arrays([pa.array(word[keep].view(np.int64)), pa.array(count[keep]), pa.array(first[keep])], ["word", "n", "first"])
+                yield pa.RecordBatch.from_arrays([pa.array(word[keep].view(np.int64)), pa.array(count[keep]), pa.array((count - last)[keep])], ["word", "n", "first"])
 
     rows = words.mapInArrow(pick, "word long, n long, first long").orderBy("word").toPandas()
     return rows["word"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64), rows["first"].to_numpy(np.int64)
@@ -136,7 +148,7 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, min_count: int = M
         frequent = common.value[0]
         for batch in batches:
             marks = batch.column("mark").to_numpy()
-            for low, high, data, offsets in tx.slices(batch.column("text")):
+            for low, high, data, offsets in tx.slices(batch.column("text"), SLICE_BYTES):
                 found = tx.Words(data, offsets)
                 name = _word48(found)
                 ok = np.flatnonzero(found.row[1:] == found.row[:-1])
@@ -144,14 +156,14 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, min_count: int = M
                 order = np.lexsort((second, row, first))
                 row, first, second = row[order], first[order], second[order]
                 edge = _edges(first, row, second)
-                n = _sizes(edge, len(first)).astype(np.uint32)
+                n = _sizes(edge, len(first))
                 row, first, second = row[edge], first[edge], second[edge]
                 place = np.where(np.isin(first, frequent), tx.mix(first * np.uint64(31) + second), first) % np.uint64(buckets)
                 columns: list[list] = [[] for _ in range(7)]
                 for b, mine in _by_bucket(place.astype(np.int32)):
                     named, ref = np.unique(marks[low:high][row[mine]], return_inverse=True)
                     head = _edges(first[mine])
-                    parts = (b, named.tobytes(), ref.astype(np.uint16).tobytes(), _pack48(first[mine][head]), _sizes(head, len(mine)).astype(np.uint32).tobytes(), _pack48(second[mine]), n[mine].tobytes())
+                    parts = (b, named.tobytes(), ref.astype(np.uint16).tobytes(), _pack48(first[mine][head]), _pack_counts(_sizes(head, len(mine))), _pack48(second[mine]), _pack_counts(n[mine]))
                     for column, part in zip(columns, parts, strict=True):
                         column.append(part)
                 yield _batch(columns, ["bucket", "marks", "ref", "first", "runs", "second", "n"])
@@ -159,9 +171,9 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, min_count: int = M
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
         frequent, frequent_n, frequent_first = common.value
         mark = np.concatenate([np.frombuffer(m, np.int64)[np.frombuffer(r, np.uint16)] for m, r in zip(pdf["marks"], pdf["ref"], strict=True)])
-        first = np.concatenate([np.repeat(_unpack48(f), np.frombuffer(r, np.uint32)) for f, r in zip(pdf["first"], pdf["runs"], strict=True)])
+        first = np.concatenate([np.repeat(_unpack48(f), _unpack_counts(r)) for f, r in zip(pdf["first"], pdf["runs"], strict=True)])
         second = np.concatenate([_unpack48(s) for s in pdf["second"]])
-        n = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["n"]]).astype(np.int64)
+        n = np.concatenate([_unpack_counts(x) for x in pdf["n"]])
         order = np.lexsort((second, first))
         mark, first, second, n = mark[order], first[order], second[order], n[order]
         edge = _edges(first, second)
@@ -187,7 +199,7 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, min_count: int = M
             mine = mine[np.argsort(second[mine], kind="stable")]
             named, ref = np.unique(mark[mine], return_inverse=True)
             head = _edges(second[mine])
-            parts = (b, named.tobytes(), ref.astype(np.uint32).tobytes(), _pack48(second[mine][head]), _sizes(head, len(mine)).astype(np.uint32).tobytes(), n[mine].astype(np.uint32).tobytes())
+            parts = (b, named.tobytes(), _pack_counts(ref), _pack48(second[mine][head]), _pack_counts(_sizes(head, len(mine))), _pack_counts(n[mine]))
             for column, part in zip(columns, parts, strict=True):
                 column.append(part)
         names, sums = _sums(mark[done], value[done])
@@ -206,8 +218,8 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, min_count: int = M
                 values.append(np.frombuffer(n, np.float64))
                 continue
             share = np.log(backoff * count[np.searchsorted(known, _unpack48(word))] / total)
-            marks.append(names[np.frombuffer(ref, np.uint32)])
-            values.append(np.repeat(share, np.frombuffer(runs, np.uint32)) * np.frombuffer(n, np.uint32))
+            marks.append(names[_unpack_counts(ref)])
+            values.append(np.repeat(share, _unpack_counts(runs)) * _unpack_counts(n))
         if not marks:
             return pd.DataFrame({"mark": np.zeros(0, np.int64), "value": np.zeros(0)})
         which, at = np.unique(np.concatenate(marks), return_inverse=True)

@@ -47,7 +47,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, offsets)`` of consecutive rows; a null text is empty."""
     column = column.fill_null("") if column.null_count else column
     column = column.cast(pa.large_string())
@@ -57,7 +57,7 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     low = 0
     while low < n:
-        high = int(np.searchsorted(offsets, offsets[low] + SLICE_BYTES, "right")) - 1
+        high = int(np.searchsorted(offsets, offsets[low] + size, "right")) - 1
         high = min(max(high, low + 1), n, low + SLICE_ROWS)
         yield low, high, raw[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
         low = high
