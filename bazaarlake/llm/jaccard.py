@@ -103,51 +103,57 @@ def shared_shingles(docs: DataFrame, buckets: int) -> DataFrame:
                 by = np.argsort(bucket, kind="stable")
                 bucket, short, ref = bucket[by], short[by], ref[by]
                 edge = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-                packed = ([int(bucket[0])], [marks.tobytes()], [b""], [b""], [b""], [local.tobytes()])
+                # The slice's name ties its parts together again; its classes travel once, with what it settled itself.
+                name = int(tx.mix(np.array([marks.sum() + np.uint64(len(marks))], np.uint64)).view(np.int64)[0])
+                packed: tuple[list, ...] = ([int(bucket[0])], [name], [marks.tobytes()], [b""], [b""], [local.tobytes()])
                 for a, b in zip(edge, np.append(edge[1:], len(bucket)), strict=True):
-                    # Only the documents that a bucket has entries of go with it.
-                    named, own = np.unique(ref[a:b], return_inverse=True)
-                    own = np.where(ref[a:b] == alone, alone, own).astype(np.uint16)
                     part = short[a:b]
-                    values = (int(bucket[a]), marks[named[named < alone]].tobytes(), (part >> np.uint64(8)).astype(np.uint32).tobytes(), (part & np.uint64(255)).astype(np.uint8).tobytes(), own.tobytes(), b"")
-                    for column, value_ in zip(packed, values, strict=True):
+                    tokens = (part >> np.uint64(8)).astype(np.uint32).tobytes() + (part & np.uint64(255)).astype(np.uint8).tobytes()
+                    for column, value_ in zip(packed, (int(bucket[a]), name, b"", tokens, ref[a:b].tobytes(), b""), strict=True):
                         column.append(value_)
-                yield pa.RecordBatch.from_arrays([pa.array(packed[0], pa.int32()), *[pa.array(p, pa.binary()) for p in packed[1:]]], ["bucket", "marks", "high", "low", "ref", "local"])
+                yield pa.RecordBatch.from_arrays([pa.array(packed[0], pa.int32()), pa.array(packed[1], pa.int64()), *[pa.array(p, pa.binary()) for p in packed[2:]]], ["bucket", "slice", "marks", "tokens", "ref", "local"])
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        marks = [np.frombuffer(m, np.uint64) for m in pdf["marks"]]
-        base = np.cumsum([0, *map(len, marks)])
-        refs, keys, shared = [], [], np.zeros(base[-1], np.int64)
-        for i, (high, low, ref, local) in enumerate(zip(pdf["high"], pdf["low"], pdf["ref"], pdf["local"], strict=True)):
-            keys.append((np.frombuffer(high, np.uint32).astype(np.uint64) << np.uint64(8)) | np.frombuffer(low, np.uint8))
-            r = np.frombuffer(ref, np.uint16).astype(np.int64)
-            refs.append(np.where(r == alone, -1, r + base[i]))
-            if local:
-                shared[base[i] : base[i + 1]] += np.frombuffer(local, np.int32)
-        key, ref = np.concatenate(keys), np.concatenate(refs)
-        order = np.argsort(key, kind="stable")
-        key, ref = key[order], ref[order]
-        same = key[1:] == key[:-1]
-        several = np.append(same, False) | np.append(False, same)
-        shared += np.bincount(ref[several & (ref >= 0)], minlength=len(shared))
-        some = np.flatnonzero(shared)
-        value = np.concatenate(marks)[some].view(np.int64)
-        # Packed by groups of classes, which a second step sums up.
-        which, at = np.unique(value, return_inverse=True)
-        number = np.bincount(at, shared[some], len(which)).astype(np.int64)
-        group = (which.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
-        order = np.argsort(group, kind="stable")
-        edge = np.flatnonzero(np.append(True, group[order][1:] != group[order][:-1])) if len(order) else np.zeros(0, np.int64)
-        parts = [order[a:b] for a, b in zip(edge, np.append(edge[1:], len(order)), strict=True)]
-        return pd.DataFrame([(group[p[0]], which[p].tobytes(), number[p].tobytes()) for p in parts], columns=["group", "cls", "shared"])
+        rows, keys, refs, names = [], [], [], []
+        for name, marks, tokens, ref, local in zip(pdf["slice"], pdf["marks"], pdf["tokens"], pdf["ref"], pdf["local"], strict=True):
+            if marks:
+                rows.append((name % buckets, name, marks, b"", local))
+                continue
+            n = len(tokens) // 5
+            keys.append((np.frombuffer(tokens, np.uint32, n).astype(np.uint64) << np.uint64(8)) | np.frombuffer(tokens, np.uint8, n, 4 * n))
+            refs.append(np.frombuffer(ref, np.uint16).astype(np.int64) + (len(names) << 16))
+            names.append(name)
+        if names:
+            key, ref = np.concatenate(keys), np.concatenate(refs)
+            order = np.argsort(key, kind="stable")
+            key, ref = key[order], ref[order]
+            same = key[1:] == key[:-1]
+            several = np.append(same, False) | np.append(False, same)
+            found, number = np.unique(ref[several & ((ref & 65535) != alone)], return_counts=True)
+            # Packed by groups of slices, which a second step sums up.
+            slices, edge = np.unique(found >> 16, return_index=True)
+            for i, a, b in zip(slices, edge, np.append(edge[1:], len(found)), strict=True):
+                rows.append((names[i] % buckets, names[i], b"", (found[a:b] & 65535).astype(np.uint16).tobytes(), number[a:b].astype(np.int32).tobytes()))
+        return pd.DataFrame(rows, columns=["group", "slice", "marks", "ref", "number"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        which, at = np.unique(np.frombuffer(b"".join(pdf["cls"]), np.int64), return_inverse=True)
-        return pd.DataFrame({"cls": which, "shared": np.bincount(at, np.frombuffer(b"".join(pdf["shared"]), np.int64), len(which)).astype(np.int64)})
-
-    sent = docs.select("text").mapInArrow(send, "bucket int, marks binary, high binary, low binary, ref binary, local binary")
-    met = sent.groupBy("bucket").applyInPandas(meet, "group int, cls binary, shared binary")
-    return met.groupBy("group").applyInPandas(add, "cls long, shared long")
+        out_cls, out_shared = [], []
+        for _, parts in pdf.groupby("slice"):
+            whole = parts[parts["marks"].map(len) > 0].iloc[0]
+            cls = np.frombuffer(whole["marks"], np.int64)
+            shared = np.zeros(len(cls), np.int64)
+            for ref, number in zip(parts["ref"], parts["number"], strict=True):
+                if ref:
+                    np.add.at(shared, np.frombuffer(ref, np.uint16), np.frombuffer(number, np.int32))
+                else:
+                    shared += np.frombuffer(number, np.int32)
+            out_cls.append(cls[shared > 0])
+            out_shared.append(shared[shared > 0])
+        return pd.DataFrame({"cls": np.concatenate(out_cls), "shared": np.concatenate(out_shared)})
+
+    sent = docs.select("text").mapInArrow(send, "bucket int, slice long, marks binary, tokens binary, ref binary, local binary")
+    met = sent.groupBy("bucket").applyInPandas(meet, "group int, slice long, marks binary, ref binary, number binary")
+    return met.groupBy("group").applyInPandas(add, "cls long, shared long").groupBy("cls").agg(F.max("shared").alias("shared"))
 
 
 def _prefix(size: int) -> int:
@@ -294,7 +300,8 @@ def _candidates(named: DataFrame, points: DataFrame, parts: int) -> DataFrame:
         F.count("*").alias("many"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y")
     )
     chosen = met.groupBy("many", "x", "y").agg(F.min("token").alias("token")).select("token")
-    members = blocks.join(chosen, "token")
+    members = store(blocks.join(chosen, "token"), "members")
+    own = members.groupBy("cls").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         found: set[tuple[int, int]] = set()
@@ -302,6 +309,7 @@ def _candidates(named: DataFrame, points: DataFrame, parts: int) -> DataFrame:
         pdf = pdf.sort_values(["token", "cls"])
         token = pdf["token"].to_numpy()
         cls, label, size = pdf["cls"].to_numpy(), pdf["label"].to_numpy(), pdf["n"].to_numpy()
+        tokens = [np.asarray(t) for t in pdf["tokens"]]
         fine = [np.frombuffer(p, np.uint16).astype(np.uint32) for p in pdf["point"]]
         point = np.stack([_fold(p, GROUPS) for p in fine]).astype(np.int64)
         edge = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
@@ -311,7 +319,8 @@ def _candidates(named: DataFrame, points: DataFrame, parts: int) -> DataFrame:
                 near = tree.search(point[i], int(size[i])) + a
                 for j in near[(cls[near] > cls[i]) & (label[near] != label[i])].tolist():
                     pair = (int(cls[i]), int(cls[j]))
-                    if pair not in seen:
+                    # A pair belongs to the first shingle at which its classes meet.
+                    if pair not in seen and np.intersect1d(tokens[i], tokens[j], assume_unique=True)[0] == token[i]:
                         seen.add(pair)
                         both = _bound(fine[i], fine[j])
                         if OF * both >= NEED * (int(size[i]) + int(size[j]) - both):
@@ -319,7 +328,7 @@ def _candidates(named: DataFrame, points: DataFrame, parts: int) -> DataFrame:
         pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    placed = members.join(points, "cls").withColumn("part", F.pmod(F.xxhash64("token"), F.lit(parts)))
+    placed = members.join(points, "cls").join(own, "cls").withColumn("part", F.pmod(F.xxhash64("token"), F.lit(parts)))
     return placed.groupBy("part").applyInPandas(join, "a long, b long").distinct()
 
 
