@@ -131,8 +131,8 @@ def shared_shingles(docs: DataFrame, buckets: int) -> DataFrame:
             several = np.append(same, False) | np.append(False, same)
             found, number = np.unique(ref[several & ((ref & 65535) != alone)], return_counts=True)
             # Packed by groups of slices, which a second step sums up.
-            slices, edge = np.unique(found >> 16, return_index=True)
-            for i, a, b in zip(slices, edge, np.append(edge[1:], len(found)), strict=True):
+            slices, edge, size = np.unique(found >> 16, return_index=True, return_counts=True)
+            for i, a, b in zip(slices, edge, edge + size, strict=True):
                 rows.append((names[i] % buckets, names[i], b"", (found[a:b] & 65535).astype(np.uint16).tobytes(), number[a:b].astype(np.int32).tobytes()))
         return pd.DataFrame(rows, columns=["group", "slice", "marks", "ref", "number"])
 

@@ -97,7 +97,7 @@ class Additive:
 
 
 def _edges(x: np.ndarray, bins: int) -> np.ndarray:
-    return np.unique(np.quantile(x, np.linspace(0, 1, bins + 1)[1:-1]))
+    return np.unique(np.quantile(x, np.linspace(0, 1, bins + 1)[1:-1])) if len(x) else np.zeros(0)
 
 
 def _tree(grad: np.ndarray, hess: np.ndarray, leaves: int, ridge: float = 1.0) -> np.ndarray:
