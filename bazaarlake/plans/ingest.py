@@ -390,7 +390,7 @@ def failure_events(requests: DataFrame, as_of: dt.datetime, error: Exception, op
             "source_file_name": files.file_name(F.col("tmp_file_path")),
             "row_count": F.lit(0).cast("bigint"),
             "error_type": F.lit(type(error).__name__),
-            "error": F.lit(str(error)[:2000]),
+            "error": F.lit(str(error)),
             "http_status": F.lit(500).cast("bigint"),
         }
     )

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,14 +40,16 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-_open_scopes: list[list[str]] = []
+# Per thread, so that a scope that ends in one thread leaves the tables of another alone.
+_open_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scratch_scopes", default=())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    if _open_scopes:
-        _open_scopes[-1].append(path)
+    scopes = _open_scopes.get()
+    if scopes:
+        scopes[-1].append(path)
     return path
 
 
@@ -61,11 +64,13 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
 
     For jobs that have written their result by then; a lazy result may still read its scratch tables.
     """
-    _open_scopes.append([])
+    paths: list[str] = []
+    token = _open_scopes.set((*_open_scopes.get(), paths))
     try:
         yield
     finally:
-        for path in _open_scopes.pop():
+        _open_scopes.reset(token)
+        for path in paths:
             delete_path(spark, path)
 
 

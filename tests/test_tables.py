@@ -62,3 +62,27 @@ def test_missing_log_is_empty_and_old_files_lack_new_columns(lake, rows):
     assert rows(added) == [("u1", None)]
     new = lake.spark.createDataFrame([("u2", "f.csv")], "upload_id string, source_file_name string")
     assert rows(union_by_name(old, new)) == [("u1", None), ("u2", "f.csv")]
+
+
+def test_scratch_scopes_are_per_thread(spark):
+    import os
+    import threading
+
+    from bazaarlake.session import materialize, scratch_scope
+
+    opened, close, paths = threading.Event(), threading.Event(), []
+
+    def other():
+        with scratch_scope(spark):
+            paths.append(materialize(spark.range(3), "other").inputFiles()[0].removeprefix("file:"))
+            opened.set()
+            close.wait(60)
+
+    thread = threading.Thread(target=other)
+    with scratch_scope(spark):
+        thread.start()
+        opened.wait(60)
+    assert os.path.exists(paths[0].replace("file://", ""))
+    close.set()
+    thread.join()
+    assert not os.path.exists(paths[0].replace("file://", ""))
