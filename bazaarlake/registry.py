@@ -307,7 +307,7 @@ _tables(
  ''order_purchase_timestamp'', ''order_approved_at'', ''order_delivered_carrier_date'',
  ''order_delivered_customer_date'', ''order_estimated_delivery_date'']'""".replace(",\n ", ", "),
 )
-for _entity in ("orders", "order_items", "products"):
+for _entity in ENTITIES:
     # An empty cell of a CSV file is a missing value.
     _columns = ", ".join(f"nullif({c}, '') as {c}" for c in ENTITIES[_entity].required_columns)
     _tables(
