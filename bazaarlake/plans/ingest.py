@@ -478,10 +478,12 @@ def delete_batches(lake: Lake, entity: str, batch_ids: list[str]) -> None:
 
 
 def rows_loaded(lake: Lake, ingest_id: str) -> DataFrame:
-    """Rows in the raw tables per run of one ingest: ``(table_name, run_id, row_count)``."""
+    """Rows in the raw tables per run of one ingest, all its batches: ``(table_name, run_id, row_count)``."""
+    batch = F.substring_index("ingest_id", "-", -1).rlike("^[0-9]+$")
+    mine = (F.col("ingest_id") == ingest_id) | (batch & (F.regexp_replace("ingest_id", "-[0-9]+$", "") == ingest_id))
     parts = [
         read_bronze(lake, e)
-        .where(F.col("ingest_id") == ingest_id)
+        .where(mine)
         .groupBy("run_id")
         .agg(F.count(F.lit(1)).alias("row_count"))
         .select(F.lit(e).alias("table_name"), "run_id", "row_count")

@@ -319,7 +319,7 @@ for _entity in ENTITIES:
     )
 _tables(
     "rows_loaded",
-    lambda t: ingest.rows_loaded(t.ingested(), "sample-0")
+    lambda t: ingest.rows_loaded(t.ingested(), "sample")
     .groupBy("table_name")
     .agg(F.sum("row_count").alias("row_count")),
     " union all ".join(
