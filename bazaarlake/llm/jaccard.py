@@ -300,36 +300,38 @@ def _candidates(named: DataFrame, points: DataFrame, parts: int) -> DataFrame:
         F.count("*").alias("many"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y")
     )
     chosen = met.groupBy("many", "x", "y").agg(F.min("token").alias("token")).select("token")
-    members = store(blocks.join(chosen, "token"), "members")
-    own = members.groupBy("cls").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
-
-    def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        found: set[tuple[int, int]] = set()
-        seen: set[tuple[int, int]] = set()
-        pdf = pdf.sort_values(["token", "cls"])
-        token = pdf["token"].to_numpy()
+    # A class goes once to each part that holds one of its shingles.
+    own = blocks.join(chosen, "token").groupBy("cls").agg(F.min("label").alias("label"), F.collect_list("token").alias("tokens"))
+
+    def join(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("cls")
         cls, label, size = pdf["cls"].to_numpy(), pdf["label"].to_numpy(), pdf["n"].to_numpy()
         tokens = [np.asarray(t) for t in pdf["tokens"]]
+        here = [t[np.mod(t, parts) == key[0]] for t in tokens]
+        token, owner = np.concatenate(here), np.repeat(np.arange(len(here)), [len(t) for t in here])
+        order = np.lexsort((owner, token))
+        token, owner = token[order], owner[order]
+        own = [frozenset(t.tolist()) for t in tokens]
         fine = [np.frombuffer(p, np.uint16).astype(np.uint32) for p in pdf["point"]]
         point = np.stack([_fold(p, GROUPS) for p in fine]).astype(np.int64)
+        found: list[tuple[int, int]] = []
         edge = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
         for a, b in zip(edge, np.append(edge[1:], len(token)), strict=True):
-            tree = CountTree(point[a:b], size[a:b])
-            for i in range(a, b):
-                near = tree.search(point[i], int(size[i])) + a
-                for j in near[(cls[near] > cls[i]) & (label[near] != label[i])].tolist():
-                    pair = (int(cls[i]), int(cls[j]))
+            block = owner[a:b]
+            tree = CountTree(point[block], size[block])
+            for i in block.tolist():
+                near = block[tree.search(point[i], int(size[i]))]
+                for j in near[(near > i) & (label[near] != label[i])].tolist():
                     # A pair belongs to the first shingle at which its classes meet.
-                    if pair not in seen and np.intersect1d(tokens[i], tokens[j], assume_unique=True)[0] == token[i]:
-                        seen.add(pair)
+                    if min(own[i] & own[j]) == token[a]:
                         both = _bound(fine[i], fine[j])
                         if OF * both >= NEED * (int(size[i]) + int(size[j]) - both):
-                            found.add(pair)
+                            found.append((int(cls[i]), int(cls[j])))
         pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    placed = members.join(points, "cls").join(own, "cls").withColumn("part", F.pmod(F.xxhash64("token"), F.lit(parts)))
-    return placed.groupBy("part").applyInPandas(join, "a long, b long").distinct()
+    places = F.array_distinct(F.transform("tokens", lambda t: F.pmod(t, F.lit(parts).cast("long"))))
+    return own.withColumn("part", F.explode(places)).join(points, "cls").groupBy("part").applyInPandas(join, "a long, b long")
 
 
 def similar_classes(docs: DataFrame) -> DataFrame:
