@@ -39,6 +39,8 @@ GROUPS, MOST_GROUPS = 64, 8192
 STARS, ROUNDS = 12, 1
 TOKENS_PER_BUCKET = 2_000_000
 LEAF, FAN = 16, 8
+#: Bits of the map that spares most unwanted texts a shuffle: 16 MB, whatever the input.
+MAP_BITS = 1 << 27
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -334,6 +336,20 @@ def _candidates(named: DataFrame, points: DataFrame, parts: int) -> DataFrame:
     return own.withColumn("part", F.explode(places)).join(points, "cls").groupBy("part").applyInPandas(join, "a long, b long")
 
 
+def _marked(texts: DataFrame, mark: str, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``texts`` whose ``mark`` may be among ``keys``: all that are, and some others.
+
+    A map of `MAP_BITS` bits, of fixed size and therefore broadcast, tells; a full map lets all rows pass.
+    """
+    bit = F.pmod(F.col(key), F.lit(MAP_BITS).cast("long"))
+    bits = keys.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("_bits"))
+    own = F.pmod(F.col(mark), F.lit(MAP_BITS).cast("long"))
+    placed = texts.withColumn("_at", F.bitmap_bit_position(own)).withColumn("_own", F.bitmap_bucket_number(own))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(F.col("_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = placed.join(F.broadcast(bits), F.col("_own") == F.col("_bucket")).withColumn("_byte", byte)
+    return held.where(F.expr("shiftright(_byte, cast(_at % 8 as int)) & 1 = 1")).select(*texts.columns)
+
+
 def similar_classes(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``cls``, ``component_id`` of every document.
 
@@ -361,6 +377,7 @@ def similar_classes(docs: DataFrame) -> DataFrame:
     left = store(classes.join(shared, "cls").where(OF * F.col("shared") >= NEED * F.col("n")), "classes")
     wanted = left.select(F.col("cls").alias("_cls"), F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key"))
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_mark"))
+    texts = _marked(texts, "_mark", wanted, "_key")
     held = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["_id"]) & (texts["_mark"] == wanted["_key"])).select(F.col("_cls").alias("cls"), "text")
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

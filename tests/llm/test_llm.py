@@ -184,6 +184,16 @@ def test_jaccard_odd(odd, none):
     assert jaccard.jaccard_join(none).count() == 0
 
 
+def test_text_map_loses_nothing(spark):
+    edges = [0, 1, -1, jaccard.MAP_BITS - 1, jaccard.MAP_BITS, 32767, 32768, 32769, 1 << 40, -(1 << 40)]
+    keys = spark.createDataFrame([(k,) for k in edges], "k long")
+    texts = spark.createDataFrame([(k, k % 3) for k in edges] + [(n, 0) for n in range(100, 200)], "mark long, text long")
+    held = [r.mark for r in jaccard._marked(texts, "mark", keys, "k").collect()]
+    # No other mark here has a bit of a key, so the map is exact.
+    assert sorted(held) == sorted(edges)
+    assert jaccard._marked(texts, "mark", keys.where("k IS NULL"), "k").count() == 0
+
+
 def test_count_tree_finds_all():
     rng = np.random.default_rng(5)
     points = rng.integers(0, 9, (300, jaccard.GROUPS))
