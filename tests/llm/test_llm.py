@@ -166,6 +166,22 @@ def test_substrings_brute_force(spark, none, hot):
     assert substrings.remove_repeats(none).count() == 0
 
 
+def test_hot_anchors_over_several_buckets(spark, monkeypatch):
+    """An anchor is hot for all of its documents or for none, whichever share a slice with another."""
+    monkeypatch.setattr(substrings, "BYTES_PER_ANCHOR_BUCKET", 400)
+    monkeypatch.setattr(substrings, "CONTEXT_BYTES_PER_BUCKET", 400)
+    rng = np.random.default_rng(4)
+    passages = ["".join(rng.choice(list("abcdefgh"), 130)) for _ in range(3)]
+    rows = []
+    for i in range(60):
+        own = "".join(rng.choice(list("ijklmnop"), int(rng.integers(0, 90))))
+        rows.append((i, own + passages[int(rng.integers(3))][int(rng.integers(0, 60)) :]))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(20)
+    for hot in (4, 8, 12):
+        got = substrings.remove_repeats(df, hot_contexts=hot).withColumn("h", F.sha2("kept", 256)).collect()
+        assert sorted((r.doc_id, r.h) for r in got) == removed(rows, 50)
+
+
 def test_substrings_odd(odd):
     got = substrings.remove_repeats(odd).withColumn("h", F.sha2("kept", 256)).collect()
     assert sorted((2**63 if r.doc_id is None else r.doc_id, r.h) for r in got) == removed([r[:2] for r in odd_rows()], 50)
