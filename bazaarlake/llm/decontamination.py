@@ -1,15 +1,13 @@
-"""Benchmark decontamination by SimHash of item-sized windows.
+"""Benchmark decontamination by the best item-sized window.
 
 Both sides are lower-cased words cut of outer punctuation, taken in five-word shingles. A window of a document
-is as long as an item and lies so that one of its shingles stands where it stands in the item; a window that
-shares no shingle with an item can't be similar to it, so these are all windows that matter. Each window gets
-a 128-bit SimHash of its weighted shingles. The items' fingerprints are indexed in 16 blocks of 8 bits: two
-fingerprints within 40 bits of each other differ by at most 2 bits in some block, so looking up every block value
-within 2 bits finds all items in the radius. Candidates are then verified exactly: the share of the item's
-shingle weight that the window holds. A shingle of several items weighs as much less.
-
-The radius isn't what decides: with half of its bits drawn anew a window is 64 bits away on average, one that
-holds three quarters of the item's weight about 22, so 40 leaves more than four standard deviations.
+is as long as an item, wherever it starts; a document of fewer shingles is one window. Its similarity to an item
+is the share of the item's shingle weight that it holds, in any order; a shingle of several items weighs as much less.
+
+Every window that counts begins at a shingle of the item, or holds no more than one that does. So postings give
+the items' shingles in each document, pairs whose whole document holds too little are left out, and a sliding
+sum over the hits of each other pair gives its best window. No window is judged by a fingerprint: fingerprints
+of 128 bits lose windows at any radius that spares work, as a few rare shingles or words of no item outvote the rest.
 """
 
 from __future__ import annotations
@@ -25,11 +23,10 @@ from pyspark.sql import functions as F
 from bazaarlake.llm import text as tx
 
 SHINGLE, SIMILARITY = 5, 0.75
-BITS, BLOCKS, RADIUS = 128, 16, 40
+#: Postings looked at together; whole documents, so one that has more is looked at alone.
+HITS_PER_STEP = 1 << 20
 #: Items of a block of the benchmark; each block is sent to the tasks as a whole, whatever the benchmark's size.
 ITEMS_PER_BLOCK = 5_000
-_BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(axis=1)
-_NEAR = [np.flatnonzero(_BYTE_BITS[np.arange(256) ^ v] <= RADIUS // BLOCKS) for v in range(256)]
 _BETWEEN = np.zeros(256, bool)
 _BETWEEN[[*range(0x21), *(ord(c) for c in "!\"#$%&()*+,./:;<=>?@[\\]^_`{|}~-")]] = True
 
@@ -39,15 +36,34 @@ def _shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return (*tx.shingles(words, SHINGLE), np.maximum(words.counts - SHINGLE + 1, np.minimum(words.counts, 1)))
 
 
-def _bits(value: np.ndarray) -> np.ndarray:
-    """128 signs per shingle."""
-    both = np.stack([tx.mix(value), tx.mix(value ^ np.uint64(0xD1B54A32D192ED03))], axis=1)
-    return np.unpackbits(both.view(np.uint8), axis=1).astype(np.int8) * 2 - 1
+def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of all runs, one after the other."""
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
+def _edges(*keys: np.ndarray) -> np.ndarray:
+    """Starts of the runs in which all keys are equal."""
+    change = np.zeros(len(keys[0]), bool)
+    change[:1] = True
+    for k in keys:
+        change[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(change)
+
+
+def _steps(key: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Bounds of stretches of whole runs of equal keys, of about ``HITS_PER_STEP`` each."""
+    edge = np.append(_edges(key), len(key))
+    total = np.concatenate([[0], np.cumsum(size)])[edge]
+    low = 0
+    while low < len(edge) - 1:
+        high = max(int(np.searchsorted(total, total[low] + HITS_PER_STEP, "right")) - 1, low + 1)
+        yield int(edge[low]), int(edge[high])
+        low = high
 
 
 @dataclass
 class Benchmark:
-    """Items as shingles: ``ids``; per item first shingle ``first`` and ``count``; shingle values and weights; the index."""
+    """Items as shingles: ``ids``; per item first shingle ``first`` and ``count``; shingle values and weights; the postings."""
 
     ids: np.ndarray
     first: np.ndarray
@@ -56,27 +72,19 @@ class Benchmark:
     weight: np.ndarray
 
     def __post_init__(self) -> None:
-        self.owner = np.repeat(np.arange(len(self.ids)), self.count)
-        self.total = np.zeros(len(self.ids))
+        owner = np.repeat(np.arange(len(self.ids)), self.count)
         self.known = np.unique(self.value)
         place = np.searchsorted(self.known, self.value)
         self.worth = np.zeros(len(self.known))
         self.worth[place] = self.weight
-        order = np.argsort(place, kind="stable")
-        self.at = order
-        self.at_bounds = np.searchsorted(place[order], np.arange(len(self.known) + 1))
         self.seen = np.zeros(1 << 20, bool)
         self.seen[(self.known >> np.uint64(44)).astype(np.int64)] = True
-        own, token = tx.distinct(self.owner, place.astype(np.uint64))
-        self.total = np.bincount(own, self.worth[token.astype(np.int64)], len(self.ids))
-        self.prints = self.fingerprints(self.value, self.first, self.count)
-        self.index = [[np.zeros(0, np.int64)] * 256 for _ in range(BLOCKS)]
-        for block in range(BLOCKS):
-            by_value = [np.flatnonzero(self.prints[:, block] == v) for v in range(256)]
-            for v in range(256):
-                near = [by_value[u] for u in _NEAR[v] if len(by_value[u])]
-                if near:
-                    self.index[block][v] = np.concatenate(near)
+        own, token = tx.distinct(owner, place.astype(np.uint64))
+        token = token.astype(np.int64)
+        self.total = np.bincount(own, self.worth[token], len(self.ids))
+        order = np.argsort(token, kind="stable")
+        self.holder = own[order]
+        self.bounds = np.searchsorted(token[order], np.arange(len(self.known) + 1))
 
     @classmethod
     def of(cls, ids: list, texts: list[str], often: dict[int, int] | None = None) -> Benchmark:
@@ -91,63 +99,71 @@ class Benchmark:
         weight = np.array([1.0 / often.get(int(v), 1) for v in self.value])
         return Benchmark(self.ids, self.first, self.count, self.value, weight)
 
-    def shingle_weight(self, value: np.ndarray) -> np.ndarray:
-        if not len(self.known):
-            return np.ones(len(value))
-        place = np.minimum(np.searchsorted(self.known, value), len(self.known) - 1)
-        return np.where(self.known[place] == value, self.worth[place], 1.0)
-
-    def fingerprints(self, value: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
-        """Packed 128-bit SimHash of runs of shingles."""
-        if not len(first):
-            return np.zeros((0, BITS // 8), np.uint8)
-        signed = _bits(value) * self.shingle_weight(value)[:, None]
-        total = np.vstack([np.zeros((1, BITS)), np.cumsum(signed, axis=0)])
-        return np.packbits(total[first + count] - total[first] > 1e-9, axis=1)
-
-    def windows(self, rows: np.ndarray, value: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, first shingle, shingles) of the distinct item-sized windows that hold an item's shingle in its place."""
+    def hits(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the items' shingles among ``value``, and which shingle stands there."""
         if not len(value) or not len(self.known):
-            return (np.zeros(0, np.int64),) * 3
+            return (np.zeros(0, np.int64),) * 2
         maybe = np.flatnonzero(self.seen[(value >> np.uint64(44)).astype(np.int64)])
-        place = np.minimum(np.searchsorted(self.known, value[maybe]), len(self.known) - 1)
-        ok = self.known[place] == value[maybe]
-        hit, place = maybe[ok], place[ok]
-        times = self.at_bounds[place + 1] - self.at_bounds[place]
-        where = np.repeat(hit, times)
-        nth = np.arange(len(where)) - np.repeat(np.cumsum(times) - times, times)
-        item_shingle = self.at[np.repeat(self.at_bounds[place], times) + nth]
-        item = self.owner[item_shingle]
-        low = np.cumsum(counts) - counts
-        doc = rows[where]
-        start = where - (item_shingle - self.first[item])
-        end = np.minimum(start + self.count[item], low[doc] + counts[doc])
-        start = np.maximum(start, low[doc])
-        found = np.unique(np.stack([doc, start, end - start], axis=1), axis=0)
-        return found[:, 0], found[:, 1], found[:, 2]
+        token = np.minimum(np.searchsorted(self.known, value[maybe]), len(self.known) - 1)
+        ok = self.known[token] == value[maybe]
+        return maybe[ok], token[ok]
 
     def match(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, item, similarity) of the verified windows of a slice, the best window of each pair."""
-        rows, _, value, counts = _shingles(data, offsets)
-        doc, first, count = self.windows(rows, value, counts)
-        out: dict[tuple[int, int], float] = {}
-        if len(doc):
-            # Fingerprints of the stretches that hold windows only.
-            needed = np.unique(np.concatenate([np.arange(a, a + c) for a, c in zip(first, count, strict=True)]))
-            prints = self.fingerprints(value[needed], np.searchsorted(needed, first), count)
-            for d, a, c, print_ in zip(doc.tolist(), first.tolist(), count.tolist(), prints, strict=True):
-                near = [self.index[block][v] for block, v in enumerate(print_.tolist())]
-                items = np.unique(np.concatenate(near))
-                items = items[_BYTE_BITS[self.prints[items] ^ print_].sum(axis=1) <= RADIUS]
-                held = np.unique(value[a : a + c])
-                for i in items.tolist():
-                    mine = np.unique(self.value[self.first[i] : self.first[i] + self.count[i]])
-                    both = np.intersect1d(held, mine, assume_unique=True)
-                    share = float(self.shingle_weight(both).sum() / self.total[i])
-                    if share >= SIMILARITY - 1e-9:
-                        out[d, i] = max(out.get((d, i), 0.0), min(share, 1.0))
-        pairs = sorted(out)
-        return np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64), np.array([out[p] for p in pairs])
+        """(document, item, similarity) of the best window of each pair in a slice that is similar enough."""
+        rows, _, value, _ = _shingles(data, offsets)
+        at, token = self.hits(value)
+        order = np.lexsort((at, token, rows[at]))
+        at, token = at[order], token[order]
+        edge = _edges(rows[at], token)
+        many = np.diff(np.append(edge, len(at)))
+        doc, token = rows[at[edge]], token[edge]
+        holders = self.bounds[token + 1] - self.bounds[token]
+        out: list[tuple[int, int, float]] = []
+        for a, b in _steps(doc, holders):
+            which = np.repeat(np.arange(a, b), holders[a:b])
+            pair = doc[which] * len(self.ids) + self.holder[_runs(self.bounds[token[a:b]], holders[a:b])]
+            by = np.argsort(pair, kind="stable")
+            which, pair = which[by], pair[by]
+            first = _edges(pair)
+            # No window holds more than the whole document.
+            enough = np.add.reduceat(self.worth[token[which]], first) >= (SIMILARITY - 1e-6) * self.total[pair[first] % len(self.ids)]
+            keep = np.repeat(enough, np.diff(np.append(first, len(pair))))
+            which, pair = which[keep], pair[keep]
+            for c, d in _steps(pair, many[which]):
+                out += self._best(pair[c:d], token[which[c:d]], at[_runs(edge[which[c:d]], many[which[c:d]])], many[which[c:d]])
+        out.sort()
+        return np.array([p[0] for p in out], np.int64), np.array([p[1] for p in out], np.int64), np.array([p[2] for p in out])
+
+    def _best(self, pair: np.ndarray, token: np.ndarray, at: np.ndarray, many: np.ndarray) -> list[tuple[int, int, float]]:
+        """The pairs whose best window is similar; of each pair and shingle, ``many`` places ``at``."""
+        fresh = np.zeros(len(at), bool)
+        fresh[np.cumsum(many) - many] = True
+        pair, token = np.repeat(pair, many), np.repeat(token, many)
+        order = np.lexsort((at, pair))
+        rank = np.empty(len(at), np.int64)
+        rank[order] = np.arange(len(at))
+        # A hit counts for windows that begin behind the last hit of the same shingle and reach it.
+        behind = np.where(fresh, 0, np.concatenate([[0], rank[:-1] + 1]))[order]
+        pair, token, at = pair[order], token[order], at[order]
+        first = _edges(pair)
+        size = np.diff(np.append(first, len(pair)))
+        span = int(at.max()) + 1
+        base = np.repeat(np.arange(len(first)) * span, size)
+        reach = np.searchsorted(base + at, base + np.maximum(at - self.count[pair % len(self.ids)] + 1, 0))
+        low = np.maximum(behind, reach)
+        worth = self.worth[token]
+        held = np.cumsum(np.bincount(low, worth, len(at) + 1) - np.bincount(np.arange(1, len(at) + 1), worth, len(at) + 1))[:-1]
+        most = np.maximum.reduceat(held, first)
+        item = pair[first] % len(self.ids)
+        out = []
+        for n in np.flatnonzero(most >= (SIMILARITY - 1e-6) * self.total[item]).tolist():
+            a, b, i = int(first[n]), int(first[n] + size[n]), int(item[n])
+            start = a + int(held[a:b].argmax())
+            end = int(np.searchsorted(at[start:b], at[start] + self.count[i])) + start
+            share = float(self.worth[np.unique(token[start:end])].sum() / self.total[i])
+            if share >= SIMILARITY - 1e-9:
+                out.append((int(pair[a]) // len(self.ids), i, min(share, 1.0)))
+        return out
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Benchmark]:

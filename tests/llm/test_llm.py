@@ -238,6 +238,59 @@ def test_decontamination(spark, documents, odd, none):
     assert decontamination.decontamination(odd, mine.limit(0)).where("contaminated = 1").count() == 0
 
 
+def best_windows(text, items):
+    """Brute force: items of which an item-sized window of the text holds 0.75 of the weight, with the most it holds."""
+
+    def shingles(t):
+        words = t.split()
+        return [tuple(words[i : i + 5]) for i in range(len(words) - 4)] or [tuple(words)] * bool(words)
+
+    held = {i: shingles(t) for i, t in items}
+    weight = {s: 1 / sum(s in own for own in held.values()) for own in held.values() for s in own}
+    mine, out = shingles(text), {}
+    for i, own in held.items():
+        total = sum(weight[s] for s in set(own))
+        windows = [set(mine[a : a + len(own)]) for a in range(max(1, len(mine) - len(own) + 1))]
+        best = max(sum(weight[s] for s in w & set(own)) for w in windows) / total
+        if best >= 0.75 - 1e-9:
+            out[i] = round(best, 6)
+    return out
+
+
+@pytest.mark.parametrize("step", [1 << 20, 50])
+def test_decontamination_brute_force(step, monkeypatch):
+    """Edited items, items that share most shingles, repeated shingles; every item-sized window counts."""
+    monkeypatch.setattr(decontamination, "HITS_PER_STEP", step)
+    rng = np.random.default_rng(6)
+    some = lambda n, kind="w": [f"{kind}{x}" for x in rng.integers(0, 5000, n)]
+    items = []
+    for family, k in enumerate((1, 2, 3, 5, 1, 3)):
+        base = some(int(rng.integers(40, 90)))
+        for j in range(k):
+            own = [*base]
+            own[5 + j] = f"only{j}"
+            items.append((10 * family + j, " ".join(own)))
+    items += [(90, "a b c d e " * 8), (91, "two words")]
+    texts = ["two words", "a b c d e " * 3, "", "b c d e a b c d e a b"]
+    for _, text in items[:-2]:
+        words = text.split()
+        for edits in range(5):
+            own = [*words]
+            for at in rng.integers(0, len(own), edits):
+                own[at] = "edit"
+            texts.append(" ".join(some(20, "x") + own[: len(own) - edits] + some(20, "x")))
+    held = decontamination.Benchmark.of([i for i, _ in items], [t for _, t in items])
+    own, count = np.unique(np.concatenate([np.unique(held.value[a : a + n]) for a, n in zip(held.first, held.count, strict=True)]), return_counts=True)
+    held = held.weigh(dict(zip(own.tolist(), count.tolist(), strict=True)))
+    data = [t.encode() for t in texts]
+    doc, item, share = held.match(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    got = [{} for _ in texts]
+    for d, i, s in zip(doc, item, share, strict=True):
+        got[d][items[i][0]] = round(s, 6)
+    expected = [best_windows(t, items) for t in texts]
+    assert got == expected and sum(map(len, expected)) > 60
+
+
 def test_grammar_reads_clauses():
     read = lambda kinds: [r for r, _ in toxicity.Grammar.read(kinds, [1.0] * len(kinds))]
     I, T, Y, N, R, o = toxicity.INSULT, toxicity.THREAT, toxicity.TARGET, toxicity.NEGATION, toxicity.REPORT, toxicity.OTHER  # noqa: E741
