@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..contracts import AUDIT_LOGS, ENTITIES, LINEAGE, MAX_FILE_BYTES, bronze_schema
+from ..contracts import AUDIT_LOGS, ENTITIES, LINEAGE, bronze_schema
 from ..functions import files
 from ..operators.joins import heavy_keys, lookup_join
 from ..session import materialize
@@ -35,9 +35,12 @@ LOG_PARTITIONS = ("ingest_id",)
 
 @dataclass(frozen=True)
 class IngestOptions:
-    """``max_files`` bounds the files of one batch, and with it the lookup table that is broadcast."""
+    """``max_files`` bounds the files of one batch, and with it the lookup table that is broadcast.
 
-    max_bytes: int = MAX_FILE_BYTES
+    Files of any size load; ``max_bytes`` sets a limit for those who want one.
+    """
+
+    max_bytes: int | None = None
     max_files: int = 20_000
     skip_step: str = "process_completed"
     service: str = "ingestion-service"
@@ -67,14 +70,16 @@ def known_hashes(uploads: DataFrame, ingest_id: str) -> DataFrame:
     return loaded.select("file_hash")
 
 
-def _check(manifest: DataFrame, max_bytes: int) -> DataFrame:
+def _check(manifest: DataFrame, max_bytes: int | None) -> DataFrame:
     """Adds ``own_error``: the first rule the file breaks by itself, NULL for a good file."""
     missing = F.array_except(F.col("required"), F.col("header"))
     blank_header = (F.size("header") == 1) & (F.trim(F.col("header")[0]) == "")
+    too_large = F.lit(False) if max_bytes is None else F.col("size_bytes") > max_bytes
+    limit = f"File size exceeds {(max_bytes or 0) // (1024 * 1024)} MB limit."
     own_error = (
         F.when(~F.col("exists"), F.concat(F.lit("File not found: "), F.col("tmp_uri")))
         .when(F.col("size_bytes") == 0, F.lit("File is empty"))
-        .when(F.col("size_bytes") > max_bytes, F.lit(f"File size exceeds {max_bytes // (1024 * 1024)} MB limit."))
+        .when(too_large, F.lit(limit))
         .when(blank_header, F.lit("No columns to parse from file"))
         .when(F.col("widest") > F.size("header"), F.lit("Error tokenizing data: a row has more fields than the header"))
         .when(F.col("row_count") == 0, F.lit("CSV has header but no rows"))

@@ -80,24 +80,55 @@ def requests_frame(spark: SparkSession, requests: Iterable[UploadRequest]) -> Da
     return spark.createDataFrame(rows, REQUEST_SCHEMA)
 
 
-def fingerprints(spark: SparkSession, root: str, paths: list[str], max_bytes: int) -> DataFrame:
+def _locator():
+    """The function that finds file system and path of a URI; made here, so that it travels to executors without this package."""
+
+    def locate(uri: str):
+        from pyarrow import fs
+
+        return fs.FileSystem.from_uri(uri.removeprefix("file://").removeprefix("file:"))
+
+    return locate
+
+
+def fingerprints(spark: SparkSession, root: str, paths: list[str], max_bytes: int | None = None) -> DataFrame:
     """``(tmp_file_path, size_bytes, file_hash, header)`` of files that exist and have bytes.
 
-    Files over the limit keep their size only; the filter on the length reaches the scan, so their
-    bytes are never read.
+    Files are hashed in a stream inside the task that reads them, so a task holds a piece and the first line
+    of a file, never all of it. With a limit, files over it keep their size only and are not read.
     """
     if not paths:
         return spark.createDataFrame([], "tmp_file_path string, size_bytes long, file_hash string, header array<string>")
     scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([f"{root}/{p}" for p in paths])
     sizes = scan.select(relative(F.col("path"), root).alias("tmp_file_path"), F.col("length").alias("size_bytes"))
-    first_line = F.regexp_replace(F.substring_index(F.col("content").cast("string"), "\n", 1), f"^{_BOM}|\r$", "")
+    locate = _locator()
+
+    def read(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        for batch in batches:
+            for path in batch.column("tmp_file_path").to_pylist():
+                digest, line, open_line = hashlib.sha256(), [], True
+                store, name = locate(f"{root}/{path}")
+                with store.open_input_stream(name) as reader:
+                    while piece := reader.read(1 << 20):
+                        digest.update(piece)
+                        if open_line:
+                            head, end, _ = piece.partition(b"\n")
+                            line.append(head)
+                            open_line = not end
+                cells = [pa.array([path]), pa.array([digest.hexdigest()]), pa.array([b"".join(line)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cells, ["tmp_file_path", "file_hash", "line"])
+
+    wanted = sizes if max_bytes is None else sizes.where(F.col("size_bytes") <= max_bytes)
+    cores = spark.sparkContext.defaultParallelism
+    hashed = wanted.select("tmp_file_path").repartition(cores, "tmp_file_path")
+    hashed = hashed.mapInArrow(read, "tmp_file_path string, file_hash string, line binary")
+    first_line = F.regexp_replace(F.col("line").cast("string"), f"^{_BOM}|\r$", "")
     names = F.transform(F.split(first_line, ","), lambda c: F.regexp_replace(c, '^"|"$', ""))
-    contents = scan.where(F.col("length") <= max_bytes).select(
-        relative(F.col("path"), root).alias("tmp_file_path"),
-        F.sha2("content", 256).alias("file_hash"),
-        names.alias("header"),
-    )
-    return sizes.join(contents, "tmp_file_path", "left")
+    return sizes.join(hashed.select("tmp_file_path", "file_hash", names.alias("header")), "tmp_file_path", "left")
 
 
 def read_cells(spark: SparkSession, root: str, paths: list[str], width: int) -> DataFrame:
@@ -132,15 +163,12 @@ def row_counts(cells: DataFrame, width: int) -> DataFrame:
 def copy_files(routes: DataFrame) -> None:
     """Copy every ``source`` to its ``target`` on the executors; a repeated copy writes the same file."""
 
+    locate = _locator()
+
     # Defined here, with its own imports, so that it travels to executors without this package.
     def copy_rows(rows) -> None:
         import shutil
 
-        from pyarrow import fs
-
-        def locate(uri: str):
-            return fs.FileSystem.from_uri(uri.removeprefix("file://").removeprefix("file:"))
-
         for row in rows:
             source_fs, source = locate(row.source)
             target_fs, target = locate(row.target)

@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import json
 import os
 
@@ -169,6 +170,18 @@ def test_size_limit_and_batch_bound(lake, root):
     assert parts == []
 
 
+def test_files_above_100_mib_load(lake, root):
+    """The size limit is one of the upload form; landed files of any size load and are hashed whole."""
+    wide = "x" * (1 << 12)
+    content = HEADER + "\n" + "".join(f"{i},{wide},delivered,2024-01-02,,,,\n" for i in range(101 << 8))
+    requests = [put(root, "orders", "big", "a.csv", content), put(root, "orders", "copy", "b.csv", content)]
+    got = outcome(ingest.ingest_batch(lake, root, requests, "i1", AT))
+    assert got == {"big": ("success", None), "copy": ("skipped", "duplicate_file")}
+    loaded = ingest.read_bronze(lake, "orders")
+    assert loaded.where(F.length("customer_id") == 1 << 12).count() == 101 << 8
+    assert loaded.first().file_hash == hashlib.sha256(content.encode()).hexdigest()
+
+
 def test_many_copies_of_one_content(lake, root):
     requests = [put(root, "orders", f"b{i:02d}", "a.csv", GOOD) for i in range(30)]
     got = outcome(ingest.ingest_batch(lake, root, requests, "i1", AT))
