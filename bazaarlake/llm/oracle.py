@@ -110,10 +110,49 @@ SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, m AS component_id
 FROM sets JOIN (SELECT reach.a AS r, min(d.doc_id) AS m FROM reach JOIN docs d ON reach.b = d.r GROUP BY reach.a) USING (r)
 """
 
+AUDIT = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first FROM docs GROUP BY t),
+told AS (SELECT doc_id, coalesce(max((quality = 1)::INTEGER), 0) AS good, coalesce(max((toxic = 1)::INTEGER), 0) AS toxic FROM labels GROUP BY doc_id),
+failing AS (
+    SELECT r, docs.doc_id, part,
+           CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+           || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' ELSE '' END
+           || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN docs.doc_id > first THEN 'E' ELSE '' END AS f
+    FROM docs JOIN firsts USING (t)
+),
+counts AS (
+    SELECT part, f, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, count(*) AS n
+    FROM failing LEFT JOIN told ON failing.doc_id = told.doc_id GROUP BY ALL
+),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+steps AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders),
+seen AS (
+    SELECT part, filter_order, step, filter_order[step] AS x, n, good, toxic, f, contains(f, filter_order[step]) AS fails,
+           translate(filter_order[1:step - 1], f, '') <> filter_order[1:step - 1] AS gone
+    FROM counts, steps
+),
+outcomes AS (
+    SELECT part, filter_order, step::INTEGER AS step, x,
+           coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed,
+           coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (f = x), 0)::BIGINT AS unique_fails,
+           coalesce(sum(n) FILTER (fails AND NOT gone AND good = 1), 0)::BIGINT AS good_lost,
+           coalesce(sum(n) FILTER (fails AND NOT gone AND toxic = 1), 0)::BIGINT AS toxic_lost
+    FROM seen GROUP BY ALL
+)
+SELECT * EXCLUDE (x), (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM outcomes
+"""
+
 SQL: dict[str, str] = {
     "op2_lm_scoring": LM,
     "op3_secret_scans": _secret_sql(),
     "op7_suffix_dedup": SUFFIX,
     "op8_source_mixing": MIXING,
     "op10_ngram_jaccard": JACCARD,
+    "op11_filter_audit": AUDIT,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import ann, decontamination, jaccard, lm, mixing, quality, secrets, sharding, substrings, toxicity
+from bazaarlake.llm import ann, audit, decontamination, jaccard, lm, mixing, quality, secrets, sharding, substrings, toxicity
 from bazaarlake.llm.oracle import SQL
 
 SHARDS = 8
@@ -93,11 +93,17 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove at each step of each of their 120 orders, per language of all documents."""
+    return audit.audit_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sharding, op2_lm_scoring, op3_secret_scans, op4_decontamination, op5_toxicity,
         op6_nearest_neighbours, op7_suffix_dedup, op8_source_mixing, op9_quality, op10_ngram_jaccard,
+        op11_filter_audit,
     )
 }
 ORACLE: dict[str, str] = SQL
