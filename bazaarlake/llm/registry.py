@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import ann, audit, decontamination, jaccard, lm, mixing, quality, secrets, sharding, substrings, toxicity
+from bazaarlake.llm import ann, audit, decontamination, jaccard, lm, mixing, quality, secrets, sharding, substrings, toxicity, whitening
 from bazaarlake.llm.oracle import SQL
 
 SHARDS = 8
@@ -98,12 +98,17 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector along the 16 leading components of the covariance of all distinct vectors."""
+    return whitening.whitened_components(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sharding, op2_lm_scoring, op3_secret_scans, op4_decontamination, op5_toxicity,
         op6_nearest_neighbours, op7_suffix_dedup, op8_source_mixing, op9_quality, op10_ngram_jaccard,
-        op11_filter_audit,
+        op11_filter_audit, op12_embedding_whitening,
     )
 }
 ORACLE: dict[str, str] = SQL
