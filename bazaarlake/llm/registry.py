@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import ann, audit, decontamination, jaccard, lm, mixing, quality, secrets, sharding, substrings, toxicity, whitening
+from bazaarlake.llm import ann, audit, decontamination, jaccard, lm, mixing, neardup, quality, secrets, sharding, substrings, toxicity, whitening
 from bazaarlake.llm.oracle import SQL
 
 SHARDS = 8
@@ -103,12 +103,17 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_components(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with the number of vectors it is close to and its group of near copies."""
+    return neardup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sharding, op2_lm_scoring, op3_secret_scans, op4_decontamination, op5_toxicity,
         op6_nearest_neighbours, op7_suffix_dedup, op8_source_mixing, op9_quality, op10_ngram_jaccard,
-        op11_filter_audit, op12_embedding_whitening,
+        op11_filter_audit, op12_embedding_whitening, op13_embedding_neardup,
     )
 }
 ORACLE: dict[str, str] = SQL
