@@ -1,43 +1,53 @@
 """Load landed CSV files: check a set of files, write the raw tables and the four audit logs.
 
-Every file of a batch gets one verdict row; the raw rows and all audit rows derive from it. Ids come
-from the batch and the file, and each write replaces the partition of its ingest, so a batch that is
-run again after a failure replaces its rows and never doubles them.
+Every file of a batch gets one verdict row; the raw rows and all audit rows derive from it. What goes wrong with one file, even what nobody
+foresaw, becomes the verdict of that file and leaves the others alone. Ids come from the batch and the file, and each write
+replaces the partition of its ingest, so a batch that is run again after a failure replaces its rows and never doubles them.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import AUDIT_LOGS, ENTITIES, LINEAGE, bronze_schema
 from ..functions import files
-from ..operators.joins import heavy_keys, lookup_join
-from ..session import materialize
+from ..session import materialize, scratch_path
 from ..sources import landing
 from ..sources.landing import UploadRequest
-from ..sources.tables import Lake
+from ..sources.tables import Lake, merged_schema
 
 # Names and messages written to the logs.
 PIPELINE_NAME = "gcs_to_bronze_ingestion"
 DUPLICATE_MESSAGE = "Duplicate file detected. Bronze load skipped."
 UNKNOWN_HASH = "UNKNOWN"
 
-# Partition columns of the raw tables and the logs.
+# Partition columns of the raw tables, the logs and the table of handled files.
 BRONZE_PARTITIONS = ("load_date", "ingest_id")
-LOG_PARTITIONS = ("ingest_id",)
+LOG_PARTITIONS = ("log_date", "ingest_id")
+HANDLED_PARTITIONS = ("hash_prefix",)
+
+HANDLED = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("tmp_file_path", "file_hash", "status", "ingest_id", "hash_prefix")]
+)
+
+#: Name of the column that takes the bytes' digits of no content.
+_NO_HASH = "none"
 
 
 @dataclass(frozen=True)
 class IngestOptions:
     """``max_files`` bounds the files of one batch, and with it the lookup table that is broadcast.
 
-    Files of any size load; ``max_bytes`` sets a limit for those who want one.
+    Files of any size load; ``max_bytes`` sets a limit for those who want one. ``wide_rows`` says what becomes of rows with more
+    cells than the header: ``reject`` refuses their file, ``quarantine`` sets the rows aside and loads the others.
     """
 
     max_bytes: int | None = None
@@ -45,6 +55,7 @@ class IngestOptions:
     skip_step: str = "process_completed"
     service: str = "ingestion-service"
     environment: str = "dev"
+    wide_rows: str = "reject"
 
 
 # --- verdicts -----------------------------------------------------------------------------------
@@ -64,115 +75,273 @@ def _required() -> Column:
     return F.create_map(*pairs)
 
 
-def known_hashes(uploads: DataFrame, ingest_id: str) -> DataFrame:
-    """Hashes of files loaded by other batches, one row per load."""
-    loaded = uploads.where((F.col("upload_status") == "SUCCESS") & (F.col("ingest_id") != ingest_id))
-    return loaded.select("file_hash")
+def hash_prefix(file_hash: Column) -> Column:
+    return F.coalesce(F.substring(file_hash, 1, 2), F.lit(_NO_HASH))
+
+
+def known_hashes(handled: DataFrame, contents: DataFrame, ingest_id: str) -> DataFrame:
+    """Those ``file_hash`` of ``contents`` that another batch has loaded.
+
+    The table of handled files lies in folders by the first digits of the hash. The contents of one batch, at most ``max_files``, are broadcast, and
+    Spark prunes the folders to theirs before it reads.
+    """
+    loaded = handled.where((F.col("status") == "success") & (F.col("ingest_id") != ingest_id))
+    asked = contents.select(hash_prefix(F.col("file_hash")).alias("hash_prefix"), "file_hash")
+    return loaded.join(F.broadcast(asked), ["hash_prefix", "file_hash"], "left_semi").select("file_hash").distinct()
 
 
 def _check(manifest: DataFrame, max_bytes: int | None) -> DataFrame:
-    """Adds ``own_error``: the first rule the file breaks by itself, NULL for a good file."""
+    """Adds ``own_error``: the first rule the file breaks by itself, as far as its bytes and header tell, NULL for a good file."""
     missing = F.array_except(F.col("required"), F.col("header"))
-    blank_header = (F.size("header") == 1) & (F.trim(F.col("header")[0]) == "")
-    too_large = F.lit(False) if max_bytes is None else F.col("size_bytes") > max_bytes
+    blank_header = F.trim(F.regexp_replace("header_line", "[,\"]", "")) == ""
     limit = f"File size exceeds {(max_bytes or 0) // (1024 * 1024)} MB limit."
+    too_large = F.lit(False) if max_bytes is None else F.col("size_bytes") > max_bytes
+    # The texts of these errors.
     own_error = (
         F.when(~F.col("exists"), F.concat(F.lit("File not found: "), F.col("tmp_uri")))
+        .when(F.col("read_error").isNotNull(), F.col("read_error"))
         .when(F.col("size_bytes") == 0, F.lit("File is empty"))
         .when(too_large, F.lit(limit))
+        .when(F.col("content_error").isNotNull(), F.col("content_error"))
+        .when(F.col("header_error").isNotNull(), F.col("header_error"))
         .when(blank_header, F.lit("No columns to parse from file"))
-        .when(F.col("widest") > F.size("header"), F.lit("Error tokenizing data: a row has more fields than the header"))
-        .when(F.col("row_count") == 0, F.lit("CSV has header but no rows"))
+        .when(~F.col("has_rows"), F.lit("CSV has header but no rows"))
         .when(F.col("required").isNull(), F.concat(F.lit("Unsupported table_name: "), F.col("table_name")))
+        .when(F.col("header").isNull(), F.lit(f"Too many columns: at most {landing.MAX_COLUMNS} are allowed"))
         .when(F.size(missing) > 0, F.concat(F.lit("Missing required columns: "), _listing(missing)))
     )
-    return manifest.withColumn("own_error", own_error)
+    unread = F.col("exists") & F.col("read_error").isNotNull()
+    return manifest.withColumns({"own_error": own_error, "error_type": F.when(unread, F.col("read_error_type"))})
 
 
-def _mark_duplicates(checked: DataFrame, known: DataFrame) -> DataFrame:
-    """Adds ``duplicate``: the content was loaded before, or by an earlier file of this batch.
+def _mark_duplicates(checked: DataFrame, handled: DataFrame, ingest_id: str) -> DataFrame:
+    """Adds ``known`` (the content was loaded before) and ``first_good`` (the first good file of this content in the batch).
 
-    Of several good files with equal content the first one loads. Each distinct content is looked
-    up once; the lookup back to the files copes with one content held by very many of them. The log
-    of all loads is only scanned: the contents of one batch (at most ``max_files``) are broadcast to it.
+    All tables here have at most one row per file of the batch.
     """
-    has_bytes = F.col("size_bytes") > 0
     contents = (
-        checked.where(has_bytes & F.col("file_hash").isNotNull())
+        checked.where((F.col("size_bytes") > 0) & F.col("file_hash").isNotNull())
         .groupBy("file_hash")
         .agg(F.min(F.when(F.col("own_error").isNull(), F.col("seq"))).alias("first_good"))
     )
-    seen = known.join(F.broadcast(contents.select("file_hash")), "file_hash", "left_semi").distinct()
+    contents = materialize(contents, "contents")
+    # The comparison makes the batch a selective side, which is what Spark prunes partitions by.
+    seen = known_hashes(handled, contents.where(F.length("file_hash") > 0), ingest_id)
     contents = contents.join(seen.withColumn("known", F.lit(True)), "file_hash", "left")
-    heavy = heavy_keys(checked, "file_hash")["file_hash"]
-    marked = lookup_join(checked, contents, "file_hash", heavy)
-    duplicate = F.coalesce(F.col("known"), F.lit(False)) | F.coalesce(F.col("seq") > F.col("first_good"), F.lit(False))
-    return marked.withColumn("duplicate", has_bytes & duplicate).drop("known", "first_good")
+    marked = checked.join(contents, "file_hash", "left")
+    return marked.withColumn("known", F.coalesce("known", F.lit(False)))
 
 
-def verdicts(
+def manifest(
     spark: SparkSession,
     root: str,
     requests: list[UploadRequest],
-    known: DataFrame,
+    handled: DataFrame,
     ingest_id: str,
     as_of: dt.datetime,
     options: IngestOptions = IngestOptions(),
 ) -> DataFrame:
-    """One row per requested file: what it is, what is wrong with it and where it goes."""
-    landed = set(landing.list_files(spark, root))
-    present = sorted({r.tmp_file_path for r in requests} & landed)
-    # Header and hash of each file; the largest header sets how many cells a row may have.
-    prints = materialize(landing.fingerprints(spark, root, present, options.max_bytes), "fingerprints")
-    readable = prints.where(F.col("header").isNotNull()).select("tmp_file_path", F.size("header").alias("width")).collect()
-    if readable:
-        width = max(r.width for r in readable) + 1
-        names = [r.tmp_file_path for r in readable]
-        counts = landing.row_counts(landing.read_cells(spark, root, names, width), width)
-    else:
-        counts = spark.createDataFrame([], "tmp_file_path string, row_count long, widest int")
-    found = spark.createDataFrame([(p,) for p in present], "tmp_file_path string").withColumn("exists", F.lit(True))
-
+    """One row per requested file: what its bytes and header say, before any row is read."""
+    asked = landing.requests_frame(spark, requests)
+    prints = landing.fingerprints(spark, root, asked.select("tmp_file_path").distinct(), options.max_bytes)
+    prints = materialize(prints, "fingerprints")
+    headers = landing.headers(prints.where(F.col("header_line").isNotNull()))
     path = F.col("tmp_file_path")
     load_date = F.lit(as_of.date().isoformat())
-    manifest = (
-        landing.requests_frame(spark, requests)
-        .join(found, "tmp_file_path", "left")
-        .join(prints, "tmp_file_path", "left")
-        .join(counts, "tmp_file_path", "left")
+    raw = files.zone_path(
+        F.lit("raw"), F.col("source_system"), F.col("table_name"), load_date, F.col("batch_id"), files.file_name(path)
+    )
+    rows = (
+        asked.join(prints, "tmp_file_path", "left")
+        .join(headers, "header_line", "left")
         .withColumns(
             {
                 "exists": F.coalesce(F.col("exists"), F.lit(False)),
-                "size_bytes": F.when(F.col("exists"), F.coalesce(F.col("size_bytes"), F.lit(0))),
-                "row_count": F.when(F.col("header").isNotNull(), F.coalesce(F.col("row_count"), F.lit(0))),
                 "source_file_name": files.file_name(path),
                 "tmp_uri": F.concat(F.lit(f"{root}/"), path),
+                "raw_uri": F.concat(F.lit(f"{root}/"), raw),
                 "required": _required()[F.col("table_name")],
                 "run_id": files.stable_id(F.lit(ingest_id), F.col("seq"), path),
+                "load_date": load_date,
+                "at": F.lit(as_of).cast("timestamp"),
             }
         )
     )
-    checked = materialize(_check(manifest, options.max_bytes), "checked")
-    marked = _mark_duplicates(checked, known)
-    failed = F.col("own_error").isNotNull() & ~F.coalesce(F.col("duplicate"), F.lit(False))
-    status = F.when(failed, "failed").when(F.col("duplicate"), "skipped").otherwise("success")
-    judged = marked.withColumn("status", status)
-    zone = F.when(F.col("status") == "success", "raw").when(F.col("status") == "failed", "rejected")
+    checked = materialize(_check(rows, options.max_bytes), "checked")
+    return materialize(_mark_duplicates(checked, handled, ingest_id), "marked")
+
+
+# --- raw rows -----------------------------------------------------------------------------------
+
+
+def column_names(header: list[str | None], required: list[str]) -> list[str | None]:
+    """The column of the raw table that each cell of a header goes to, None for cells that go nowhere.
+
+    Required columns keep their names. Others become letters, digits and ``_``; a name that is taken, in any case, gets a number. Lineage
+    overrides a column of its name.
+    """
+    reserved = {c.lower() for c in (*LINEAGE, "ingest_id", "__file", "__wide")}
+    taken = {c.lower() for c in required}
+    out: list[str | None] = []
+    for place, name in enumerate(header):
+        if name in required and name not in out:
+            out.append(name)
+            continue
+        if name and name.lower() in reserved:
+            out.append(None)
+            continue
+        plain = re.sub(r"\W", "_", (name or "").strip()) or f"column_{place}"
+        free, k = plain, 1
+        while free.lower() in taken | reserved:
+            free, k = f"{plain}_{k}", k + 1
+        taken.add(free.lower())
+        out.append(free)
+    return out
+
+
+def _isolated(paths: list[str], write: Callable[[list[str]], None]) -> dict[str, Exception]:
+    """Run ``write`` over the paths; where it fails, over each half, until the files that fail stand alone."""
+    if not paths:
+        return {}
+    try:
+        write(paths)
+    except Exception as error:
+        if len(paths) == 1:
+            return {paths[0]: error}
+        middle = len(paths) // 2
+        return _isolated(paths[:middle], write) | _isolated(paths[middle:], write)
+    return {}
+
+
+def stage(lake: Lake, root: str, marked: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Read the rows of every good content once: staged rows by entity, and ``(tmp_file_path, row_count, wide_rows, error, error_type)``.
+
+    Files are grouped by layout, that is entity, header and whether line breaks may be quoted; each group is one read with its own columns.
+    The staged files are Parquet, so the counts that follow read two columns of them and no CSV again.
+    """
+    spark = lake.spark
+    chosen = marked.where(F.col("own_error").isNull() & ~F.col("known") & (F.col("seq") == F.col("first_good")))
+    layouts = chosen.groupBy("table_name", "header_line", "multi_line").agg(
+        F.first("header").alias("header"), F.sort_array(F.collect_list("tmp_file_path")).alias("paths")
+    )
+    base = scratch_path(spark, "staged")
+    schemas: dict[str, T.StructType] = {}
+    failed: dict[str, Exception] = {}
+    # Paths and headers of the files of one batch, a layout at a time.
+    for layout in materialize(layouts, "layouts").toLocalIterator():
+        entity, names = layout.table_name, column_names(layout.header, ENTITIES[layout.table_name].required_columns)
+        known = lake.schema("bronze", f"bronze_{entity}") or bronze_schema(entity)
+        columns = T.StructType([T.StructField(n, T.StringType()) for n in names if n is not None])
+        grown = merged_schema(merged_schema(known, schemas.get(entity, columns)), columns)
+        if len(grown) > landing.MAX_COLUMNS + len(LINEAGE) + 1:
+            failed |= dict.fromkeys(layout.paths, ValueError(f"Too many columns in {entity}: {len(grown)}"))
+            continue
+
+        def write(paths: list[str], entity=entity, names=names, multi_line=layout.multi_line) -> None:
+            rows = landing.read_rows(spark, root, paths, names, multi_line)
+            rows.write.mode("append").parquet(f"{base}/{entity}")
+
+        broken = _isolated(layout.paths, write)
+        failed |= broken
+        if len(broken) < len(layout.paths):
+            schemas[entity] = merged_schema(schemas.get(entity), columns)
+    marks = T.StructType([T.StructField("__file", T.StringType()), T.StructField("__wide", T.BooleanType())])
+    staged = {e: spark.read.schema(merged_schema(s, marks)).parquet(f"{base}/{e}") for e, s in schemas.items()}
+    counts = [
+        rows.groupBy(F.col("__file").alias("tmp_file_path")).agg(
+            F.count(F.lit(1)).alias("row_count"), F.count_if("__wide").alias("wide_rows")
+        )
+        for rows in staged.values()
+    ]
+    counted = reduce(DataFrame.unionByName, counts, spark.createDataFrame([], "tmp_file_path string, row_count long, wide_rows long"))
+    errors = spark.createDataFrame(
+        [(path, _first_line(error), type(error).__name__) for path, error in failed.items()], "tmp_file_path string, error string, error_type string"
+    )
+    return staged, materialize(counted.join(errors, "tmp_file_path", "full"), "counted")
+
+
+def _first_line(error: Exception) -> str:
+    """The message without the stack trace that Spark's errors carry."""
+    return (str(error).strip() or type(error).__name__).splitlines()[0]
+
+
+def verdicts(marked: DataFrame, counted: DataFrame, root: str, options: IngestOptions = IngestOptions()) -> DataFrame:
+    """The verdict of every file, from its marks and from what reading its content gave.
+
+    Of several good files with equal content the first one loads and the others are duplicates, unless the content can't be read: then each of
+    them fails for the same reason.
+    """
+    leads = marked.where(F.col("seq") == F.col("first_good")).select("tmp_file_path", "file_hash").join(counted, "tmp_file_path")
+    leads = leads.select("file_hash", "row_count", "wide_rows", F.col("error").alias("load_error"), F.col("error_type").alias("load_error_type"))
+    rows = marked.join(leads, "file_hash", "left")
+    refused = F.lit(options.wide_rows == "reject") & (F.col("wide_rows") > 0)
+    # The texts of these errors.
+    unread = (
+        F.when(F.col("load_error").isNotNull(), F.col("load_error"))
+        .when(refused, F.lit("Error tokenizing data: a row has more fields than the header"))
+        .when(F.coalesce(F.col("row_count"), F.lit(0)) == 0, F.lit("CSV has header but no rows"))
+    )
+    later = F.coalesce(F.col("seq") > F.col("first_good"), F.lit(False))
+    error = F.when(~F.col("known"), F.coalesce("own_error", unread))
+    # A wrong copy of a content that loads is a duplicate like any other.
+    duplicate = F.col("known") | (later & unread.isNull())
+    status = F.when(duplicate, "skipped").when(error.isNotNull(), "failed").otherwise("success")
+    judged = rows.withColumns(
+        {
+            "error": F.when(~duplicate, error),
+            "error_type": F.coalesce("error_type", F.when(F.col("own_error").isNull(), F.col("load_error_type"))),
+        }
+    ).withColumn("status", status)
+    judged = judged.withColumn("row_count", F.when(status == "success", F.col("row_count") - _set_aside(options)))
+    return _routed(judged, root)
+
+
+def _set_aside(options: IngestOptions) -> Column:
+    return F.col("wide_rows") if options.wide_rows == "quarantine" else F.lit(0)
+
+
+def _routed(judged: DataFrame, root: str) -> DataFrame:
+    """Adds where each file goes and how its answer reads, from ``status``, ``error`` and ``error_type``."""
+    failed = F.col("status") == "failed"
+    unexpected = failed & F.col("error_type").isNotNull()
+    zone = F.when(F.col("status") == "success", "raw").when(failed, "rejected")
     target = files.zone_path(
-        zone, F.col("source_system"), F.col("table_name"), load_date, F.col("batch_id"), F.col("source_file_name")
+        zone, F.col("source_system"), F.col("table_name"), F.col("load_date"), F.col("batch_id"), F.col("source_file_name")
     )
-    is_failed = F.col("status") == "failed"
     return judged.withColumns(
         {
             "zone": zone,
             "target_uri": F.concat(F.lit(f"{root}/"), target),
-            "load_date": load_date,
-            "at": F.lit(as_of).cast("timestamp"),
-            "error": F.when(is_failed, F.col("own_error")),
-            "http_status": F.when(is_failed, F.lit(400)).otherwise(F.lit(200)).cast("bigint"),
-            "error_class": F.when(is_failed, F.lit("expected")),
+            "http_status": F.when(unexpected, F.lit(500)).when(failed, F.lit(400)).otherwise(F.lit(200)).cast("bigint"),
+            "error_class": F.when(unexpected, F.lit("unexpected")).when(failed, F.lit("expected")),
+            "error_type": F.when(failed, F.coalesce("error_type", F.lit("ValueError"))),
+        }
+    )
+
+
+def route(verdict: DataFrame, root: str) -> DataFrame:
+    """Copy the files to their zones; a file that can't be copied to the raw zone fails, and is offered to the rejected zone."""
+    verdict = materialize(verdict, "verdicts")
+    here = verdict.where(F.col("exists") & F.col("zone").isNotNull())
+    copied = landing.copy_files(here.select(F.col("tmp_uri").alias("source"), F.col("target_uri").alias("target")).distinct(), root)
+    lost = copied.where(F.col("error").isNotNull()).select(
+        F.col("source").alias("tmp_uri"), F.col("error").alias("copy_error"), F.col("error_type").alias("copy_error_type")
+    )
+    if lost.isEmpty():
+        return verdict
+    broken = (F.col("status") == "success") & F.col("copy_error").isNotNull()
+    judged = verdict.join(lost, "tmp_uri", "left").withColumns(
+        {
+            "error": F.when(broken, F.col("copy_error")).otherwise(F.col("error")),
+            "error_type": F.when(broken, F.col("copy_error_type")).when(F.col("error_class") == "unexpected", F.col("error_type")),
+            "row_count": F.when(~broken, F.col("row_count")),
+            "status": F.when(broken, "failed").otherwise(F.col("status")),
         }
-    ).drop("own_error")
+    )
+    judged = materialize(_routed(judged.drop("copy_error", "copy_error_type"), root), "verdicts")
+    again = judged.join(lost.select("tmp_uri"), "tmp_uri", "left_semi").where("exists and status = 'failed'")
+    landing.copy_files(again.select(F.col("tmp_uri").alias("source"), F.col("target_uri").alias("target")), root)
+    return judged
 
 
 def results(verdict: DataFrame) -> DataFrame:
@@ -193,40 +362,51 @@ def results(verdict: DataFrame) -> DataFrame:
     )
 
 
-# --- raw rows -----------------------------------------------------------------------------------
-
-
-def bronze_rows(spark: SparkSession, root: str, verdict: DataFrame, ingest_id: str) -> dict[str, DataFrame]:
-    """Rows of the good files with lineage, bound by header name, for each entity that has some."""
-    good = verdict.where(F.col("status") == "success")
-    # Paths of at most ``max_files`` files.
-    chosen: dict[str, list] = {}
-    for row in good.select("table_name", "tmp_file_path", F.size("header").alias("width")).collect():
-        chosen.setdefault(row.table_name, []).append(row)
+def bronze_rows(staged: dict[str, DataFrame], verdict: DataFrame, ingest_id: str) -> dict[str, DataFrame]:
+    """Staged rows of the files that load, with lineage, for each entity that has some."""
+    # One short row per file of the batch, so at most ``max_files`` rows.
+    lineage = verdict.where(F.col("status") == "success").select(
+        F.col("tmp_file_path").alias("__file"),
+        "batch_id",
+        "run_id",
+        "source_system",
+        "source_file_name",
+        F.col("target_uri").alias("gcs_uri"),
+        "file_hash",
+        "load_date",
+        F.col("at").alias("ingestion_timestamp"),
+    )
     found = {}
-    for entity, picked in chosen.items():
+    for entity, rows in staged.items():
         required = ENTITIES[entity].required_columns
-        names = F.array(*[F.lit(c) for c in required])
-        # One short row per file of the batch, so at most ``max_files`` rows.
-        lineage = good.where(F.col("table_name") == entity).select(
-            "tmp_file_path",
-            F.transform(names, lambda c: F.array_position("header", c).cast("int")).alias("places"),
-            "batch_id",
-            "run_id",
-            "source_system",
-            "source_file_name",
-            F.col("target_uri").alias("gcs_uri"),
-            "file_hash",
-            "load_date",
-            F.col("at").alias("ingestion_timestamp"),
-        )
-        cells = landing.read_cells(spark, root, [r.tmp_file_path for r in picked], max(r.width for r in picked))
-        stamped = cells.join(F.broadcast(lineage), "tmp_file_path")
-        columns = [F.get("cells", F.col("places")[i] - 1).alias(c) for i, c in enumerate(required)]
-        found[entity] = stamped.select(*columns, *LINEAGE, F.lit(ingest_id).alias("ingest_id"))
+        more = [c for c in rows.columns if c not in (*required, "__file", "__wide")]
+        stamped = rows.where(~F.col("__wide")).join(F.broadcast(lineage), "__file")
+        found[entity] = stamped.select(*required, *LINEAGE, F.lit(ingest_id).alias("ingest_id"), *more)
     return found
 
 
+def quarantined_rows(staged: dict[str, DataFrame], verdict: DataFrame, ingest_id: str) -> DataFrame | None:
+    """Rows with more cells than their header, with file and reason, of the files that load without them."""
+    parts = []
+    for rows in staged.values():
+        cells = [c for c in rows.columns if c not in ("__file", "__wide")]
+        wide = rows.where("__wide").select("__file", F.to_json(F.struct(*cells)).alias("row"))
+        parts.append(wide)
+    if not parts:
+        return None
+    loaded = verdict.where("status = 'success'").select(
+        F.col("tmp_file_path").alias("__file"), "batch_id", "run_id", "table_name", "source_file_name", "load_date"
+    )
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .join(F.broadcast(loaded), "__file")
+        .select(
+            "batch_id", "run_id", "table_name", "source_file_name", F.lit("ROW").alias("rejection_level"),
+            F.lit("more fields than the header").alias("rejection_reason"), "row", "load_date", F.lit(ingest_id).alias("ingest_id"),
+        )
+    )
+
+
 # --- audit logs ---------------------------------------------------------------------------------
 
 
@@ -239,7 +419,7 @@ def _entries(verdict: DataFrame, *rows: tuple[Column, dict[str, Column]]) -> Dat
 
 def _shape(df: DataFrame, log: str, ingest_id: str, given: dict[str, Column]) -> DataFrame:
     columns = [given.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in AUDIT_LOGS[log]]
-    return df.select(*columns, F.lit(ingest_id).alias("ingest_id"))
+    return df.select(*columns, F.col("load_date").alias("log_date"), F.lit(ingest_id).alias("ingest_id"))
 
 
 def _text(value: str | None) -> Column:
@@ -372,50 +552,46 @@ def _as_events(entries: DataFrame, options: IngestOptions) -> DataFrame:
 def log_events(verdict: DataFrame, options: IngestOptions = IngestOptions()) -> DataFrame:
     """Structured log events of each step: the fields and the same as one line of JSON."""
     status = F.col("status")
-    ok, skipped, failed = status == "success", status == "skipped", status == "failed"
+    ok, skipped = status == "success", status == "skipped"
+    expected, unexpected = F.col("error_class") == "expected", F.col("error_class") == "unexpected"
     entries = _entries(
-        verdict.withColumn("error_type", F.when(failed, F.lit("ValueError"))),
-        (F.lit(True), _event("pipeline_started", "INFO", "Processing began")),
-        (ok, _event("schema_validation_passed", "INFO", "Required CSV schema passed")),
-        (ok, _event("bronze_load_completed", "INFO", "Rows loaded to Bronze")),
-        (ok, _event("pipeline_completed", "INFO", "Pipeline completed successfully")),
+        verdict,
+        (F.lit(True), _event("pipeline_started", "INFO", "File taken up")),
+        (ok, _event("schema_validation_passed", "INFO", "All required columns are there")),
+        (ok, _event("bronze_load_completed", "INFO", "Raw rows written")),
+        (ok, _event("pipeline_completed", "INFO", "File done")),
         (skipped, _event("duplicate_file_detected", "WARNING", DUPLICATE_MESSAGE)),
-        (failed, _event("file_validation_failed", "WARNING", "Input failed a data-quality rule")),
-        (failed, _event("file_rejected", "WARNING", "Invalid file copied to the rejected zone")),
-    )
-    return _as_events(entries, options)
-
-
-def failure_events(requests: DataFrame, as_of: dt.datetime, error: Exception, options: IngestOptions) -> DataFrame:
-    """Events for files whose batch broke down for a reason that is not in the files (status 500)."""
-    rows = requests.withColumns(
-        {
-            "at": F.lit(as_of).cast("timestamp"),
-            "run_id": _text(None),
-            "source_file_name": files.file_name(F.col("tmp_file_path")),
-            "row_count": F.lit(0).cast("bigint"),
-            "error_type": F.lit(type(error).__name__),
-            "error": F.lit(str(error)),
-            "http_status": F.lit(500).cast("bigint"),
-        }
+        (expected, _event("file_validation_failed", "WARNING", "A rule for files is broken")),
+        (expected, _event("file_rejected", "WARNING", "File put aside")),
+        (unexpected, _event("pipeline_failed", "ERROR", "File lost to an error that no rule foresees")),
     )
-    entries = _entries(rows, (F.lit(True), _event("pipeline_failed", "ERROR", "Unexpected failure")))
     return _as_events(entries, options)
 
 
 # --- the job ------------------------------------------------------------------------------------
 
 
-def _with_ingest_id(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("ingest_id", T.StringType())])
+def _with(schema: T.StructType, *names: str) -> T.StructType:
+    return T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in names]])
 
 
 def read_log(lake: Lake, log: str) -> DataFrame:
-    return lake.read("audit", log, _with_ingest_id(AUDIT_LOGS[log]))
+    return lake.read("audit", log, _with(AUDIT_LOGS[log], "log_date", "ingest_id")).drop("log_date")
+
+
+def read_handled(lake: Lake) -> DataFrame:
+    """Files that an ingest has loaded or logged, by full path; repeated rows mean nothing."""
+    return lake.read("audit", "handled_files", HANDLED)
 
 
 def read_bronze(lake: Lake, entity: str) -> DataFrame:
-    return lake.read("bronze", f"bronze_{entity}", _with_ingest_id(bronze_schema(entity)))
+    """Raw rows of an entity, with all columns that any of its files had."""
+    return lake.read("bronze", f"bronze_{entity}", _with(bronze_schema(entity), "ingest_id"))
+
+
+def read_quarantine(lake: Lake) -> DataFrame:
+    names = ("batch_id", "run_id", "table_name", "source_file_name", "rejection_level", "rejection_reason", "row", "load_date", "ingest_id")
+    return lake.read("audit", "quarantined_rows", T.StructType([T.StructField(n, T.StringType()) for n in names]))
 
 
 def ingest_batch(
@@ -426,60 +602,116 @@ def ingest_batch(
     as_of: dt.datetime,
     options: IngestOptions = IngestOptions(),
 ) -> DataFrame:
-    """Check, route, load and log one batch of files; returns one result row per file."""
+    """Check, route, load and log one batch of files; returns one result row per file.
+
+    If the job itself breaks down, its raw rows are taken back, every file is logged as failed for a reason that is not in the files (class
+    ``unexpected``), and the error is raised; the files count as not handled, so the next run takes them up again.
+    """
     if len(requests) > options.max_files:
         raise ValueError(f"{len(requests)} files in one batch, at most {options.max_files} are allowed")
     try:
         return _ingest(lake, root, requests, ingest_id, as_of, options)
     except Exception as error:
-        asked = landing.requests_frame(lake.spark, requests)
-        _write_events(lake, failure_events(asked, as_of, error, options), ingest_id)
+        for entity in ENTITIES:
+            lake.drop_partitions("bronze", f"bronze_{entity}", "ingest_id", ingest_id)
+        _write_logs(lake, root, _broken_down(lake.spark, root, requests, ingest_id, as_of, error), ingest_id, as_of, options)
         raise
 
 
-def _write_events(lake: Lake, events: DataFrame, ingest_id: str) -> None:
-    lake.replace_partitions("audit", "events", events.withColumn("ingest_id", F.lit(ingest_id)), LOG_PARTITIONS)
+def _broken_down(
+    spark: SparkSession, root: str, requests: list[UploadRequest], ingest_id: str, as_of: dt.datetime, error: Exception
+) -> DataFrame:
+    """Verdicts of files whose batch broke down."""
+    path = F.col("tmp_file_path")
+    rows = landing.requests_frame(spark, requests).withColumns(
+        {
+            "run_id": files.stable_id(F.lit(ingest_id), F.col("seq"), path),
+            "source_file_name": files.file_name(path),
+            "tmp_uri": F.concat(F.lit(f"{root}/"), path),
+            "required": F.lit(None).cast("array<string>"),
+            "header": F.lit(None).cast("array<string>"),
+            "size_bytes": F.lit(None).cast("long"),
+            "row_count": F.lit(None).cast("long"),
+            "file_hash": _text(None),
+            "load_date": F.lit(as_of.date().isoformat()),
+            "at": F.lit(as_of).cast("timestamp"),
+            "status": F.lit("failed"),
+            "error": F.lit(str(error)),
+            "error_type": F.lit(type(error).__name__),
+        }
+    )
+    return _routed(rows, root)
+
+
+def _replace(lake: Lake, layer: str, table: str, rows: DataFrame, by: tuple[str, ...], ingest_id: str, as_of: dt.datetime) -> None:
+    """Write the rows of one ingest; a run of it on another day is replaced too."""
+    lake.replace_partitions(layer, table, rows, by)
+    lake.drop_partitions(layer, table, "ingest_id", ingest_id, apart_from=f"{by[0]}={as_of.date().isoformat()}")
+
+
+def _write_logs(lake: Lake, root: str, verdict: DataFrame, ingest_id: str, as_of: dt.datetime, options: IngestOptions) -> None:
+    for log, entries in audit_rows(verdict, ingest_id, root, options.skip_step).items():
+        _replace(lake, "audit", log, entries, LOG_PARTITIONS, ingest_id, as_of)
+    events = log_events(verdict, options).withColumns({"log_date": F.to_date("timestamp").cast("string"), "ingest_id": F.lit(ingest_id)})
+    _replace(lake, "audit", "events", events, LOG_PARTITIONS, ingest_id, as_of)
 
 
 def _ingest(
     lake: Lake, root: str, requests: list[UploadRequest], ingest_id: str, as_of: dt.datetime, options: IngestOptions
 ) -> DataFrame:
-    spark = lake.spark
-    known = known_hashes(read_log(lake, "file_upload_log"), ingest_id)
-    verdict = materialize(verdicts(spark, root, requests, known, ingest_id, as_of, options), "verdicts")
-    routed = verdict.where(F.col("exists") & F.col("zone").isNotNull())
-    landing.copy_files(routed.select(F.col("tmp_uri").alias("source"), F.col("target_uri").alias("target")))
-    for entity, rows in bronze_rows(spark, root, verdict, ingest_id).items():
-        lake.replace_partitions("bronze", f"bronze_{entity}", rows, BRONZE_PARTITIONS)
-    for log, entries in audit_rows(verdict, ingest_id, root, options.skip_step).items():
-        lake.replace_partitions("audit", log, entries, LOG_PARTITIONS)
-    _write_events(lake, log_events(verdict, options), ingest_id)
+    marked = manifest(lake.spark, root, requests, read_handled(lake), ingest_id, as_of, options)
+    staged, counted = stage(lake, root, marked)
+    verdict = route(verdicts(marked, counted, root, options), root)
+    for entity, rows in bronze_rows(staged, verdict, ingest_id).items():
+        lake.grow("bronze", f"bronze_{entity}", _with(bronze_schema(entity), "ingest_id"))
+        _replace(lake, "bronze", f"bronze_{entity}", rows, BRONZE_PARTITIONS, ingest_id, as_of)
+    if options.wide_rows == "quarantine":
+        wide = quarantined_rows(staged, verdict, ingest_id)
+        if wide is not None:
+            _replace(lake, "audit", "quarantined_rows", wide, BRONZE_PARTITIONS, ingest_id, as_of)
+    _write_logs(lake, root, verdict, ingest_id, as_of, options)
+    done = verdict.select(
+        "tmp_file_path", "file_hash", "status", F.lit(ingest_id).alias("ingest_id"), hash_prefix(F.col("file_hash")).alias("hash_prefix")
+    )
+    # Last, as it is what makes the files count as handled.
+    lake.append("audit", "handled_files", done.repartition("hash_prefix"), HANDLED_PARTITIONS)
     return results(verdict)
 
 
-def pending_requests(lake: Lake, root: str) -> list[UploadRequest]:
-    """Requests for landed files that no log entry names yet, in path order."""
-    paths = [(p,) for p in landing.list_files(lake.spark, root)]
-    landed = landing.describe(lake.spark.createDataFrame(paths, "tmp_file_path string"))
-    named = ["batch_id", "table_name", "source_file_name"]
-    done = read_log(lake, "file_upload_log").select(*named).distinct()
-    return landing.collect_requests(landed.join(done, named, "left_anti"))
+def pending_files(lake: Lake, root: str, max_files: int) -> DataFrame:
+    """Landed files that no ingest has handled, as requests with their ``part``: numbers of at most ``max_files`` files in path order.
+
+    Paths are told apart whole, so a name that comes again from another source or folder is another file. They are counted per range of
+    paths, and only those counts, one row per range, meet in one task.
+    """
+    spark = lake.spark
+    landed = landing.landed_files(spark, root).select("tmp_file_path")
+    left = landed.join(read_handled(lake).select("tmp_file_path"), "tmp_file_path", "left_anti")
+    ranged = materialize(left.repartitionByRange("tmp_file_path").withColumn("_range", F.spark_partition_id()), "pending")
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = ranged.join(F.broadcast(sizes.select("_range", before.alias("_before"))), "_range")
+    nth = F.row_number().over(Window.partitionBy("_range").orderBy("tmp_file_path")) + F.col("_before") - 1
+    numbered = placed.select("tmp_file_path", F.floor(nth / max_files).alias("part"))
+    return materialize(landing.describe(numbered), "pending")
 
 
 def ingest_landing(
     lake: Lake, root: str, ingest_id: str, as_of: dt.datetime, options: IngestOptions = IngestOptions()
 ) -> list[DataFrame]:
     """Ingest all pending files, ``max_files`` at a time."""
-    pending = pending_requests(lake, root)
-    parts = [pending[i : i + options.max_files] for i in range(0, len(pending), options.max_files)]
-    return [ingest_batch(lake, root, part, f"{ingest_id}-{n}", as_of, options) for n, part in enumerate(parts)]
+    pending = pending_files(lake, root, options.max_files)
+    parts = (pending.agg(F.max("part").alias("last")).first()["last"] or 0) + 1 if not pending.isEmpty() else 0
+    done = []
+    for part in range(parts):
+        requests = landing.collect_requests(pending.where(F.col("part") == part))
+        done.append(ingest_batch(lake, root, requests, f"{ingest_id}-{part}", as_of, options))
+    return done
 
 
 def delete_batches(lake: Lake, entity: str, batch_ids: list[str]) -> None:
     """Remove all rows of some batches from a raw table."""
-    lake.delete_batches(
-        "bronze", f"bronze_{entity}", batch_ids, BRONZE_PARTITIONS, _with_ingest_id(bronze_schema(entity))
-    )
+    lake.delete_batches("bronze", f"bronze_{entity}", batch_ids, BRONZE_PARTITIONS, _with(bronze_schema(entity), "ingest_id"))
 
 
 def rows_loaded(lake: Lake, ingest_id: str) -> DataFrame:

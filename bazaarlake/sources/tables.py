@@ -1,52 +1,113 @@
-"""Tables of the lake: one parquet folder per table, written by layer."""
+"""Tables of the lake: parquet folders written by layer.
+
+Two kinds of table share one address ``<layer>/<table>``:
+
+* tables that are replaced whole live in a fresh folder per write. A folder counts once Spark's committer has put its ``_SUCCESS``
+  mark there, so the switch is that mark: readers find the old rows until then, and a write that fails leaves nothing.
+* tables that grow by partitions (raw rows, logs) live in one folder. Their columns may grow too: the schema is kept with the table, in files
+  of no rows below ``_schema`` which Spark's own merge of Parquet schemas reads, and rows are read by name, NULL where a file lacks a column.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import delete_path
+from ..session import delete_path, materialize
+
+_VERSION = "v-"
+
+
+def merged_schema(known: T.StructType | None, more: T.StructType) -> T.StructType:
+    """``known`` with the columns that only ``more`` has, compared without case."""
+    fields = list(known.fields) if known else []
+    names = {f.name.lower() for f in fields}
+    for field in more.fields:
+        if field.name.lower() not in names:
+            fields.append(T.StructField(field.name, field.dataType))
+            names.add(field.name.lower())
+    return T.StructType(fields)
 
 
 class Lake:
-    """Tables below one root folder, addressed as ``<layer>/<table>``."""
+    """Tables below one root folder, addressed as ``<layer>/<table>``.
+
+    ``keep`` is how long a replaced version stays, for readers that began on it.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, keep: dt.timedelta = dt.timedelta(hours=1)):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep = keep
+
+    # --- places -----------------------------------------------------------------------------------
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
-    def exists(self, layer: str, table: str) -> bool:
-        fs, folder = self._folder(self.path(layer, table))
-        return fs.exists(folder)
-
     def _folder(self, path: str):
         sc = self.spark.sparkContext
         folder = sc._jvm.org.apache.hadoop.fs.Path(path)
         return folder.getFileSystem(sc._jsc.hadoopConfiguration()), folder
 
-    def _swap_in(self, staged: str, path: str) -> None:
-        """Put a completely written folder in the place of the old one."""
-        fs, new = self._folder(staged)
-        _, old = self._folder(path)
-        fs.delete(old, True)
-        fs.mkdirs(old.getParent())
-        if not fs.rename(new, old):
-            raise OSError(f"could not move {staged} to {path}")
+    def _versions(self, layer: str, table: str) -> list[str]:
+        """Names of the whole versions of a replaced table, oldest first."""
+        fs, folder = self._folder(self.path(layer, table))
+        if not fs.exists(folder):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+        whole = [n for n in names if n.startswith(_VERSION) and fs.exists(self._folder(f"{folder}/{n}/_SUCCESS")[1])]
+        return sorted(whole)
+
+    def location(self, layer: str, table: str) -> str:
+        """The folder whose rows are the table's now."""
+        versions = self._versions(layer, table)
+        return f"{self.path(layer, table)}/{versions[-1]}" if versions else self.path(layer, table)
+
+    def exists(self, layer: str, table: str) -> bool:
+        fs, folder = self._folder(self.location(layer, table))
+        # A folder that holds versions only, none of them whole, is no table yet.
+        return fs.exists(folder) and any(not s.getPath().getName().startswith((_VERSION, "_schema")) for s in fs.listStatus(folder))
+
+    # --- reading ----------------------------------------------------------------------------------
+
+    def schema(self, layer: str, table: str) -> T.StructType | None:
+        """The columns kept with a growing table, None where none are."""
+        kept = f"{self.path(layer, table)}/_schema"
+        fs, folder = self._folder(kept)
+        if not fs.exists(folder):
+            return None
+        return self.spark.read.option("mergeSchema", "true").parquet(f"{kept}/*").schema
 
     def read(self, layer: str, table: str, schema: T.StructType | None = None) -> DataFrame:
-        """Read a table; with a schema, a table nobody wrote yet is empty."""
+        """Read a table; with a schema, a table nobody wrote yet is empty.
+
+        A column added later is NULL in the files written before.
+        """
+        kept = self.schema(layer, table)
+        if kept is not None:
+            schema = merged_schema(schema, kept)
         if schema is None:
-            return self.spark.read.parquet(self.path(layer, table))
+            return self.spark.read.parquet(self.location(layer, table))
         if not self.exists(layer, table):
             return self.spark.createDataFrame([], schema)
-        # A column added to the log later is NULL in the files written before.
-        return self.spark.read.schema(schema).parquet(self.path(layer, table))
+        return self.spark.read.schema(schema).parquet(self.location(layer, table))
+
+    def publish(self, layer: str, table: str, name: str) -> None:
+        """Let ``name`` in the session's catalog show the current rows, for those who write SQL."""
+        location = self.location(layer, table)
+        if self.spark.catalog.tableExists(name):
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+            self.spark.catalog.refreshTable(name)
+        else:
+            self.spark.catalog.createTable(name, path=location, source="parquet")
+
+    # --- tables that are replaced whole -----------------------------------------------------------
 
     def overwrite(
         self,
@@ -62,8 +123,8 @@ class Lake:
         ``day`` makes one folder per date; Spark rebalances the rows by date and splits a date that
         holds very many. Without ``day`` the rows are laid out in ranges of ``cluster_by``, and
         ``spread_by`` (the key) splits a cluster value that holds very many. Rows are sorted by
-        ``cluster_by`` inside each file, so that readers can skip by min and max. The new rows are
-        written beside the table first: the old ones stay readable until then, also by ``df`` itself.
+        ``cluster_by`` inside each file, so that readers can skip by min and max. Readers, ``df`` itself among them, keep the old rows
+        until the new ones are whole.
         """
         writer_options = {}
         if day:
@@ -72,40 +133,90 @@ class Lake:
             df = df.sortWithinPartitions(day, *cluster_by)
         elif cluster_by:
             df = df.repartitionByRange(*cluster_by, *spread_by).sortWithinPartitions(*cluster_by, *spread_by)
-        staged = f"{self.root}/{layer}/_staged/{table}-{uuid.uuid4().hex}"
-        df.write.parquet(staged, **writer_options)
-        self._swap_in(staged, self.path(layer, table))
+        fresh = f"{self.path(layer, table)}/{_VERSION}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(fresh, **writer_options)
+        self._forget(layer, table)
+
+    def _forget(self, layer: str, table: str) -> None:
+        """Remove versions that were replaced longer than ``keep`` ago."""
+        versions = self._versions(layer, table)
+        horizon = time.time_ns() - self.keep // dt.timedelta(microseconds=1) * 1000
+        for old, newer in zip(versions, versions[1:], strict=False):
+            if int(newer.removeprefix(_VERSION).split("-")[0]) < horizon:
+                delete_path(self.spark, f"{self.path(layer, table)}/{old}")
+
+    # --- tables that grow -------------------------------------------------------------------------
+
+    def grow(self, layer: str, table: str, columns: T.StructType) -> T.StructType:
+        """Keep columns with the table that it doesn't have yet; its schema afterwards."""
+        known = self.schema(layer, table)
+        wanted = merged_schema(known, columns)
+        if known is None or len(wanted) > len(known):
+            # Writers that add columns at the same time each add a folder.
+            self.spark.createDataFrame([], wanted).write.parquet(f"{self.path(layer, table)}/_schema/{uuid.uuid4().hex}")
+        return wanted
+
+    def add_column(self, layer: str, table: str, name: str, kind: T.DataType) -> None:
+        """Give a growing table one more column, NULL in the rows written before."""
+        known = self.schema(layer, table)
+        if known is None:
+            known = self.read(layer, table).schema
+        self.grow(layer, table, merged_schema(known, T.StructType([T.StructField(name, kind)])))
 
     def replace_partitions(self, layer: str, table: str, df: DataFrame, by: tuple[str, ...]) -> None:
         """Write ``df`` in place of the partitions it covers and leave the others alone.
 
-        Repeating the same load replaces its own rows instead of adding them again.
+        Repeating the same load replaces its own rows instead of adding them again. Columns of ``df`` that a growing
+        table lacks are kept with it.
         """
+        if self.schema(layer, table) is not None:
+            spelled = {f.name.lower(): f.name for f in self.grow(layer, table, df.schema)}
+            df = df.toDF(*[spelled[c.lower()] for c in df.columns])
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(
             self.path(layer, table)
         )
 
+    def append(self, layer: str, table: str, df: DataFrame, by: tuple[str, ...]) -> None:
+        """Add rows to a partitioned table."""
+        df.write.mode("append").partitionBy(*by).parquet(self.path(layer, table))
+
+    def drop_partitions(self, layer: str, table: str, column: str, value: str, apart_from: str | None = None) -> None:
+        """Remove the partitions of one value of the innermost partition column, but for those below ``apart_from``."""
+        fs, folder = self._folder(self.path(layer, table))
+        if not fs.exists(folder):
+            return
+        name = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+        for outer in fs.listStatus(folder):
+            place = f"{outer.getPath()}/{column}={name}"
+            if outer.isDirectory() and outer.getPath().getName() != apart_from and fs.exists(self._folder(place)[1]):
+                delete_path(self.spark, place)
+
     def delete_batches(
         self, layer: str, table: str, batch_ids: list[str], by: tuple[str, ...], schema: T.StructType
     ) -> None:
-        """Remove all rows of some batches; only the partitions that hold them are rewritten."""
-        df = self.read(layer, table, schema)
+        """Remove all rows of some batches; only the folders that hold them are rewritten.
+
+        Folders are told apart by the paths of their files, so any partition value will do, NULL and escaped ones too.
+        """
+        if not self.exists(layer, table):
+            return
+        folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]+$", "")
+        df = self.read(layer, table, schema).withColumn("_folder", folder)
         doomed = F.coalesce(F.col("batch_id").isin(batch_ids), F.lit(False))
-        state = df.groupBy(*by).agg(F.count_if(doomed).alias("gone"), F.count_if(~doomed).alias("kept"))
-        # One row per touched partition.
-        touched = state.where("gone > 0").select(*[F.col(c).cast("string").alias(c) for c in by], "kept").collect()
-        mixed = [row for row in touched if row.kept > 0]
-        if mixed:
-            keys = [F.struct(*[F.lit(row[c]) for c in by]) for row in mixed]
-            here = F.struct(*[F.col(c).cast("string") for c in by])
-            self.replace_partitions(layer, table, df.where(here.isin(keys)).where(~doomed), by)
-        for row in touched:
-            if row.kept == 0:
-                delete_path(self.spark, self.path(layer, table) + "".join(f"/{c}={row[c]}" for c in by))
-
-    def add_column(self, layer: str, table: str, name: str, kind: T.DataType) -> DataFrame:
-        """The table with one more column, NULL in the rows written before."""
-        return self.read(layer, table).withColumn(name, F.lit(None).cast(kind))
+        state = df.groupBy("_folder").agg(F.count_if(doomed).alias("gone"), F.count_if(~doomed).alias("kept"))
+        touched = materialize(state.where("gone > 0"), "touched")
+        mixed = touched.where("kept > 0").select("_folder")
+        if not mixed.isEmpty():
+            # Written aside first: the rewrite reads the files that it replaces.
+            left = materialize(df.join(mixed, "_folder", "left_semi").where(~doomed).drop("_folder"), "left")
+            self.replace_partitions(layer, table, left, by)
+        for row in touched.where("kept = 0").toLocalIterator():
+            delete_path(self.spark, self._decoded(row["_folder"]))
+
+    def _decoded(self, uri: str) -> str:
+        """The Hadoop path of a percent-encoded file URI."""
+        jvm = self.spark.sparkContext._jvm
+        return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString()
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:

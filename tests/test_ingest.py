@@ -77,8 +77,10 @@ def test_verdicts(lake, root, rows):
     assert len(seller.file_hash) == 64
 
     # Files: copies in their zone, nothing for duplicates and missing files.
-    moved = {p.split("batch_id=")[1].split("/")[0] for p in landing.list_files(lake.spark, root, "raw")}
-    rejected = {p.split("batch_id=")[1].split("/")[0] for p in landing.list_files(lake.spark, root, "rejected")}
+    def batches(zone):
+        return {r[0].split("batch_id=")[1].split("/")[0] for r in landing.landed_files(lake.spark, root, zone).collect()}
+
+    moved, rejected = batches("raw"), batches("rejected")
     assert moved == {"good", "moved"}
     assert rejected == {"bad", "no_rows", "zero", "blank", "ragged", "entity"}
     with open(f"{root}/raw/source=olist/table=orders/load_date=2024-01-02/batch_id=good/a.csv") as f:
@@ -200,8 +202,20 @@ def test_unexpected_failure_is_logged(lake, root, monkeypatch, rows):
     with pytest.raises(RuntimeError):
         ingest.ingest_batch(lake, root, requests, "i1", AT)
     assert rows(lake.read("audit", "events"), "event", "severity", "status", "error_type", "error_message") == [
-        ("pipeline_failed", "ERROR", 500, "RuntimeError", "disk gone")
+        ("pipeline_failed", "ERROR", 500, "RuntimeError", "disk gone"),
+        ("pipeline_started", "INFO", 500, "RuntimeError", "disk gone"),
+    ]
+    assert rows(ingest.read_log(lake, "pipeline_run_log"), "step_name", "status") == [
+        ("process_failed", "FAILED"),
+        ("process_started", "STARTED"),
     ]
+    for log in ("rejected_records", "data_quality_log", "file_upload_log"):
+        assert ingest.read_log(lake, log).count() == 1
+    # Nothing of it stays, and the file is taken up again.
+    assert ingest.read_bronze(lake, "orders").count() == 0
+    monkeypatch.undo()
+    (again,) = ingest.ingest_landing(lake, root, "i2", AT)
+    assert outcome(again) == {"b1": ("success", None)}
 
 
 def test_delete_batches(lake, root, rows):
@@ -217,6 +231,192 @@ def test_delete_batches(lake, root, rows):
     assert rows(left, "order_id", "batch_id") == [("1", "keep"), ("2", "keep")]
 
 
+SELLERS = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+
+
+def test_headers_by_csv_rules(lake, root, rows):
+    """Quoted names, names that can't be columns, repeated ones and lineage names, in files of different layouts."""
+    requests = [
+        put(root, "sellers", "quoted", "q.csv", '"note, extra",seller_id,seller_city,seller_state,seller_zip_code_prefix\n"a, b",01,sp,SP,001\n'),
+        put(root, "sellers", "rated", "r.csv", "seller_id,rating,seller_zip_code_prefix,seller_city,seller_state\n02,5,002,rio,RJ\n"),
+        put(root, "sellers", "plain", "p.csv", SELLERS + "03,003,ilheus,BA\n"),
+        put(root, "sellers", "odd", "o.csv", SELLERS.strip() + ',Rating,rating,,batch_id,"a\nb","say ""hi"""\n04,004,x,Y,1,2,3,mine,5,6\n'),
+    ]
+    got = outcome(ingest.ingest_batch(lake, root, requests, "i1", AT))
+    assert set(got.values()) == {("success", None)}
+    bronze = ingest.read_bronze(lake, "sellers")
+    assert rows(bronze, "seller_id", "seller_city", "seller_state", "seller_zip_code_prefix") == [
+        ("01", "sp", "SP", "001"),
+        ("02", "rio", "RJ", "002"),
+        ("03", "ilheus", "BA", "003"),
+        ("04", "x", "Y", "004"),
+    ]
+    assert rows(bronze, "seller_id", "note__extra", "rating") == [("01", "a, b", None), ("02", None, "5"), ("03", None, None), ("04", None, "1")]
+    odd = bronze.where("seller_id = '04'").first()
+    assert (odd.rating_1, odd.column_6, odd.a_b, odd.say__hi_, odd.batch_id) == ("2", "3", "5", "6", "odd")
+    # A later file without them reads NULL.
+    ingest.ingest_batch(lake, root, [put(root, "sellers", "later", "l.csv", SELLERS + "05,005,z,Z\n")], "i2", AT)
+    assert rows(ingest.read_bronze(lake, "sellers").where("batch_id = 'later'"), "seller_id", "rating") == [("05", None)]
+
+
+def test_column_names():
+    required = ["a", "b"]
+    assert ingest.column_names(["b", "A", "a", "a", None, "load_date", "__file", "x y", "x_y"], required) == [
+        "b", "A_1", "a", "a_2", "column_4", None, None, "x_y", "x_y_1"
+    ]
+
+
+def test_refused_contents(lake, root, monkeypatch):
+    """Too many columns, bytes that aren't UTF-8 and a header without end fail alone, beside a file that loads."""
+    monkeypatch.setattr(landing, "MAX_HEADER_BYTES", 1 << 16)
+    folder = f"{root}/tmp/source=olist/table=sellers/upload_id=latin"
+    os.makedirs(folder)
+    with open(f"{folder}/l.csv", "wb") as f:
+        f.write((SELLERS + "01,001,s\xe3o paulo,SP\n").encode("latin-1"))
+    wide = ",".join(f"c{i}" for i in range(10_000))
+    requests = [
+        UploadRequest("olist", "sellers", "tmp/source=olist/table=sellers/upload_id=latin/l.csv", "latin"),
+        put(root, "sellers", "wide", "w.csv", SELLERS.strip() + "," + wide.replace("c", "") + "\n1,2,3,4\n"),
+        put(root, "sellers", "endless", "e.csv", "x" * (1 << 17)),
+        put(root, "sellers", "half_wide", "h.csv", SELLERS.strip() + "," + ",".join(f"c{i}" for i in range(200)) + "\n1,2,3,4\n"),
+        put(root, "sellers", "good", "a [1]{2}*.csv", SELLERS + "1,2,3,4\n"),
+    ]
+    got = outcome(ingest.ingest_batch(lake, root, requests, "i1", AT))
+    assert got == {
+        "latin": ("failed", "'utf-8' codec can't decode byte 0xe3: invalid continuation byte"),
+        "wide": ("failed", f"Too many columns: at most {landing.MAX_COLUMNS} are allowed"),
+        "endless": ("failed", "Header line does not end within 65536 bytes"),
+        "half_wide": ("success", None),
+        "good": ("success", None),
+    }
+    bronze = ingest.read_bronze(lake, "sellers")
+    assert bronze.count() == 2 and "c199" in bronze.columns
+
+
+def test_large_files_are_split(lake, root):
+    """A file without quoted line breaks is read by several tasks; one with them is not, and both load."""
+    spark = lake.spark
+    lines = "".join(f"{i},{i:05d},city {i},ST\n" for i in range(60_000))
+    plain = put(root, "sellers", "plain", "p.csv", SELLERS + lines)
+    quoted = put(root, "sellers", "quoted", "q.csv", SELLERS + '0,0,"two\nlines",ST\n' + lines)
+    prints = landing.fingerprints(spark, root, landing.requests_frame(spark, [plain, quoted]))
+    assert {r.tmp_file_path: r.multi_line for r in prints.collect()} == {plain.tmp_file_path: False, quoted.tmp_file_path: True}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200KB")
+    try:
+        names = ENTITIES["sellers"].required_columns
+        assert landing.read_rows(spark, root, [plain.tmp_file_path], names, False).rdd.getNumPartitions() > 4
+        got = outcome(ingest.ingest_batch(lake, root, [plain, quoted], "i1", AT))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert set(got.values()) == {("success", None)}
+    counts = ingest.read_bronze(lake, "sellers").groupBy("batch_id").count().collect()
+    assert {r.batch_id: r["count"] for r in counts} == {"plain": 60_000, "quoted": 60_001}
+
+
+def test_same_name_from_other_folders(lake, root):
+    """Files are told apart by their whole path: another source, another folder of the same batch name."""
+    put(root, "sellers", "b1", "s.csv", SELLERS + "1,1,a,A\n")
+    other = f"{root}/tmp/source=partner/table=sellers/upload_id=b1"
+    again = f"{root}/tmp/again/source=olist/table=sellers/upload_id=b1"
+    for folder, line in ((other, "2,2,b,B\n"), (again, "1,1,a,A\n")):
+        os.makedirs(folder)
+        with open(f"{folder}/s.csv", "w") as f:
+            f.write(SELLERS + line)
+    results = ingest.ingest_landing(lake, root, "i1", AT, ingest.IngestOptions(max_files=2))
+    assert len(results) == 2
+    uploads = ingest.read_log(lake, "file_upload_log")
+    assert sorted((r.source_system, r.upload_status) for r in uploads.collect()) == [
+        ("olist", "DUPLICATE"), ("olist", "SUCCESS"), ("partner", "SUCCESS")
+    ]
+    assert ingest.read_bronze(lake, "sellers").count() == 2
+    assert ingest.ingest_landing(lake, root, "i2", AT) == []
+
+
+def test_one_bad_file_leaves_the_others(lake, root, rows, monkeypatch):
+    """Files that Spark can't read stand alone in the end, with the four log rows and the class ``unexpected``."""
+    requests = [put(root, "sellers", f"b{i}", f"{i}.csv", SELLERS + f"{i},1,a,A\n") for i in range(6)]
+    # Spark takes the name for a compressed file.
+    requests.insert(3, put(root, "sellers", "bad", "bad.csv.gz", SELLERS + "9,1,a,A\n"))
+    got = outcome(ingest.ingest_batch(lake, root, requests, "i1", AT))
+    assert {b for b, (status, _) in got.items() if status == "success"} == {f"b{i}" for i in range(6)}
+    assert got["bad"][0] == "failed"
+    assert ingest.read_bronze(lake, "sellers").count() == 6
+    for log, status in (("pipeline_run_log", "status"), ("data_quality_log", "check_status"), ("file_upload_log", "upload_status")):
+        assert ingest.read_log(lake, log).where(f"batch_id = 'bad' and {status} = 'FAILED'").count() == 1
+    assert ingest.read_log(lake, "rejected_records").where("batch_id = 'bad'").count() == 1
+    events = lake.read("audit", "events").where("batch_id = 'bad'")
+    assert rows(events, "event", "severity", "status") == [("pipeline_failed", "ERROR", 500), ("pipeline_started", "INFO", 500)]
+
+    # A file that can't be copied fails too, and its rows stay out.
+    good = put(root, "sellers", "c1", "c1.csv", SELLERS + "20,1,a,A\n")
+    stuck = put(root, "sellers", "c2", "c2.csv", SELLERS + "21,1,a,A\n")
+    blocked = f"{root}/raw/source=olist/table=sellers/load_date=2024-01-02/batch_id=c2"
+    with open(blocked, "w") as f:
+        f.write("a file where a folder should be")
+    got = outcome(ingest.ingest_batch(lake, root, [good, stuck], "i2", AT))
+    assert (got["c1"][0], got["c2"][0]) == ("success", "failed")
+    assert ingest.read_bronze(lake, "sellers").where("batch_id in ('c1', 'c2')").count() == 1
+
+
+def test_known_hashes_read_only_their_folders(lake, root):
+    """The lookup of a batch's contents prunes the table of handled files to the folders of their first digits."""
+    for k in range(3):
+        ingest.ingest_batch(lake, root, [put(root, "sellers", f"k{k}", "s.csv", SELLERS + f"{k},1,a,A\n")], f"i{k}", AT)
+    spark = lake.spark
+    digest = hashlib.sha256((SELLERS + "1,1,a,A\n").encode()).hexdigest()
+    contents = spark.createDataFrame([(digest,), ("0" * 64,)], "file_hash string")
+    contents.write.parquet(f"{root}/contents")
+    asked = spark.read.parquet(f"{root}/contents").where(F.length("file_hash") > 0)
+    found = ingest.known_hashes(ingest.read_handled(lake), asked, "later")
+    assert [r.file_hash for r in found.collect()] == [digest]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "dynamicpruning" in plan.lower()
+
+
+def test_wide_rows_are_set_aside(lake, root, rows):
+    content = SELLERS + "1,1,a,A\n2,2,b,B,surplus\n3,3,c,C\n"
+    options = ingest.IngestOptions(wide_rows="quarantine")
+    result = ingest.ingest_batch(lake, root, [put(root, "sellers", "w", "w.csv", content)], "i1", AT, options)
+    assert rows(result, "status", "row_count") == [("success", 2)]
+    assert rows(ingest.read_bronze(lake, "sellers"), "seller_id") == [("1",), ("3",)]
+    (bad,) = ingest.read_quarantine(lake).collect()
+    assert json.loads(bad.row)["seller_id"] == "2" and (bad.batch_id, bad.rejection_level) == ("w", "ROW")
+
+
+def test_root_that_only_spark_can_open(lake, root, rows):
+    """The same verdicts and rows where Arrow knows no client for the store."""
+    conf = lake.spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.landing.link./in", f"file://{root}")
+    put(root, "orders", "good", "a.csv", GOOD)
+    put(root, "orders", "copy", "b.csv", GOOD)
+    put(root, "orders", "zero", "z.csv", "")
+    put(root, "orders", "no_rows", "h.csv", HEADER + "\n\n")
+    put(root, "orders", "bad", "b.csv", "x,y\n1,2\n")
+    put(root, "sellers", "quoted", "q.csv", '\ufeff"note, extra",seller_id,seller_city,seller_state,seller_zip_code_prefix\n"a, b",01,sp,SP,001\n')
+    os.makedirs(f"{root}/tmp/source=olist/table=orders/upload_id=latin")
+    with open(f"{root}/tmp/source=olist/table=orders/upload_id=latin/l.csv", "wb") as f:
+        f.write((HEADER + "\n1,\xe9,,,,,,\n").encode("latin-1"))
+    assert not landing.opened_by_arrow("viewfs://landing/in")
+    (result,) = ingest.ingest_landing(lake, "viewfs://landing/in", "i1", AT)
+    got = outcome(result)
+    assert {b: status for b, (status, _) in got.items()} == {
+        "copy": "success", "good": "skipped", "zero": "failed", "no_rows": "failed", "bad": "failed", "quoted": "success", "latin": "failed"
+    }
+    assert got["zero"][1] == "File is empty" and got["no_rows"][1] == "CSV has header but no rows"
+    assert rows(ingest.read_bronze(lake, "sellers"), "seller_id", "note__extra") == [("01", "a, b")]
+    loaded = ingest.read_bronze(lake, "orders")
+    assert loaded.count() == 2 and loaded.first().file_hash == hashlib.sha256(GOOD.encode()).hexdigest()
+    assert os.path.exists(f"{root}/raw/source=olist/table=orders/load_date=2024-01-02/batch_id=copy/b.csv")
+
+
+def test_replay_on_another_day_replaces(lake, root):
+    requests = [put(root, "orders", "b1", "a.csv", GOOD)]
+    ingest.ingest_batch(lake, root, requests, "run: 1", AT)
+    ingest.ingest_batch(lake, root, requests, "run: 1", AT + dt.timedelta(days=1))
+    assert ingest.read_bronze(lake, "orders").count() == 2
+    assert ingest.read_log(lake, "file_upload_log").count() == 1
+
+
 def test_screen_uploads(spark, rows):
     uploads = spark.createDataFrame(
         [
