@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -255,14 +256,20 @@ def stage(lake: Lake, root: str, marked: DataFrame) -> tuple[dict[str, DataFrame
     ]
     counted = reduce(DataFrame.unionByName, counts, spark.createDataFrame([], "tmp_file_path string, row_count long, wide_rows long"))
     errors = spark.createDataFrame(
-        [(path, _first_line(error), type(error).__name__) for path, error in failed.items()], "tmp_file_path string, error string, error_type string"
+        [(path, *_cause(error)) for path, error in failed.items()], "tmp_file_path string, error string, error_type string"
     )
     return staged, materialize(counted.join(errors, "tmp_file_path", "full"), "counted")
 
 
-def _first_line(error: Exception) -> str:
-    """The message without the stack trace that Spark's errors carry."""
-    return (str(error).strip() or type(error).__name__).splitlines()[0]
+def _cause(error: Exception) -> tuple[str, str]:
+    """Message and type of an error; of a Java one those at its root, without the stack trace."""
+    java = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    if java is None:
+        return (str(error).strip() or type(error).__name__).splitlines()[0], type(error).__name__
+    while java.getCause() is not None:
+        java = java.getCause()
+    kind = java.getClass().getSimpleName()
+    return (str(java.getMessage() or kind).strip() or kind).splitlines()[0], kind
 
 
 def verdicts(marked: DataFrame, counted: DataFrame, root: str, options: IngestOptions = IngestOptions()) -> DataFrame:
@@ -650,10 +657,11 @@ def _replace(lake: Lake, layer: str, table: str, rows: DataFrame, by: tuple[str,
 
 
 def _write_logs(lake: Lake, root: str, verdict: DataFrame, ingest_id: str, as_of: dt.datetime, options: IngestOptions) -> None:
-    for log, entries in audit_rows(verdict, ingest_id, root, options.skip_step).items():
-        _replace(lake, "audit", log, entries, LOG_PARTITIONS, ingest_id, as_of)
-    events = log_events(verdict, options).withColumns({"log_date": F.to_date("timestamp").cast("string"), "ingest_id": F.lit(ingest_id)})
-    _replace(lake, "audit", "events", events, LOG_PARTITIONS, ingest_id, as_of)
+    logs = audit_rows(verdict, ingest_id, root, options.skip_step)
+    logs["events"] = log_events(verdict, options).withColumns({"log_date": F.col("timestamp").cast("date").cast("string"), "ingest_id": F.lit(ingest_id)})
+    # Small writes of tables of their own, so they share the cluster.
+    with ThreadPoolExecutor(len(logs)) as pool:
+        list(pool.map(lambda log: _replace(lake, "audit", log, logs[log], LOG_PARTITIONS, ingest_id, as_of), logs))
 
 
 def _ingest(

@@ -6,8 +6,9 @@ import datetime as dt
 from collections.abc import Callable
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import oracle
 from .contracts import ENTITIES, MAX_FILE_BYTES, SOURCE_SYSTEMS
@@ -111,23 +112,31 @@ class Tables:
             self.log("file_upload_log"),
         )
 
-    @cache
+    def landed(self) -> str:
+        """The root of a landing zone that holds the raw tables as files, and files that can't load."""
+        return _once(self, "landing", lambda base: sample.land(self.spark, self.sf_dir, base))
+
     def ingested(self) -> Lake:
-        """A lake filled by the ingest job from CSV files that hold the raw tables."""
-        base = scratch_path(self.spark, "ingest")
-        sample.land(self.spark, self.sf_dir, f"{base}/landing")
-        lake = Lake(self.spark, f"{base}/lake")
-        ingest.ingest_landing(lake, f"{base}/landing", "sample", _AS_OF)
-        return lake
+        """A lake filled from it by the ingest job, which is also asked for a file that isn't there."""
+
+        def fill(base: str) -> None:
+            lake = Lake(self.spark, f"{base}/lake")
+            done = ingest.ingest_landing(lake, self.landed(), "sample", _AS_OF)
+            done.append(ingest.ingest_batch(lake, self.landed(), [sample.MISSING], "sample-missing", _AS_OF))
+            union_by_name(*done).write.parquet(f"{base}/results")
+
+        return Lake(self.spark, _once(self, "ingest", fill) + "/lake")
+
+    def ingest_results(self) -> DataFrame:
+        return self.spark.read.parquet(self.ingested().root.removesuffix("/lake") + "/results")
 
-    @cache
     def streamed(self) -> Lake:
         """The same, filled by the streaming job."""
-        base = scratch_path(self.spark, "stream")
-        sample.land(self.spark, self.sf_dir, f"{base}/landing")
-        lake = Lake(self.spark, f"{base}/lake")
-        ingest_available(lake, f"{base}/landing", f"{base}/checkpoint", clock=lambda: _AS_OF)
-        return lake
+
+        def fill(base: str) -> None:
+            ingest_available(Lake(self.spark, f"{base}/lake"), self.landed(), f"{base}/checkpoint", clock=lambda: _AS_OF)
+
+        return Lake(self.spark, _once(self, "stream", fill) + "/lake")
 
     @cache
     def event_windows(self, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -147,6 +156,19 @@ class Tables:
         return materialize(lazy, name)
 
 
+_folders: dict[tuple[str, str, str], str] = {}
+
+
+def _once(t: Tables, name: str, fill: Callable[[str], None]) -> str:
+    """A folder below the shared one that ``fill`` has filled, once per session and sample; several queries read it."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, name)
+    if key not in _folders or not Lake(t.spark, _folders[key]).exists("", ""):
+        base = scratch_path(t.spark, name)
+        fill(base)
+        _folders[key] = base
+    return _folders[key]
+
+
 def _register(name: str, sql: str | None = None):
     def add(build: Callable[[Tables], DataFrame]):
         QUERIES[name] = lambda spark, sf_dir: build(Tables(spark, sf_dir))
@@ -246,12 +268,14 @@ _logs(
 
 
 def _after_delete(t: Tables) -> DataFrame:
+    """Raw payments without two batches, in folders whose names are escaped or stand for NULL."""
     lake = Lake(t.spark, scratch_path(t.spark, "delete"))
-    payments = t.bronze("payments").select("order_id", "payment_sequential", "batch_id", "payment_type")
-    lake.replace_partitions("bronze", "payments", payments, ("payment_type",))
+    place = F.expr("if(payment_type = 'debit_card', null, concat('kind:', batch_id, '/', payment_type))").alias("place")
+    payments = t.bronze("payments").select("order_id", "payment_sequential", "batch_id", "payment_type", place)
+    lake.replace_partitions("bronze", "payments", payments, ("place",))
     gone = ["payments_initial", "payments_vouchers"]
-    lake.delete_batches("bronze", "payments", gone, ("payment_type",), payments.schema)
-    return lake.read("bronze", "payments", payments.schema)
+    lake.delete_batches("bronze", "payments", gone, ("place",), payments.schema)
+    return lake.read("bronze", "payments", payments.schema).drop("place")
 
 
 _tables(
@@ -280,67 +304,267 @@ _tables(
     lambda t: _written_back(t.dim_product(), cluster_by=("product_category_name",), spread_by=("product_id",)),
     "select * from dim_product",
 )
+
+
+def _with_added_column(t: Tables) -> DataFrame:
+    """A log written without a column, to which the column is added, and then rows that have it."""
+    lake = Lake(t.spark, scratch_path(t.spark, "added"))
+    log = t.log("file_upload_log")
+    before, after = log.where("upload_status = 'SUCCESS'").drop("source_file_name"), log.where("upload_status <> 'SUCCESS'")
+    lake.grow("audit", "file_upload_log", before.schema)
+    lake.replace_partitions("audit", "file_upload_log", before, ("upload_status",))
+    lake.add_column("audit", "file_upload_log", "source_file_name", T.StringType())
+    lake.replace_partitions("audit", "file_upload_log", after, ("upload_status",))
+    return lake.read("audit", "file_upload_log").select("upload_id", "upload_status", "source_file_name")
+
+
 _logs(
     "added_column",
-    lambda t: union_by_name(
-        t.log("file_upload_log").where("upload_status <> 'SUCCESS'"),
-        t.log("file_upload_log").where("upload_status = 'SUCCESS'").drop("source_file_name"),
-    ).select("upload_id", "upload_status", "source_file_name"),
+    _with_added_column,
     """select upload_id, upload_status, case when upload_status <> 'SUCCESS' then source_file_name end
       as source_file_name from file_upload_log""",
 )
 
 # --- file ingest --------------------------------------------------------------------------------
 
+# What the landing zone holds, by upload: (entity, batch, rows) that load, with their source.
+_LOADED = [(e, f"{e}_good", f"select count(*) from bronze_{e}") for e in sample.BRONZE] + [
+    ("sellers", "sellers_quoted", "select count(*) from supplier"),
+    ("products", "products_rated", "select count(*) from part"),
+    ("customers", "customers_shared", "select count(*) from customer"),
+]
+_ORDER_COLUMNS = ", ".join(f"''{c}''" for c in ENTITIES["orders"].required_columns)
+# (entity, batch, file, error) that don't load, and the text of what no rule foresees.
+_REFUSED = [
+    ("orders", "orders_wrong", "nations.csv", f"Missing required columns: [{_ORDER_COLUMNS}]"),
+    ("orders", "orders_no_rows", "orders.csv", "CSV has header but no rows"),
+    ("orders", "orders_empty", "orders.csv", "File is empty"),
+    ("payments", "payments_wide", "payments.csv", f"Too many columns: at most {landing.MAX_COLUMNS} are allowed"),
+    ("customers", "customers_latin", "customers.csv", "''utf-8'' codec can''t decode byte 0xe9: invalid continuation byte"),
+    ("payments", "payments_missing", "none.csv", "File not found: " + sample.MISSING.tmp_file_path),
+    ("sellers", "sellers_zipped", "sellers.csv.gz", "unexpected"),
+]
+
+
+def _plain_error(t: Tables, error: str = "error") -> Column:
+    """An error without the folder of this session, and without the words of what is beyond the rules."""
+    text = F.replace(F.col(error), F.lit(t.landed() + "/"), F.lit(""))
+    foreseen = "^(Duplicate file|Missing required|CSV has|File is empty|File not found|Too many columns|.utf-8. codec)"
+    return F.when(F.col(error).isNotNull() & ~F.col(error).rlike(foreseen), F.lit("unexpected")).otherwise(text)
+
+
+def _loaded_sql(row: str) -> list[str]:
+    return [row.format(entity=e, batch=b, rows=f"({n})") for e, b, n in _LOADED]
+
+
+def _refused_sql(row: str, refused: list[tuple[str, ...]] = _REFUSED) -> list[str]:
+    return [row.format(entity=e, batch=b, file=f, error=x, http=500 if x == "unexpected" else 400) for e, b, f, x in refused]
+
+
+def _union(*rows: str) -> str:
+    return " union all ".join(f"select {r}" for r in rows)
+
+
+_UPLOADS_SQL = _union(
+    *_loaded_sql("'{entity}' as table_name, '{batch}' as batch_id, 'SUCCESS' as upload_status, {rows} as rows_loaded, cast(null as varchar) as error_message"),
+    f"'orders', 'orders_repeat', 'DUPLICATE', 0, '{ingest.DUPLICATE_MESSAGE}'",
+    *_refused_sql("'{entity}', '{batch}', 'FAILED', 0, '{error}'"),
+)
 _tables(
     "bronze_ingest",
     lambda t: ingest.read_log(t.ingested(), "file_upload_log")
-    .groupBy("table_name", "upload_status")
-    .agg(F.sum("row_count").alias("rows_loaded"), F.max("error_message").alias("error_message")),
-    " union all ".join(
-        f"select '{e}' as table_name, 'SUCCESS' as upload_status, count(*) as rows_loaded, "
-        f"cast(null as varchar) as error_message from bronze_{e}"
-        for e in sample.BRONZE
-    )
-    + f""" union all select 'orders', 'DUPLICATE', 0, '{ingest.DUPLICATE_MESSAGE}'
-    union all select 'orders', 'FAILED', 0, 'Missing required columns: [''order_id'', ''customer_id'', ''order_status'',
- ''order_purchase_timestamp'', ''order_approved_at'', ''order_delivered_carrier_date'',
- ''order_delivered_customer_date'', ''order_estimated_delivery_date'']'""".replace(",\n ", ", "),
+    .groupBy("table_name", "batch_id", "upload_status", _plain_error(t, "error_message").alias("error_message"))
+    .agg(F.sum("row_count").alias("rows_loaded")),
+    _UPLOADS_SQL,
 )
 for _entity in ENTITIES:
     # An empty cell of a CSV file is a missing value.
     _columns = ", ".join(f"nullif({c}, '') as {c}" for c in ENTITIES[_entity].required_columns)
+    _more = {
+        "sellers": "select 'q-' || s_suppkey, '00100', s_name || ', \"town\"', 'QQ', 'sellers_quoted', 'olist' from supplier",
+        "products": "select 'r-' || p_partkey, 'rated'" + ", cast(null as varchar)" * 7 + ", 'products_rated', 'olist' from part",
+        "customers": "select 's-' || c_custkey, 'person-' || c_custkey, '00200', 'shared', 'SH', 'customers_shared', "
+        "case when c_custkey % 2 = 0 then 'olist' else 'partner' end from customer",
+    }
     _tables(
         f"ingested_{_entity}",
         lambda t, e=_entity: ingest.read_bronze(t.ingested(), e).select(
             *ENTITIES[e].required_columns, "batch_id", "source_system"
         ),
-        f"select {_columns}, '{_entity}_good' as batch_id, 'olist' as source_system from bronze_{_entity}",
+        f"select {_columns}, '{_entity}_good' as batch_id, 'olist' as source_system from bronze_{_entity}"
+        + (f" union all {_more[_entity]}" if _entity in _more else ""),
     )
+_tables(
+    "ingested_extra_columns",
+    lambda t: union_by_name(
+        ingest.read_bronze(t.ingested(), "sellers").select(F.col("seller_id").alias("key"), "batch_id", F.col("note__extra").alias("value")),
+        ingest.read_bronze(t.ingested(), "products").select(F.col("product_id").alias("key"), "batch_id", F.col("rating").alias("value")),
+    ),
+    """select nullif(seller_id, '') as key, 'sellers_good' as batch_id, cast(null as varchar) as value from bronze_sellers
+    union all select 'q-' || s_suppkey, 'sellers_quoted', s_name from supplier
+    union all select product_id, 'products_good', null from bronze_products
+    union all select 'r-' || p_partkey, 'products_rated', cast(p_size as varchar) from part""",
+)
 _tables(
     "rows_loaded",
     lambda t: ingest.rows_loaded(t.ingested(), "sample")
     .groupBy("table_name")
     .agg(F.sum("row_count").alias("row_count")),
-    " union all ".join(
-        f"select '{e}' as table_name, count(*) as row_count from bronze_{e}" for e in sample.BRONZE
-    ),
+    f"select table_name, sum(rows_loaded) as row_count from ({_UPLOADS_SQL}) where rows_loaded > 0 group by table_name",
 )
 _tables(
     "stream_ingest",
     lambda t: ingest.read_log(t.streamed(), "file_upload_log")
-    .groupBy("table_name", "upload_status")
+    .groupBy("table_name", "batch_id", "upload_status")
     .agg(F.sum("row_count").alias("rows_loaded")),
-    " union all ".join(
-        f"select '{e}' as table_name, 'SUCCESS' as upload_status, count(*) as rows_loaded from bronze_{e}"
-        for e in sample.BRONZE
+    f"select table_name, batch_id, upload_status, rows_loaded from ({_UPLOADS_SQL}) where batch_id <> 'payments_missing'",
+)
+_tables(
+    "ingest_results",
+    lambda t: t.ingest_results()
+    .groupBy("batch_id", "table_name", "status", "reason", "bronze_table", "http_status", _plain_error(t).alias("error"))
+    .agg(F.sum("row_count").alias("row_count"), F.min(F.col("file_hash").isNotNull()).alias("has_hash")),
+    _union(
+        *_loaded_sql(
+            "'{batch}' as batch_id, '{entity}' as table_name, 'success' as status, cast(null as varchar) as reason, "
+            "'bronze_{entity}' as bronze_table, 200 as http_status, cast(null as varchar) as error, {rows} as row_count, true as has_hash"
+        ),
+        "'orders_repeat', 'orders', 'skipped', 'duplicate_file', null, 200, null, 0, true",
+        *_refused_sql("'{batch}', '{entity}', 'failed', null, null, {http}, '{error}', 0, false"),
+    ),
+)
+_tables(
+    "ingest_steps",
+    lambda t: ingest.read_log(t.ingested(), "pipeline_run_log")
+    .groupBy("batch_id", "pipeline_name", "step_name", "status", _plain_error(t, "error_message").alias("error_message"))
+    .agg(
+        # As many rows as files, and a clock on each.
+        (F.count(F.lit(1)) == F.count_distinct("run_id")).alias("once_per_file"),
+        F.min(F.col("end_time") >= F.col("start_time")).alias("timed"),
+    ),
+    "select batch_id, 'gcs_to_bronze_ingestion' as pipeline_name, step_name, status, error_message, true as once_per_file, true as timed from ("
+    + _union(
+        *[
+            r
+            for b in [b for _, b, _ in _LOADED] + ["orders_repeat"] + [r[1] for r in _REFUSED]
+            for r in [f"'{b}' as batch_id, 'process_started' as step_name, 'STARTED' as status, cast(null as varchar) as error_message"]
+        ],
+        *_loaded_sql("'{batch}', 'bronze_load', 'SUCCESS', null"),
+        *_loaded_sql("'{batch}', 'process_completed', 'SUCCESS', null"),
+        "'orders_repeat', 'process_completed', 'SKIPPED', null",
+        *_refused_sql("'{batch}', 'process_failed', 'FAILED', '{error}'"),
     )
-    + " union all select 'orders', 'DUPLICATE', 0 union all select 'orders', 'FAILED', 0",
+    + ")",
+)
+_NO_BYTES = ("orders_empty", "payments_missing")
+_tables(
+    "ingest_checks",
+    lambda t: ingest.read_log(t.ingested(), "data_quality_log")
+    .groupBy("table_name", "batch_id", "check_name", "check_status")
+    .agg(
+        (F.count(F.lit(1)) == F.count_distinct("run_id")).alias("once_per_file"),
+        F.sum(F.when(F.col("check_name") == "row_count_check", F.col("actual_value").cast("long"))).alias("counted_rows"),
+        F.min(F.when(F.col("check_name") == "file_not_empty", F.col("actual_value").cast("long") > 0)).alias("bytes_seen"),
+        F.max(F.when(F.col("check_name") == "file_validation", _plain_error(t, "actual_value"))).alias("error"),
+        (F.sum("failed_count") / F.count(F.lit(1))).cast("long").alias("failed_per_file"),
+    ),
+    _union(
+        *_loaded_sql(
+            "'{entity}' as table_name, '{batch}' as batch_id, 'file_not_empty' as check_name, 'PASS' as check_status, true as once_per_file, "
+            "cast(null as bigint) as counted_rows, true as bytes_seen, cast(null as varchar) as error, 0 as failed_per_file"
+        ),
+        *_loaded_sql("'{entity}', '{batch}', 'schema_validation', 'PASS', true, null, null, null, 0"),
+        *_loaded_sql("'{entity}', '{batch}', 'row_count_check', 'PASS', true, {rows}, null, null, 0"),
+        "'orders', 'orders_repeat', 'file_not_empty', 'PASS', true, null, true, null, 0",
+        "'orders', 'orders_repeat', 'duplicate_file_check', 'FAILED', true, null, null, null, 1",
+        *_refused_sql("'{entity}', '{batch}', 'file_validation', 'FAILED', true, null, null, '{error}', 1"),
+        *_refused_sql(
+            "'{entity}', '{batch}', 'file_not_empty', 'PASS', true, null, true, null, 0", [r for r in _REFUSED if r[1] not in _NO_BYTES]
+        ),
+    ),
+)
+_tables(
+    "ingest_rejections",
+    lambda t: ingest.read_log(t.ingested(), "rejected_records").select(
+        "batch_id",
+        "source_file_name",
+        F.replace("gcs_uri", F.lit(t.landed() + "/"), F.lit("")).alias("place"),
+        "rejection_level",
+        _plain_error(t, "rejection_reason").alias("rejection_reason"),
+        F.get_json_object("rejected_payload", "$.tmp_file_path").alias("asked_path"),
+    ),
+    _union(
+        *_refused_sql(
+            "'{batch}' as batch_id, '{file}' as source_file_name, 'rejected/source=olist/table={entity}/load_date=2002-01-01/batch_id={batch}/{file}' as place, "
+            "'FILE' as rejection_level, '{error}' as rejection_reason, 'tmp/source=olist/table={entity}/upload_id={batch}/{file}' as asked_path"
+        )
+    ),
+)
+_tables(
+    "ingest_events",
+    lambda t: t.ingested()
+    .read("audit", "events")
+    .select("batch_id", "event", "severity", "status", "error_type", _plain_error(t, "error_message").alias("error_message"))
+    .withColumn("error_type", F.when(F.col("status") < 500, F.col("error_type")))
+    .distinct(),
+    "select batch_id, event, severity, status, case when status = 400 then 'ValueError' end as error_type, error_message from ("
+    + _union(
+        *[
+            r
+            for event in ("pipeline_started", "schema_validation_passed", "bronze_load_completed", "pipeline_completed")
+            for r in _loaded_sql(f"'{{batch}}' as batch_id, '{event}' as event, 'INFO' as severity, 200 as status, cast(null as varchar) as error_message")
+        ],
+        "'orders_repeat', 'pipeline_started', 'INFO', 200, null",
+        "'orders_repeat', 'duplicate_file_detected', 'WARNING', 200, null",
+        *_refused_sql("'{batch}', 'pipeline_started', 'INFO', {http}, '{error}'"),
+        *[
+            r
+            for event in ("file_validation_failed", "file_rejected")
+            for r in _refused_sql(f"'{{batch}}', '{event}', 'WARNING', 400, '{{error}}'", [r for r in _REFUSED if r[3] != "unexpected"])
+        ],
+        *_refused_sql("'{batch}', 'pipeline_failed', 'ERROR', 500, '{error}'", [r for r in _REFUSED if r[3] == "unexpected"]),
+    )
+    + ")",
+)
+
+
+def _zones(t: Tables) -> DataFrame:
+    """The uploads whose files lie in the raw and the rejected zone."""
+    path = F.col("tmp_file_path")
+    found = union_by_name(*[landing.landed_files(t.spark, t.landed(), zone) for zone in ("raw", "rejected")])
+    parts = [path_value(path, n).alias(n) for n in ("source", "table", "load_date", "batch_id")]
+    return found.select(F.substring_index(path, "/", 1).alias("zone"), *parts).distinct()
+
+
+_tables(
+    "routed_files",
+    lambda t: (t.ingested(), _zones(t))[1],
+    "select zone, source, \"table\", '2002-01-01' as load_date, batch_id from ("
+    + _union(
+        *_loaded_sql("'raw' as zone, 'olist' as source, '{entity}' as \"table\", '{batch}' as batch_id"),
+        "'raw', 'partner', 'customers', 'customers_shared'",
+        *_refused_sql("'rejected', 'olist', '{entity}', '{batch}'", [r for r in _REFUSED if r[1] != "payments_missing"]),
+    )
+    + ")",
+)
+_LOG_IDS = {"file_upload_log": "upload_id", "data_quality_log": "check_id", "rejected_records": "rejected_id"}
+_tables(
+    "ingest_ids",
+    lambda t: union_by_name(
+        *[
+            ingest.read_log(t.ingested(), log).agg(
+                F.lit(log).alias("log"),
+                (F.count(F.lit(1)) == F.count_distinct(key)).alias("told_apart"),
+                F.min(F.col(key).rlike("^[0-9a-f]{64}$")).alias("well_formed"),
+            )
+            for log, key in _LOG_IDS.items()
+        ]
+    ),
+    _union(*[f"'{log}' as log, true as told_apart, true as well_formed" for log in _LOG_IDS]),
 )
 _tables(
     "path_metadata",
-    lambda t: t.bronze("orders")
-    .unionByName(t.bronze("products"), allowMissingColumns=True)
+    lambda t: union_by_name(*[t.bronze(e).select("gcs_uri") for e in sample.BRONZE])
     .select(
         path_value(F.col("gcs_uri"), "source").alias("source"),
         path_value(F.col("gcs_uri"), "table").alias("entity"),
@@ -350,12 +574,12 @@ _tables(
     )
     .groupBy("source", "entity", "batch", "load_day", "file_name")
     .agg(F.count(F.lit(1)).alias("row_count")),
-    """select source, entity, batch, cast(null as varchar) as load_day, file_name, count(*) as row_count from (
+    f"""select source, entity, batch, cast(null as varchar) as load_day, file_name, count(*) as row_count from (
       select regexp_extract(gcs_uri, 'source=([^/]+)/', 1) as source,
         regexp_extract(gcs_uri, 'table=([^/]+)/', 1) as entity,
         regexp_extract(gcs_uri, 'batch_id=([^/]+)/', 1) as batch,
         regexp_extract(gcs_uri, '([^/]+)$', 1) as file_name
-      from (select gcs_uri from bronze_orders union all select gcs_uri from bronze_products))
+      from ({" union all ".join(f"select gcs_uri from bronze_{e}" for e in sample.BRONZE)}))
     group by all""",
 )
 _register(
@@ -386,18 +610,6 @@ _register(
         sample.uploads(t.spark, t.sf_dir), F.lit(_AS_OF), SOURCE_SYSTEMS, tuple(ENTITIES), MAX_FILE_BYTES
     ).select("reason", "source_file_name", "batch_id", "tmp_file_path")
 )
-_tables(
-    "ingest_checks",
-    lambda t: ingest.read_log(t.ingested(), "data_quality_log")
-    .groupBy("table_name", "check_name", "check_status")
-    .agg((F.count(F.lit(1)) > 0).alias("seen")),
-    """select e as table_name, c as check_name, 'PASS' as check_status, true as seen
-      from unnest(['orders', 'customers', 'order_items', 'products', 'payments', 'sellers']) t(e),
-        unnest(['file_not_empty', 'schema_validation', 'row_count_check']) s(c)
-    union all select 'orders', 'duplicate_file_check', 'FAILED', true
-    union all select 'orders', 'file_validation', 'FAILED', true""",
-)
-
 # --- operational queries ------------------------------------------------------------------------
 
 _tables("bronze_row_count", lambda t: reports.total_rows(t.bronze("orders")), "select count(*) as total_rows from bronze_orders")

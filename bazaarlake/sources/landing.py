@@ -95,7 +95,8 @@ def opened_by_arrow(root: str) -> bool:
 def landed_files(spark: SparkSession, root: str, zone: str = "tmp") -> DataFrame:
     """``(tmp_file_path, size_bytes)`` of all files of a zone, the empty ones too, as a written table.
 
-    Folders are listed level by level, each in a task of its own; no path reaches the driver.
+    Folders are listed level by level, each in a task of its own; no path reaches the driver. Names that begin with ``_`` or ``.`` are marks
+    and checksums of writers, which Spark's readers leave out too.
     """
     if not opened_by_arrow(root):
         return _listed_by_spark(spark, root, zone)
@@ -109,6 +110,7 @@ def landed_files(spark: SparkSession, root: str, zone: str = "tmp") -> DataFrame
             for parent in batch.column(0).to_pylist():
                 store, place = locate(f"{root}/{parent}")
                 found = store.get_file_info(fs.FileSelector(place, allow_not_found=True))
+                found = [f for f in found if not f.base_name.startswith(("_", "."))]
                 names = [f"{parent}/{f.base_name}" for f in found]
                 folder = [f.type == fs.FileType.Directory for f in found]
                 sizes = [f.size for f in found]

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..contracts import ENTITIES, bronze_schema
 from ..operators.joins import heavy_keys
-from .landing import copy_files
+from ..session import scratch_path
+from .landing import UploadRequest, copy_files, landed_files
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -238,29 +239,103 @@ BRONZE = {
 
 # --- landing zone -------------------------------------------------------------------------------
 
+#: Files asked for that nobody landed.
+MISSING = UploadRequest("olist", "payments", "tmp/source=olist/table=payments/upload_id=payments_missing/none.csv", "payments_missing")
+
+
+def _upload(df: DataFrame, root: str, source: str, entity: str, upload: str, name: str, text: bool = False, **options) -> None:
+    """Land the parts of ``df`` as files of one upload, named ``name`` with ``{n}`` for the number of the part."""
+    spark = df.sparkSession
+    base = scratch_path(spark, "upload")
+    # Blanks around values are kept.
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "header": "true", "escape": '"'} | options
+    if text:
+        df.write.text(f"{base}/parts")
+    else:
+        df.write.options(**kept).csv(f"{base}/parts")
+    parts = landed_files(spark, base, "parts").where(F.col("tmp_file_path").rlike("/part-[^/]*$"))
+    number = F.regexp_extract("tmp_file_path", "/part-(\\d+)", 1)
+    stem, _, end = name.partition("{n}")
+    target = F.concat(F.lit(f"{root}/tmp/source={source}/table={entity}/upload_id={upload}/{stem}"), *([number, F.lit(end)] if end else []))
+    copied = copy_files(parts.select(F.concat(F.lit(f"{base}/"), "tmp_file_path").alias("source"), target.alias("target")))
+    lost = copied.where("error is not null").first()
+    if lost:
+        raise OSError(lost.error)
+
+
+def quoted_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sellers in another column order, with a name that holds a comma."""
+    return read(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("note, extra"),
+        F.expr("concat('q-', s_suppkey)").alias("seller_id"),
+        F.lit("QQ").alias("seller_state"),
+        F.expr("concat(s_name, ', \"town\"')").alias("seller_city"),
+        F.lit("00100").alias("seller_zip_code_prefix"),
+    )
+
+
+def rated_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products with a column that no other file has."""
+    columns = {c: F.lit(None).cast("string") for c in ENTITIES["products"].required_columns}
+    columns |= {"product_id": F.expr("concat('r-', p_partkey)"), "product_category_name": F.lit("rated"), "rating": _txt("p_size")}
+    return read(spark, sf_dir, "part").select(*[c.alias(n) for n, c in columns.items()])
+
+
+def shared_customers(spark: SparkSession, sf_dir: str, remainder: int) -> DataFrame:
+    """Half of the customers, under new ids."""
+    return read(spark, sf_dir, "customer").where(F.col("c_custkey") % 2 == remainder).select(
+        F.expr("concat('s-', c_custkey)").alias("customer_id"),
+        F.expr("concat('person-', c_custkey)").alias("customer_unique_id"),
+        F.lit("00200").alias("customer_zip_code_prefix"),
+        F.lit("shared").alias("customer_city"),
+        F.lit("SH").alias("customer_state"),
+    )
+
 
 def land(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Write the raw tables as uploaded CSV files below ``root``.
+    """Write the raw tables as uploaded CSV files below ``root``, in all the ways that files arrive.
 
-    Besides one good upload per entity there is a copy of the orders (a duplicate) and a file of
-    nations sent as orders (missing columns).
+    Besides one good upload per entity: a copy of the orders (a duplicate); sellers in another column order under a quoted name;
+    products with an extra column; customers under one file name from two sources; and files that can't load: nations sent as orders
+    (missing columns), a header without rows, a file without bytes, one of 10,000 columns, one that isn't UTF-8 and one whose name says
+    it is compressed, which it isn't.
     """
 
     def folder(entity: str, upload: str) -> str:
         return f"tmp/source=olist/table={entity}/upload_id={upload}"
 
-    def write(df: DataFrame, entity: str, upload: str) -> None:
-        # Rows per file keep every file below the size limit; blanks around values are kept.
-        writer = df.write.option("header", "true").option("maxRecordsPerFile", 400_000)
-        writer = writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-        writer.csv(f"{root}/{folder(entity, upload)}")
+    def lines(df: DataFrame, header: str, row: Column) -> DataFrame:
+        """The header and a line per row, in this order, in one file; for tables of fixed size."""
+        head = spark.range(1).select(F.lit(header).alias("value"), F.lit(0).alias("at"))
+        body = df.select(row.alias("value"), F.lit(1).alias("at"))
+        return head.unionByName(body).coalesce(1).sortWithinPartitions("at").select("value")
 
     for entity, build in BRONZE.items():
-        write(build(spark, sf_dir).select(*ENTITIES[entity].required_columns), entity, f"{entity}_good")
-    write(read(spark, sf_dir, "nation"), "orders", "orders_wrong")
-    files = spark.read.format("binaryFile").load(f"{root}/{folder('orders', 'orders_good')}").select("path")
+        rows = build(spark, sf_dir).select(*ENTITIES[entity].required_columns)
+        writer = rows.write.option("header", "true").option("maxRecordsPerFile", 400_000)
+        writer = writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+        writer.csv(f"{root}/{folder(entity, f'{entity}_good')}")
+    good = spark.read.format("binaryFile").load(f"{root}/{folder('orders', 'orders_good')}").select("path")
     again = F.replace(F.col("path"), F.lit("/upload_id=orders_good/"), F.lit("/upload_id=orders_repeat/"))
-    copy_files(files.select(F.col("path").alias("source"), again.alias("target")))
+    copy_files(good.select(F.col("path").alias("source"), again.alias("target")))
+
+    _upload(quoted_sellers(spark, sf_dir), root, "olist", "sellers", "sellers_quoted", "sellers-{n}.csv")
+    _upload(rated_products(spark, sf_dir), root, "olist", "products", "products_rated", "products-{n}.csv")
+    for remainder, source in enumerate(("olist", "partner")):
+        _upload(shared_customers(spark, sf_dir, remainder), root, source, "customers", "customers_shared", "customers-{n}.csv")
+
+    nation, region = read(spark, sf_dir, "nation").coalesce(1), read(spark, sf_dir, "region").coalesce(1)
+    _upload(nation, root, "olist", "orders", "orders_wrong", "nations.csv")
+    header = ",".join(ENTITIES["orders"].required_columns)
+    _upload(lines(region.limit(0), header, F.lit("")), root, "olist", "orders", "orders_no_rows", "orders.csv", text=True)
+    _upload(region.limit(0).coalesce(1).select("r_name"), root, "olist", "orders", "orders_empty", "orders.csv", text=True)
+    wide = ",".join([*ENTITIES["payments"].required_columns, *[f"c{i}" for i in range(10_000)]])
+    _upload(lines(region, wide, _txt("r_regionkey")), root, "olist", "payments", "payments_wide", "payments.csv", text=True)
+    names = {c: F.expr("concat(n_name, '\u00e9')") for c in ENTITIES["customers"].required_columns}
+    latin = nation.select(*[c.alias(n) for n, c in names.items()])
+    _upload(latin, root, "olist", "customers", "customers_latin", "customers.csv", encoding="ISO-8859-1")
+    zipped = lines(region, ",".join(ENTITIES["sellers"].required_columns), F.expr("concat(r_regionkey, ',1,a,A')"))
+    _upload(zipped, root, "olist", "sellers", "sellers_zipped", "sellers.csv.gz", text=True)
 
 
 # --- audit logs and events ----------------------------------------------------------------------
