@@ -143,8 +143,9 @@ class Tables:
         """Windows of the event stream, as the streaming job leaves them."""
         base = scratch_path(self.spark, "windows")
         stream = build(sample.pipeline_event_stream(self.spark, self.sf_dir))
-        stream_events.keep_current(stream, f"{base}/table", f"{base}/checkpoint").awaitTermination()
-        return self.spark.read.parquet(f"{base}/table")
+        stream_events.keep_windows(stream, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+        labels = tuple(c for c in stream.columns if c == "metric")
+        return stream_events.current_windows(self.spark, f"{base}/table", stream.schema, labels)
 
     @cache
     def written(self, name: str) -> DataFrame:

@@ -53,6 +53,37 @@ def test_stream_counts_equal_batch_counts(spark, tmp_path, rows):
         assert rows(final) == rows(build(batch)), name
 
 
+def test_state_shrinks_and_the_table_is_right(spark, tmp_path, rows):
+    """Several micro-batches in the order of time: closed windows leave the state, and the table holds the latest row of each."""
+    source, target, checkpoint = (str(tmp_path / n) for n in ("events", "windows", "checkpoint"))
+    batch = sample.pipeline_events(spark, SF).where("event is not null and timestamp is not null").cache()
+    days = [r.day for r in batch.select(F.to_date("timestamp").alias("day")).distinct().orderBy("day").collect()]
+    for k, day in enumerate([*days[:6], days[5] + dt.timedelta(days=40)]):
+        part = batch.where(F.to_date("timestamp") == day)
+        if k == 6:
+            part = batch.limit(1).withColumns({"timestamp": F.lit(dt.datetime(2030, 1, 1)), "event": F.lit("pipeline_completed")})
+        part.coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    counts = ev.event_counts(stream)
+    query = ev.keep_windows(counts, target, checkpoint)
+    query.awaitTermination()
+    held = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    assert len(held) >= 7 and max(held) > held[-1] and held[-1] <= 2
+
+    expected = rows(ev.event_counts(batch.where(F.to_date("timestamp").isin(days[:6]))))
+    now = ev.current_windows(spark, target, counts.schema, ("metric",)).where("window_start < timestamp'2029-01-01'")
+    assert rows(now) == expected
+    ev.compact_windows(spark, target, counts.schema, dt.date(2029, 1, 1), ("metric",))
+    assert rows(now) == expected
+    assert all(len(list(folder.glob("epoch=*"))) == 1 for folder in (tmp_path / "windows").glob("day=*"))
+    # A window that gets more events later has its newest row; a batch that runs again replaces its folders.
+    first = spark.createDataFrame([(dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 5), "m", 1)], counts.schema)
+    for epoch, n in ((0, 1), (1, 5), (1, 5)):
+        rows_of = first.withColumns({"n": F.lit(n).cast("long"), "day": F.lit(dt.date(2024, 1, 1)), "epoch": F.lit(epoch).cast("long")})
+        ev._write(rows_of, str(tmp_path / "again"))
+    assert [r.n for r in ev.current_windows(spark, str(tmp_path / "again"), counts.schema, ("metric",)).collect()] == [5]
+
+
 def test_alert_threshold(spark, rows):
     data = [(dt.datetime(2024, 1, 1, 0, m), e, 400) for m, e in [(0, "file_rejected"), (4, "file_rejected"), (6, "file_rejected")]]
     df = spark.createDataFrame(data, "timestamp timestamp, event string, status long")
