@@ -2,67 +2,52 @@
 
 from __future__ import annotations
 
-from itertools import accumulate
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 
+_UNORDERED = (T.MapType, T.VariantType)
 
-# Each cut value is one comparison per row.
-MAX_BUCKETS = 400
-
-
-def _cut_points(df: DataFrame, column: str, buckets: int) -> list:
-    """Distinct cut values (ascending) that split the column into about ``buckets`` even parts."""
-    shares = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(column, shares, 10 * buckets).alias("cuts")).first()
-    return row["cuts"] or []
 
+def global_rank(df: DataFrame, column: str, name: str = "rank", ranges: int | None = None) -> DataFrame:
+    """``rank() over (order by column desc)``, ties share a rank and NULL ranks last; for any type that has an order.
 
-def global_rank(df: DataFrame, column: str, name: str = "rank", buckets: int | None = None) -> DataFrame:
-    """``rank() over (order by column desc)``, ties share a rank and NULL ranks last.
-
-    Rows are put into value ranges by fixed cut values. A value that fills more than one range on
-    its own gets a range for itself, and so does NULL: such rows all share one rank, no sort needed.
-    The other ranges hold a bounded share each, are ranked apart and shifted by the number of rows
-    above them. Any choice of cut values gives the right rank; they only steer the balance.
+    The rows are written once, in ranges of the value and, within a value, of a hash of the row, so a value that a third of
+    the rows share lies in many ranges. The range is part of what is written. A range\'s summary tells how many rows it holds, its ends and
+    how many rows have its lowest value; running sums over the summaries, one row per range, tell how many rows lie above each range
+    and how many of these tie with its highest value. That value\'s rank follows from them; the other values are ranked within the range.
     """
     spark = df.sparkSession
-    buckets = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
-    df = materialize(df, "rank")
-    value = F.col(column)
-    cuts = _cut_points(df, column, buckets)
-    frequent = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
     kind = df.schema[column].dataType
-
-    def at(cut) -> Column:
-        return F.lit(cut).cast(kind)
-
-    # Even numbers: open ranges between cuts, from the highest value down. Odd: one single value.
-    bucket = F.when(value.isNull(), F.lit(-1))
-    descending = sorted(set(cuts), reverse=True)
-    for i, cut in enumerate(descending):
-        if cut in frequent:
-            bucket = bucket.when(value > at(cut), F.lit(2 * i)).when(value == at(cut), F.lit(2 * i + 1))
-        else:
-            bucket = bucket.when(value >= at(cut), F.lit(2 * i))
-    bucket = bucket.otherwise(F.lit(2 * len(descending)))
-    last = 2 * len(descending) + 1
-    placed = df.withColumn("_bucket", F.when(bucket == -1, F.lit(last)).otherwise(bucket))
-
-    # At most 2 * buckets rows: the rows of each range, and from them the rows above it.
-    sizes = sorted(placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("size")).collect())
-    above = [0, *accumulate(row["size"] for row in sizes)]
-    offsets = spark.createDataFrame(
-        [(row["_bucket"], before) for row, before in zip(sizes, above)], "_bucket int, _above long"
+    if isinstance(kind, _UNORDERED):
+        raise TypeError(f"{column} is of type {kind.simpleString()}, which has no order to rank by")
+    value = F.col(column)
+    hashed = [f.name for f in df.schema if not isinstance(f.dataType, _UNORDERED)]
+    order = [value.desc_nulls_last(), F.xxhash64(*hashed)]
+    ranged = df.repartitionByRange(*([ranges] if ranges else []), *order)
+    ranged = materialize(ranged.withColumn("_range", F.spark_partition_id()), "rank")
+
+    # At most one row per range from here to ``places``.
+    known = ranged.where(value.isNotNull()).select("_range", value.alias("_value"))
+    ends = known.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_value").alias("_low"), F.max("_value").alias("_high"))
+    ends = materialize(ends, "ends")
+    lowest = known.join(F.broadcast(ends.select("_range", "_low")), "_range").where("_value = _low")
+    ends = ends.join(lowest.groupBy("_range").agg(F.count(F.lit(1)).alias("_ties")), "_range")
+    down = Window.orderBy("_range")
+    upto = Window.partitionBy("_low").orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    above = F.coalesce(F.sum("_n").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = ends.withColumns({"_above": above, "_run": F.sum("_ties").over(upto)})
+    tied = F.when(F.lag("_low").over(down) == F.col("_high"), F.lag("_run").over(down)).otherwise(0)
+    places = materialize(placed.withColumn("_tied", tied).select("_range", "_n", "_high", "_above", "_tied"), "places")
+    total = F.broadcast(places.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_total")))
+
+    within = F.rank().over(Window.partitionBy("_range").orderBy(value.desc_nulls_last()))
+    rank = (
+        F.when(value.isNull(), F.col("_total") + 1)
+        .when(value == F.col("_high"), F.col("_above") - F.col("_tied") + 1)
+        .otherwise(F.col("_above") + F.col("_within"))
     )
-    placed = placed.join(F.broadcast(offsets), "_bucket")
-
-    single = (F.col("_bucket") % 2) == 1
-    alone = placed.where(single).withColumn("_inner", F.lit(1))
-    within = Window.partitionBy("_bucket").orderBy(value.desc())
-    ranked = placed.where(~single).withColumn("_inner", F.rank().over(within))
-    both = alone.unionByName(ranked)
-    return both.withColumn(name, (F.col("_above") + F.col("_inner")).cast("bigint")).drop("_bucket", "_above", "_inner")
+    ranked = ranged.withColumn("_within", within).join(F.broadcast(places), "_range", "left").crossJoin(total)
+    return ranked.select(*df.columns, rank.cast("bigint").alias(name))

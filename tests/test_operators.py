@@ -36,13 +36,20 @@ def test_dedup_reduces_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
-@pytest.mark.parametrize("buckets", [2, 7, 50])
-def test_global_rank_equals_plain_rank(spark, rows, buckets):
+@pytest.mark.parametrize(
+    ("kind", "ranges"),
+    [("decimal(28,9)", None), ("decimal(28,9)", 1), ("decimal(28,9)", 40), ("string", 7), ("double", 40), ("timestamp_ntz", 1000)],
+)
+def test_global_rank_equals_plain_rank(spark, rows, kind, ranges):
     # A third of the rows share one value, some are NULL, and there are many ties.
     value = F.when(F.col("id") % 3 == 0, 77).when(F.col("id") % 50 == 1, None).otherwise((F.col("id") * 7919) % 400)
-    df = spark.range(3000).select("id", value.cast("decimal(28,9)").alias("v"))
+    if kind == "timestamp_ntz":
+        cast = F.expr("timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, cast(v as int))")
+    else:
+        cast = F.col("v").cast(kind)
+    df = spark.range(3000).select("id", value.alias("v")).withColumn("v", cast)
     plain = df.withColumn("rank", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())).cast("bigint"))
-    assert rows(global_rank(df, "v", buckets=buckets)) == rows(plain)
+    assert rows(global_rank(df, "v", ranges=ranges)) == rows(plain)
 
 
 def test_global_rank_of_few_or_no_values(spark, rows):
@@ -52,6 +59,21 @@ def test_global_rank_of_few_or_no_values(spark, rows):
     assert rows(global_rank(nulls, "v")) == [(1, None, 1), (2, None, 1)]
     same = spark.createDataFrame([(1, 5.0), (2, 5.0), (3, 1.0)], "id long, v double")
     assert rows(global_rank(same, "v"), "id", "rank") == [(1, 1), (2, 1), (3, 3)]
+    odd = spark.createDataFrame([(1, float("nan")), (2, 0.0), (3, -0.0), (4, float("-inf")), (5, None)], "id long, v double")
+    assert rows(global_rank(odd, "v", ranges=9), "id", "rank") == [(1, 1), (2, 2), (3, 2), (4, 4), (5, 5)]
+    texts = spark.createDataFrame([(1, "10"), (2, "9"), (3, "é"), (4, "")], "id long, v string")
+    assert rows(global_rank(texts, "v"), "id", "rank") == [(1, 3), (2, 2), (3, 1), (4, 4)]
+    with pytest.raises(TypeError, match="no order"):
+        global_rank(spark.createDataFrame([(1, {"a": 1})], "id long, v map<string,int>"), "v")
+
+
+def test_global_rank_spreads_a_hot_value(spark):
+    """One value in nearly all rows lies in several ranges of the one table that is written."""
+    df = spark.range(20_000).select("id", F.when(F.col("id") % 10 > 0, 1).otherwise(F.col("id")).alias("v"))
+    ranked = global_rank(df, "v", ranges=8)
+    assert ranked.where("v = 1").agg(F.min("rank"), F.max("rank")).first() == (2000, 2000)
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [rank" in plan and "RepartitionByExpression" not in plan
 
 
 def test_heavy_keys(spark):
