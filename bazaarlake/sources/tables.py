@@ -2,8 +2,8 @@
 
 Two kinds of table share one address ``<layer>/<table>``:
 
-* tables that are replaced whole live in a fresh folder per write. A folder counts once Spark's committer has put its ``_SUCCESS``
-  mark there, so the switch is that mark: readers find the old rows until then, and a write that fails leaves nothing.
+* tables that are replaced whole get a fresh folder per write. It is written under a name that readers pass over and renamed when it is whole
+  (and, in a build, when its tests have passed): readers find the old rows until then, and a write that fails leaves them alone.
 * tables that grow by partitions (raw rows, logs) live in one folder. Their columns may grow too: the schema is kept with the table, in files
   of no rows below ``_schema`` which Spark's own merge of Parquet schemas reads, and rows are read by name, NULL where a file lacks a column.
 """
@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 from ..session import delete_path, materialize
 
 _VERSION = "v-"
+_NEXT = "_next-"
+_HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 
 
 def merged_schema(known: T.StructType | None, more: T.StructType) -> T.StructType:
@@ -72,7 +74,7 @@ class Lake:
     def exists(self, layer: str, table: str) -> bool:
         fs, folder = self._folder(self.location(layer, table))
         # A folder that holds versions only, none of them whole, is no table yet.
-        return fs.exists(folder) and any(not s.getPath().getName().startswith((_VERSION, "_schema")) for s in fs.listStatus(folder))
+        return fs.exists(folder) and any(not s.getPath().getName().startswith((_VERSION, _NEXT, "_schema")) for s in fs.listStatus(folder))
 
     # --- reading ----------------------------------------------------------------------------------
 
@@ -109,7 +111,7 @@ class Lake:
 
     # --- tables that are replaced whole -----------------------------------------------------------
 
-    def overwrite(
+    def stage(
         self,
         layer: str,
         table: str,
@@ -117,14 +119,13 @@ class Lake:
         day: str | None = None,
         cluster_by: tuple[str, ...] = (),
         spread_by: tuple[str, ...] = (),
-    ) -> None:
-        """Replace a table.
+    ) -> str:
+        """Write the next version of a table beside the present one; the folder to ``switch`` to.
 
-        ``day`` makes one folder per date; Spark rebalances the rows by date and splits a date that
+        ``day`` makes one folder per date (or other value); Spark rebalances the rows by it and splits a date that
         holds very many. Without ``day`` the rows are laid out in ranges of ``cluster_by``, and
         ``spread_by`` (the key) splits a cluster value that holds very many. Rows are sorted by
-        ``cluster_by`` inside each file, so that readers can skip by min and max. Readers, ``df`` itself among them, keep the old rows
-        until the new ones are whole.
+        ``cluster_by`` inside each file, so that readers can skip by min and max.
         """
         writer_options = {}
         if day:
@@ -133,10 +134,22 @@ class Lake:
             df = df.sortWithinPartitions(day, *cluster_by)
         elif cluster_by:
             df = df.repartitionByRange(*cluster_by, *spread_by).sortWithinPartitions(*cluster_by, *spread_by)
-        fresh = f"{self.path(layer, table)}/{_VERSION}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        fresh = f"{self.path(layer, table)}/{_NEXT}{uuid.uuid4().hex}"
         df.write.parquet(fresh, **writer_options)
+        return fresh
+
+    def switch(self, layer: str, table: str, staged: str) -> None:
+        """Make a staged version the table; readers, the makers of the next version among them, keep the old one until then."""
+        fs, source = self._folder(staged)
+        _, target = self._folder(f"{self.path(layer, table)}/{_VERSION}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}")
+        if not fs.rename(source, target):
+            raise OSError(f"could not move {staged} to {target}")
         self._forget(layer, table)
 
+    def overwrite(self, layer: str, table: str, df: DataFrame, **layout) -> None:
+        """Replace a table, laid out as ``stage`` says."""
+        self.switch(layer, table, self.stage(layer, table, df, **layout))
+
     def _forget(self, layer: str, table: str) -> None:
         """Remove versions that were replaced longer than ``keep`` ago."""
         versions = self._versions(layer, table)
@@ -173,9 +186,16 @@ class Lake:
             spelled = {f.name.lower(): f.name for f in self.grow(layer, table, df.schema)}
             df = df.toDF(*[spelled[c.lower()] for c in df.columns])
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(
-            self.path(layer, table)
+            self.location(layer, table)
         )
 
+    def replace_values(self, layer: str, table: str, df: DataFrame, column: str, values: list) -> None:
+        """Make ``df`` all rows of a partitioned table whose ``column`` is one of ``values`` (None is NULL)."""
+        self.replace_partitions(layer, table, df, (column,))
+        left = {row[column] for row in df.select(column).distinct().collect()}
+        for value in set(values) - left:
+            delete_path(self.spark, f"{self.location(layer, table)}/{column}={_HIVE_NULL if value is None else value}")
+
     def append(self, layer: str, table: str, df: DataFrame, by: tuple[str, ...]) -> None:
         """Add rows to a partitioned table."""
         df.write.mode("append").partitionBy(*by).parquet(self.path(layer, table))
