@@ -39,8 +39,10 @@ HANDLED = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("tmp_file_path", "file_hash", "status", "ingest_id", "hash_prefix")]
 )
 
-#: Name of the column that takes the bytes' digits of no content.
+#: Folder of the files whose content is not known.
 _NO_HASH = "none"
+#: Jobs of one batch that run beside each other.
+JOBS = 6
 
 
 @dataclass(frozen=True)
@@ -225,9 +227,11 @@ def stage(lake: Lake, root: str, marked: DataFrame) -> tuple[dict[str, DataFrame
     layouts = chosen.groupBy("table_name", "header_line", "multi_line").agg(
         F.first("header").alias("header"), F.sort_array(F.collect_list("tmp_file_path")).alias("paths")
     )
+    layouts = layouts.withColumn("layout_id", F.sha2(F.concat_ws("|", "header_line", F.col("multi_line").cast("string")), 256))
     base = scratch_path(spark, "staged")
     schemas: dict[str, T.StructType] = {}
     failed: dict[str, Exception] = {}
+    chosen_layouts = []
     # Paths and headers of the files of one batch, a layout at a time.
     for layout in materialize(layouts, "layouts").toLocalIterator():
         entity, names = layout.table_name, column_names(layout.header, ENTITIES[layout.table_name].required_columns)
@@ -237,17 +241,26 @@ def stage(lake: Lake, root: str, marked: DataFrame) -> tuple[dict[str, DataFrame
         if len(grown) > landing.MAX_COLUMNS + len(LINEAGE) + 1:
             failed |= dict.fromkeys(layout.paths, ValueError(f"Too many columns in {entity}: {len(grown)}"))
             continue
-
-        def write(paths: list[str], entity=entity, names=names, multi_line=layout.multi_line) -> None:
-            rows = landing.read_rows(spark, root, paths, names, multi_line)
-            rows.write.mode("append").parquet(f"{base}/{entity}")
-
-        broken = _isolated(layout.paths, write)
-        failed |= broken
-        if len(broken) < len(layout.paths):
-            schemas[entity] = merged_schema(schemas.get(entity), columns)
+        schemas[entity] = merged_schema(schemas.get(entity), columns)
+        chosen_layouts.append((layout, names))
+
+    def read(layout, names: list[str | None]) -> dict[str, Exception]:
+        def write(paths: list[str]) -> None:
+            rows = landing.read_rows(spark, root, paths, names, layout.multi_line)
+            rows.write.mode("append").parquet(f"{base}/{layout.table_name}/{layout.layout_id}")
+
+        return _isolated(layout.paths, write)
+
+    # Layouts are jobs of their own, so small ones share the cluster.
+    with ThreadPoolExecutor(JOBS) as pool:
+        for broken in pool.map(lambda chosen: read(*chosen), chosen_layouts):
+            failed |= broken
+    written = {layout.table_name for layout, _ in chosen_layouts if not failed.keys() >= set(layout.paths)}
+    schemas = {e: s for e, s in schemas.items() if e in written}
     marks = T.StructType([T.StructField("__file", T.StringType()), T.StructField("__wide", T.BooleanType())])
-    staged = {e: spark.read.schema(merged_schema(s, marks)).parquet(f"{base}/{e}") for e, s in schemas.items()}
+    # A folder per layout, so that each write has a committer of its own.
+    reader = spark.read.option("recursiveFileLookup", "true")
+    staged = {e: reader.schema(merged_schema(s, marks)).parquet(f"{base}/{e}") for e, s in schemas.items()}
     counts = [
         rows.groupBy(F.col("__file").alias("tmp_file_path")).agg(
             F.count(F.lit(1)).alias("row_count"), F.count_if("__wide").alias("wide_rows")
@@ -670,9 +683,13 @@ def _ingest(
     marked = manifest(lake.spark, root, requests, read_handled(lake), ingest_id, as_of, options)
     staged, counted = stage(lake, root, marked)
     verdict = route(verdicts(marked, counted, root, options), root)
-    for entity, rows in bronze_rows(staged, verdict, ingest_id).items():
+
+    def load(entity: str, rows: DataFrame) -> None:
         lake.grow("bronze", f"bronze_{entity}", _with(bronze_schema(entity), "ingest_id"))
         _replace(lake, "bronze", f"bronze_{entity}", rows, BRONZE_PARTITIONS, ingest_id, as_of)
+
+    with ThreadPoolExecutor(JOBS) as pool:
+        list(pool.map(lambda found: load(*found), bronze_rows(staged, verdict, ingest_id).items()))
     if options.wide_rows == "quarantine":
         wide = quarantined_rows(staged, verdict, ingest_id)
         if wide is not None:

@@ -46,6 +46,7 @@ class Lake:
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep = keep
+        self._schemas: dict[tuple[str, ...], T.StructType] = {}
 
     # --- places -----------------------------------------------------------------------------------
 
@@ -84,7 +85,11 @@ class Lake:
         fs, folder = self._folder(kept)
         if not fs.exists(folder):
             return None
-        return self.spark.read.option("mergeSchema", "true").parquet(f"{kept}/*").schema
+        # Folders are only ever added, so those of the same names hold the same columns.
+        names = tuple(sorted(s.getPath().getName() for s in fs.listStatus(folder) if fs.exists(self._folder(f"{s.getPath()}/_SUCCESS")[1])))
+        if names not in self._schemas:
+            self._schemas[names] = self.spark.read.option("mergeSchema", "true").parquet(*[f"{kept}/{n}" for n in names]).schema
+        return self._schemas[names]
 
     def read(self, layer: str, table: str, schema: T.StructType | None = None) -> DataFrame:
         """Read a table; with a schema, a table nobody wrote yet is empty.

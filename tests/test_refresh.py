@@ -1,6 +1,7 @@
 """Refreshing what has changed gives the tables that a rebuild gives, and failing tests keep the last good ones."""
 
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,14 +26,25 @@ CHANGES = {
 }
 
 
-@pytest.fixture
-def filled(lake, tmp_path):
-    root = str(tmp_path / "landing")
+@pytest.fixture(scope="module")
+def first_build(spark, tmp_path_factory):
+    """A lake after its first ingest and refresh; the first refresh of changes builds all."""
+    base = tmp_path_factory.mktemp("first")
     for entity, content in FILES.items():
-        put(root, entity, f"{entity}_1", f"{entity}.csv", content)
-    ingest.ingest_landing(lake, root, "i1", AT)
-    pipeline.refresh(lake, AT, warn_only=UNKNOWN_PEOPLE, buckets=4)
-    return root
+        put(str(base / "landing"), entity, f"{entity}_1", f"{entity}.csv", content)
+    lake = Lake(spark, str(base / "lake"))
+    ingest.ingest_landing(lake, str(base / "landing"), "i1", AT)
+    assert len(pipeline.refresh_changes(lake, AT, warn_only=UNKNOWN_PEOPLE)) == 102
+    assert lake.read("gold", "fact_orders").count() == 2
+    return base
+
+
+@pytest.fixture
+def filled(first_build, lake, tmp_path):
+    """A copy of it; the landing root."""
+    shutil.copytree(first_build / "lake", lake.root)
+    shutil.copytree(first_build / "landing", tmp_path / "landing")
+    return str(tmp_path / "landing")
 
 
 def tables_of(lake, rows):
@@ -56,7 +68,7 @@ def test_changes_equal_a_rebuild(lake, filled, rows):
     assert days == {"2024-01-02", "2024-01-05", "2024-01-06"}
     # Nothing new, nothing done.
     assert pipeline.refresh_changes(lake, AT, warn_only=UNKNOWN_PEOPLE) == []
-    pipeline.refresh(lake, AT, warn_only=UNKNOWN_PEOPLE, buckets=4)
+    pipeline.refresh(lake, AT, warn_only=UNKNOWN_PEOPLE)
     whole = tables_of(lake, rows)
     assert {n for n in whole if whole[n] != changed[n]} == set()
 
@@ -68,7 +80,7 @@ def test_failed_tests_keep_the_last_good_tables(lake, filled, rows):
     with pytest.raises(quality.QualityGateError, match="order_status accepted_values"):
         pipeline.refresh_changes(lake, AT, warn_only=UNKNOWN_PEOPLE)
     with pytest.raises(quality.QualityGateError):
-        pipeline.refresh(lake, AT, warn_only=UNKNOWN_PEOPLE, buckets=4)
+        pipeline.refresh(lake, AT, warn_only=UNKNOWN_PEOPLE)
     assert tables_of(lake, rows) == before
     # A later correction is taken up together with the bad rows.
     put(filled, "orders", "good", "o.csv", f"{HEADERS['orders']}\no1,c1,delivered,2024-01-05,,,,\n")
@@ -77,15 +89,6 @@ def test_failed_tests_keep_the_last_good_tables(lake, filled, rows):
     assert rows(lake.read("gold", "fact_orders").where("order_id = 'o1'"), "order_status") == [("delivered",)]
 
 
-def test_first_refresh_builds_all(lake, tmp_path, rows):
-    root = str(tmp_path / "landing")
-    for entity, content in FILES.items():
-        put(root, entity, f"{entity}_1", f"{entity}.csv", content)
-    ingest.ingest_landing(lake, root, "i1", AT)
-    assert len(pipeline.refresh_changes(lake, AT, warn_only=UNKNOWN_PEOPLE)) == 102
-    assert lake.read("gold", "fact_orders").count() == 2
-
-
 def test_only_touched_folders_are_read(lake, filled):
     """The folders of other numbers and days are pruned from the scans of a refresh."""
     tables = Candidate(lake, pipeline._LAYERS)
