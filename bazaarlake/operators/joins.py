@@ -1,45 +1,18 @@
-"""Lookup joins that hold up when one key owns a large share of the rows, and parent checks."""
+"""Lookup joins and parent checks."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HEAVY_KEYS = 64
-SALTS = 256
 
+def lookup_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join to a table with one row per ``key``, which should be a written one.
 
-def heavy_keys(df: DataFrame, *keys: str, share: float = 0.002, tracked: int = 10_000) -> dict[str, list]:
-    """For each key column, the values that own more than ``share`` of the rows; at most 64 of them.
-
-    One pass over the key columns: every task keeps a bounded frequency sketch, and only the top
-    entries reach the driver. The answer steers the balance of a join, never its result.
+    Spark broadcasts a right side that it has measured to be small. Beyond that both sides are shuffled by the key alone, and adaptive execution
+    splits the left rows of a hot key over tasks at run time; it can do so because a written right side brings no partitioning of its own.
     """
-    sketches = [F.expr(f"approx_top_k(`{k}`, {MAX_HEAVY_KEYS}, {tracked})").alias(k) for k in keys]
-    row = df.select(*keys).agg(F.count(F.lit(1)).alias("total"), *sketches).first()
-    least = max(row.total * share, 1)
-    return {k: [e["item"] for e in row[k] or [] if e["item"] is not None and e["count"] > least] for k in keys}
-
-
-def lookup_join(left: DataFrame, right: DataFrame, key: str, heavy: list | None = None, salts: int = SALTS) -> DataFrame:
-    """Left join to a table with one row per ``key``.
-
-    Spark decides between broadcast and shuffle by size. ``heavy`` lists keys known to be hot: their
-    rows on the left are spread over ``salts`` partitions by a hash of the row, and the matching
-    (few) rows on the right are repeated for each salt. The hash depends on the row alone, so a
-    repeated task gives the same result; the left rows need a column that tells them apart.
-    """
-    if not heavy:
-        return left.join(right, key, "left")
-    row_hash = F.xxhash64(*[F.col(c) for c in left.columns if c != key])
-    salted = left.withColumn(
-        "_salt", F.when(F.col(key).isin(heavy), F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    )
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    spread = right.withColumn(
-        "_salt", F.explode(F.when(F.col(key).isin(heavy), every_salt).otherwise(F.array(F.lit(0))))
-    )
-    return salted.join(spread, [key, "_salt"], "left").drop("_salt")
+    return left.join(right, key, "left")
 
 
 def missing_parents(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:

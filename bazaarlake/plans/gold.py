@@ -177,10 +177,10 @@ def _order_context(orders: DataFrame) -> DataFrame:
     )
 
 
-def fact_order_items(items: DataFrame, orders: DataFrame, heavy_orders: list | None = None) -> DataFrame:
-    """One row per order line. ``heavy_orders`` names orders with very many lines (see ``lookup_join``)."""
+def fact_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """One row per order line."""
     joined = lookup_join(
-        items.drop("batch_id", "run_id", "gcs_uri", "file_hash"), _order_context(orders), "order_id", heavy_orders
+        items.drop("batch_id", "run_id", "gcs_uri", "file_hash"), _order_context(orders), "order_id"
     )
     return joined.select(
         F.concat("order_id", F.lit("-"), F.col("order_item_id").cast("string")).alias("order_item_key"),
@@ -202,10 +202,10 @@ def fact_order_items(items: DataFrame, orders: DataFrame, heavy_orders: list | N
     )
 
 
-def fact_payments(payments: DataFrame, orders: DataFrame, heavy_orders: list | None = None) -> DataFrame:
+def fact_payments(payments: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per payment of an order."""
     joined = lookup_join(
-        payments.drop("batch_id", "run_id", "gcs_uri", "file_hash"), _order_context(orders), "order_id", heavy_orders
+        payments.drop("batch_id", "run_id", "gcs_uri", "file_hash"), _order_context(orders), "order_id"
     )
     return joined.select(
         F.concat("order_id", F.lit("-"), F.col("payment_sequential").cast("string")).alias("payment_key"),

@@ -54,11 +54,6 @@ class Tables:
     def silver(self, entity: str) -> DataFrame:
         return silver.trusted(entity, self.bronze(entity))
 
-    @cache
-    def heavy(self, entity: str) -> dict[str, list[str]]:
-        """Hot keys by key column, looked up on the raw rows."""
-        return sample.hot_keys(self.spark, self.sf_dir, entity)
-
     @cache
     def dim_date(self) -> DataFrame:
         return gold.dim_date_covering(self.silver("orders"))
@@ -81,19 +76,15 @@ class Tables:
 
     @cache
     def fact_order_items(self) -> DataFrame:
-        return gold.fact_order_items(
-            self.silver("order_items"), self.silver("orders"), self.heavy("order_items")["order_id"]
-        )
+        return gold.fact_order_items(self.silver("order_items"), self.written("silver_orders"))
 
     @cache
     def fact_payments(self) -> DataFrame:
-        return gold.fact_payments(self.silver("payments"), self.silver("orders"), self.heavy("payments")["order_id"])
+        return gold.fact_payments(self.silver("payments"), self.written("silver_orders"))
 
     @cache
     def mart_sales_performance(self) -> DataFrame:
-        return marts.mart_sales_performance(
-            self.fact_order_items(), self.dim_product(), self.heavy("order_items")["product_id"]
-        )
+        return marts.mart_sales_performance(self.fact_order_items(), self.written("dim_product"))
 
     @cache
     def mart_product_performance(self) -> DataFrame:
@@ -101,7 +92,9 @@ class Tables:
 
     @cache
     def mart_customer_rfm(self) -> DataFrame:
-        return marts.mart_customer_rfm(self.fact_orders(), self.dim_customer())
+        # The order fact serves three times: per customer, for the analysis date and for the customers only it knows.
+        orders = self.written("fact_orders")
+        return marts.mart_customer_rfm(orders, gold.dim_customer(self.silver("customers"), orders, _AS_OF))
 
     @cache
     def mart_pipeline_quality(self) -> DataFrame:
@@ -249,9 +242,8 @@ _tables(
     "items_with_product",
     lambda t: joins.lookup_join(
         t.silver("order_items").select("order_id", "order_item_id", "product_id"),
-        t.dim_product().select("product_id", "product_category_name"),
+        t.written("dim_product").select("product_id", "product_category_name"),
         "product_id",
-        t.heavy("order_items")["product_id"],
     ),
     """select i.order_id, i.order_item_id, i.product_id, d.product_category_name
     from silver_order_items i left join dim_product d on i.product_id = d.product_id""",
@@ -948,19 +940,7 @@ _logs(
     "select "
     + ", ".join(
         f"cast(sum({c}) as bigint) as {c}"
-        for c in (
-            "total_file_uploads",
-            "successful_file_uploads",
-            "failed_file_uploads",
-            "duplicate_file_uploads",
-            "pipeline_steps",
-            "successful_steps",
-            "failed_steps",
-            "total_quality_checks",
-            "passed_quality_checks",
-            "failed_quality_checks",
-            "rejected_file_count",
-        )
+        for c in marts.QUALITY_MEASURES
     )
     + " from mart_pipeline_quality",
 )

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import ENTITIES, bronze_schema
-from ..operators.joins import heavy_keys
 from ..session import scratch_path
 from .landing import UploadRequest, copy_files, landed_files
 
@@ -35,20 +34,6 @@ def read_spread(spark: SparkSession, sf_dir: str, table: str, *columns: str) ->
     return df.repartition(cores, *columns) if len(df.inputFiles()) < cores else df
 
 
-# Sample columns behind those keys of the raw tables that may be hot.
-_KEY_COLUMNS = {
-    "order_items": ("lineitem", {"order_id": "l_orderkey", "product_id": "l_partkey"}),
-    "payments": ("orders", {"order_id": "o_orderkey"}),
-}
-
-
-def hot_keys(spark: SparkSession, sf_dir: str, entity: str) -> dict[str, list[str]]:
-    """Hot keys of a raw table, from one pass over the key columns of the sample."""
-    table, columns = _KEY_COLUMNS[entity]
-    found = heavy_keys(read(spark, sf_dir, table), *columns.values())
-    return {key: [str(v) for v in found[column]] for key, column in columns.items()}
-
-
 def _txt(sql: str) -> Column:
     return F.expr(f"cast({sql} as string)")
 

@@ -1,4 +1,5 @@
 import datetime as dt
+from collections import Counter
 
 import pytest
 from pyspark.sql import Window
@@ -76,37 +77,33 @@ def test_global_rank_spreads_a_hot_value(spark):
     assert "Window [rank" in plan and "RepartitionByExpression" not in plan
 
 
-def test_heavy_keys(spark):
-    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    assert joins.heavy_keys(df, "k") == {"k": ["hot"]}
-    assert joins.heavy_keys(df.where("k <> 'hot'"), "k") == {"k": []}
-    assert joins.heavy_keys(df.where("false"), "k") == {"k": []}
-    nulls = df.select(F.when(F.col("k") == "hot", F.col("k")).alias("k"), F.lit(1).alias("n"))
-    assert joins.heavy_keys(nulls, "k", "n") == {"k": ["hot"], "n": [1]}
-
-
 def test_lookup_join_with_hot_key(spark, rows):
     left = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 == 1, None).otherwise(F.col("id").cast("string")).alias("k"),
         "id",
     )
     right = left.where("k is not null and (k = 'hot' or id < 500)").select("k").distinct().withColumn("name", F.upper("k"))
-    plain = rows(left.join(right, "k", "left"))
-    salted = joins.lookup_join(left, right, "k", joins.heavy_keys(left, "k")["k"], salts=8)
-    assert rows(salted) == plain
-    assert rows(joins.lookup_join(left, right, "k")) == plain
-
-
-def test_hot_key_is_spread(spark):
-    left = spark.range(9000).select(F.lit("hot").alias("k"), "id")
-    right = spark.createDataFrame([("hot", 1)], "k string, n int")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    assert rows(joins.lookup_join(left, right, "k")) == rows(left.join(right, "k", "left"))
+
+
+def test_hot_key_is_spread(spark, tmp_path):
+    """Adaptive execution splits the rows of a hot key over tasks, as both sides are plain exchanges."""
+    spark.range(0, 40_000, 1, 8).select(F.lit("hot").alias("k"), F.uuid().alias("u")).write.parquet(str(tmp_path / "left"))
+    spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, n int").write.parquet(str(tmp_path / "right"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    for name, value in conf.items():
+        spark.conf.set(name, value)
     try:
-        joined = joins.lookup_join(left, right.hint("merge"), "k", ["hot"])
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        joined = joins.lookup_join(spark.read.parquet(str(tmp_path / "left")), spark.read.parquet(str(tmp_path / "right")), "k")
+        sizes = Counter(r.part for r in joined.withColumn("part", F.spark_partition_id()).collect())
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert len(sizes) > 1 and max(sizes) < 6000
+        for name in conf:
+            spark.conf.unset(name)
+    assert sizes.total() == 40_000 and max(sizes.values()) < 20_000
 
 
 def test_missing_parents(spark, rows):
