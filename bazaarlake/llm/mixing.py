@@ -50,6 +50,16 @@ def targets(totals: DataFrame, share: float, weights: tuple[float, ...]) -> Data
     )
 
 
+def _small(sources: DataFrame):
+    """How to join tables of one row per source: broadcast for at most ``MAX_SOURCES`` of them, by a shuffle beyond."""
+    return F.broadcast if sources.limit(MAX_SOURCES + 1).count() <= MAX_SOURCES else (lambda df: df)
+
+
+def _kept(plan: DataFrame) -> DataFrame:
+    plan = store(plan, "mix-plan").withColumnRenamed("source", "_source")
+    return _small(plan)(plan)
+
+
 def plan_mix(rows: DataFrame, share: float, weights: tuple[float, ...]) -> DataFrame:
     """One row per source: what to take of rows with ``source``, ``size`` and ``key``.
 
@@ -60,8 +70,6 @@ def plan_mix(rows: DataFrame, share: float, weights: tuple[float, ...]) -> DataF
     bucket = F.shiftright("key", KEY_BITS - BUCKET_BITS)
     ranges = store(rows.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("words")), "mix-ranges")
     totals = ranges.groupBy("source").agg(F.sum("words").alias("total"))
-    if totals.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: the table of targets is no longer small")
     goal = store(
         targets(totals, share, weights).withColumns(
             {
@@ -71,7 +79,8 @@ def plan_mix(rows: DataFrame, share: float, weights: tuple[float, ...]) -> DataF
         ).withColumn("budget", F.col("budget") - F.col("epochs") * F.col("total")),
         "mix-targets",
     )
-    goal = F.broadcast(goal)
+    small = _small(goal)
+    goal = small(goal)
     running = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     found = (
         ranges.withColumn("_upto", F.sum("words").over(running))
@@ -79,7 +88,7 @@ def plan_mix(rows: DataFrame, share: float, weights: tuple[float, ...]) -> DataF
         .where((F.col("_upto") > F.col("budget")) & (F.col("_upto") - F.col("words") <= F.col("budget")))
         .select(ranges["source"].alias("_s"), F.col("bucket").alias("_b"), (F.col("budget") - F.col("_upto") + F.col("words")).alias("_rest"))
     )
-    found = F.broadcast(found)
+    found = small(found)
     sums = (
         rows.join(found, rows["source"].eqNullSafe(found["_s"]) & (bucket == found["_b"]))
         .groupBy("source", "key")
@@ -91,14 +100,14 @@ def plan_mix(rows: DataFrame, share: float, weights: tuple[float, ...]) -> DataF
         .where((F.col("_upto") > F.col("_rest")) & (F.col("_upto") - F.col("words") <= F.col("_rest")))
         .select(F.col("source").alias("_s"), F.col("key").alias("cut"), F.col("words").alias("at_cut"), (F.col("_rest") - F.col("_upto") + F.col("words")).alias("left"))
     )
-    return goal.join(F.broadcast(cuts), goal["source"].eqNullSafe(F.col("_s")), "left").select(
+    return goal.join(small(cuts), goal["source"].eqNullSafe(F.col("_s")), "left").select(
         goal["source"], "total", "target", "epochs", "cut", "at_cut", "left"
     )
 
 
 def take(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """``rows`` (with ``source``, ``size``, ``key``) with ``source_size``, ``target`` and ``taken`` words."""
-    plan = F.broadcast(store(plan, "mix-plan").withColumnRenamed("source", "_source"))
+    plan = _kept(plan)
     last = (
         F.when(F.col("key") < F.col("cut"), F.col("size"))
         .when(F.col("key") == F.col("cut"), F.floor(F.col("size") * F.col("left") / F.col("at_cut")))
@@ -133,7 +142,7 @@ def draw_mix(docs: DataFrame, share: float = 1.5, weights: tuple[float, ...] = (
     names = docs.columns
     held = docs.select(F.struct(*names).alias("_doc"), "source", word_count(docs["text"]).alias("size"), random_key(docs["doc_id"]).alias("key"))
     plan = plan_mix(store(held.select("source", "size", "key"), "mix-rows"), share, weights)
-    plan = F.broadcast(store(plan, "mix-plan").withColumnRenamed("source", "_source"))
+    plan = _kept(plan)
     partial = F.col("cut").isNotNull() & ((F.col("key") < F.col("cut")) | ((F.col("key") == F.col("cut")) & (F.col("left") > 0)))
     times = (F.col("epochs") + F.when(partial, 1).otherwise(0)).cast("int")
     times = F.when(F.col("total") > 0, times).otherwise(1)

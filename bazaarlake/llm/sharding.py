@@ -13,6 +13,8 @@ LIMB = 22
 _MASK = (1 << LIMB) - 1
 _M0, _M1, _M2 = MULTIPLIER & _MASK, (MULTIPLIER >> LIMB) & _MASK, MULTIPLIER >> (2 * LIMB)
 ROWS_PER_FILE = 1_000_000
+#: Offsets of so many files at most are broadcast, some 20 MB.
+MAX_OFFSETS = 100_000
 
 
 def _step(state: Column, shards: int) -> Column:
@@ -61,16 +63,29 @@ def shard_rows(df: DataFrame, key: str, shards: int) -> DataFrame:
     number = df[key].cast("long") if kind in ("byte", "short", "integer", "long") else F.xxhash64(df[key])
     number = F.when(df[key].isNull(), F.lit(0).cast("long")).otherwise(number)
     names = [c for c in df.columns if c not in ("shard", "grown_shard", "slot")]
-    kept = df.select(*names, jump(number, shards).alias("_j"), F.xxhash64(*names).alias("_hash"), F.monotonically_increasing_id().alias("_at"))
-    grown = F.when(F.col("_j.next") == shards, shards).otherwise(F.col("_j.at")).cast("int")
-    kept = kept.select(*names, F.col("_j.at").cast("int").alias("shard"), grown.alias("grown_shard"), "_hash", "_at")
-    order = ["shard", key, "_hash", "_at"]
-    ranged = kept.repartitionByRange(*order).sortWithinPartitions(*order).drop("_hash", "_at")
+    # The row travels as one column, so that its names don't meet those used here.
+    kept = df.select(
+        F.struct(*[df[c] for c in names]).alias("row"),
+        df[key].alias("key"),
+        jump(number, shards).alias("j"),
+        F.xxhash64(*[df[c] for c in names]).alias("hash"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    grown = F.when(F.col("j.next") == shards, shards).otherwise(F.col("j.at")).cast("int")
+    kept = kept.select("row", "key", F.col("j.at").cast("int").alias("shard"), grown.alias("grown_shard"), "hash", "at")
+    order = ["shard", "key", "hash", "at"]
+    ranged = kept.repartitionByRange(*order).sortWithinPartitions(*order).select("row", "shard", "grown_shard")
     stored = store(ranged, "shards", maxRecordsPerFile=ROWS_PER_FILE)
-    stored = stored.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    held = stored.groupBy("shard", "_file").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
-    before = Window.partitionBy("shard").orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = held.select("shard", "_file", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return stored.join(offsets, ["shard", "_file"]).select(
-        *names, "shard", "grown_shard", (F.col("_row") - F.col("_first") + F.col("_before")).cast("long").alias("slot")
+    stored = stored.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    held = store(stored.groupBy("shard", "file").agg(F.count("*").alias("n"), F.min("place").alias("first")), "held")
+    before = Window.partitionBy("shard").orderBy(F.length("file"), "file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = held.select("shard", "file", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    # One short row per shard and file; beyond the bound the rows are shuffled to them.
+    if held.count() <= MAX_OFFSETS:
+        offsets = F.broadcast(offsets)
+    return stored.join(offsets, ["shard", "file"]).select(
+        *[F.col("row")[c].alias(c) for c in names],
+        "shard",
+        "grown_shard",
+        (F.col("place") - F.col("first") + F.col("before")).cast("long").alias("slot"),
     )

@@ -90,6 +90,25 @@ def test_sharding(spark, odd, none):
     assert sharding.shard_rows(none, "doc_id", 3).count() == 0
 
 
+def test_sharding_clashing_names(odd):
+    names = ["_hash", "_at", "_j", "_file", "_row", "_before", "row", "file", "place", "key", "hash", "at", "j", "n", "first", "before", "slot", "_metadata"]
+    wide = odd.withColumns({n: F.lit(n) for n in names})
+    for frame in (wide, wide.withColumn("grown_shard", F.lit("x"))):
+        out = sharding.shard_rows(frame, "doc_id", 3)
+        assert set(out.columns) == {*wide.columns, "shard", "grown_shard", "slot"}
+        rows = out.collect()
+        assert len(rows) == len(odd_rows()) and all(r[n] == n for r in rows for n in names if n != "slot")
+        for s in range(3):
+            assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
+
+
+def test_mixing_with_many_sources(odd, monkeypatch):
+    """The same mix when the sources are too many to broadcast."""
+    few = sorted(map(repr, mixing.mix_documents(odd).collect())), sorted(map(repr, mixing.draw_mix(odd).collect()))
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 1)
+    assert (sorted(map(repr, mixing.mix_documents(odd).collect())), sorted(map(repr, mixing.draw_mix(odd).collect()))) == few
+
+
 def test_mixing(odd, none):
     rows = mixing.mix_documents(odd).collect()
     assert len(rows) == len(odd_rows())
