@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 
 from bazaarlake.llm import audit, neardup, registry, whitening
+from bazaarlake.llm.components import components
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, part string, mask int, mark binary, good boolean"
@@ -320,3 +321,26 @@ def test_neardup_odd(spark):
     assert got == sorted(expected, key=repr)
     assert neardup.near_duplicates(frame_of(spark, [])).count() == 0
     assert neardup.near_duplicates(frame_of(spark, [(1, None), (2, [])])).count() == 2
+
+
+# --- components -------------------------------------------------------------------------------------
+
+
+def test_components(spark):
+    """Paths, stars, cycles, random graphs, repeated links, loops and no links at all."""
+    rng = np.random.default_rng(4)
+    path = rng.permutation(60)
+    pairs = [(int(a), int(b)) for a, b in zip(path, path[1:], strict=False)]
+    pairs += [(100, i) for i in range(101, 140)] + [(300 + i, 300 + (i + 1) % 20) for i in range(20)] + [(500, 500), (501, 502), (501, 502), (502, 501)]
+    pairs += [(int(a), int(b)) for a, b in rng.integers(1000, 1200, size=(150, 2))]
+    label = {n: n for pair in pairs for n in pair}
+    while True:
+        before = dict(label)
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+        if label == before:
+            break
+    linked = {n for a, b in pairs if a != b for n in (a, b)}
+    found = components(spark.createDataFrame(pairs, "a long, b long").repartition(7)).collect()
+    assert {r.node: r.label for r in found} == {n: label[n] for n in linked} and len(found) == len(linked)
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
