@@ -603,6 +603,32 @@ _register(
         sample.uploads(t.spark, t.sf_dir), F.lit(_AS_OF), SOURCE_SYSTEMS, tuple(ENTITIES), MAX_FILE_BYTES
     ).select("reason", "source_file_name", "batch_id", "tmp_file_path")
 )
+# --- rows set aside ------------------------------------------------------------------------------
+
+
+def _set_aside(t: Tables) -> DataFrame:
+    """Rows that loaded and rows that were set aside, from an upload in which some rows have a cell too many."""
+    base = scratch_path(t.spark, "wide")
+    rows = sample.read(t.spark, t.sf_dir, "supplier").select(
+        F.expr("concat_ws(',', s_suppkey, '1', 'city', if(s_suppkey % 4 = 0, 'ST,surplus', 'ST'))").alias("value")
+    )
+    header = t.spark.range(1).select(F.lit(",".join(ENTITIES["sellers"].required_columns)).alias("value"))
+    lines = header.withColumn("at", F.lit(0)).unionByName(rows.withColumn("at", F.lit(1))).coalesce(1).sortWithinPartitions("at")
+    lines.select("value").write.text(f"{base}/tmp/source=olist/table=sellers/upload_id=wide")
+    lake = Lake(t.spark, f"{base}/lake")
+    ingest.ingest_landing(lake, base, "wide", _AS_OF, ingest.IngestOptions(wide_rows="quarantine"))
+    good = ingest.read_bronze(lake, "sellers").select(F.col("seller_id").alias("key"), F.lit(None).cast("string").alias("reason"))
+    bad = ingest.read_quarantine(lake).select(F.get_json_object("row", "$.seller_id").alias("key"), F.col("rejection_reason").alias("reason"))
+    return good.unionByName(bad)
+
+
+_tables(
+    "ingest_set_aside",
+    _set_aside,
+    """select cast(s_suppkey as varchar) as key, case when s_suppkey % 4 = 0 then 'more fields than the header' end as reason
+    from supplier""",
+)
+
 # --- operational queries ------------------------------------------------------------------------
 
 _tables("bronze_row_count", lambda t: reports.total_rows(t.bronze("orders")), "select count(*) as total_rows from bronze_orders")
