@@ -9,9 +9,9 @@ What keeps this from comparing everything with everything:
 1. Shingles are counted over the corpus. A document can only link if at least 75 % of its shingles occur in
    some other document, so all others are done. Copies that share a passage, but little else, end here too.
 2. Documents of one shingle set are one class with one point.
-3. Where classes share one of their few first shingles, each is linked to one of them, if the pair verifies; then so
-   are the components that meet at a shingle, by one class each. This settles most members of large groups of
-   near copies in linear work.
+3. Where classes share their first shingle, each is linked to one of them, if the pair verifies; then so are the
+   components that meet at one of a few first shingles, by one class each. This settles most members of large
+   groups of near copies in linear work: about one pair a class, of which a link a class stays as a forest.
 4. Two classes that link share a shingle among the first quarter of both, in the order of the hashes. Points
    meet where they share such a shingle and are not yet in one component. There the tree is built and searched.
 
@@ -36,7 +36,8 @@ SHINGLE = 5
 NEED, OF = 75, 100
 #: Groups of the tree's boxes; a point has as many more, by powers of two, as keep about two shingles in a group.
 GROUPS, MOST_GROUPS = 64, 8192
-STARS, ROUNDS = 12, 1
+#: First shingles at which classes, and then components, are linked by stars.
+STARS = (1, 12)
 TOKENS_PER_BUCKET = 2_000_000
 LEAF, FAN = 16, 8
 #: Bits of the map that spares most unwanted texts a shuffle: 16 MB, whatever the input.
@@ -281,6 +282,11 @@ def _named(heads: DataFrame, labels: DataFrame) -> DataFrame:
     return heads.join(labels, heads["cls"] == labels["node"], "left").select("token", "cls", F.coalesce("label", "cls").alias("label"))
 
 
+def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components after further links; what was found before goes in as one link a class."""
+    return components(links if labels is None else links.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
+
+
 def _between(named: DataFrame) -> DataFrame:
     """Pairs of one class per component that meets at a shingle with one of the component most present there.
 
@@ -391,15 +397,14 @@ def similar_classes(docs: DataFrame) -> DataFrame:
     sets = store(held.mapInArrow(tokens, "cls long, n long, tokens binary").dropDuplicates(["cls"]), "sets")
 
     points = store(_points(sets), "points")
-    few = store(_heads(sets, STARS), "few-heads")
-    links = store(_links(_between(few.withColumn("label", F.col("cls"))), sets, points), "links")
-    for _ in range(ROUNDS):
-        more = store(_links(_between(_named(few, components(links))), sets, points), "links")
-        links = links.union(more)
+    labels = None
+    for most in STARS:
+        few = _heads(sets, most)
+        named = few.withColumn("label", F.col("cls")) if labels is None else _named(few, labels)
+        labels = _joined(labels, store(_links(_between(named), sets, points), "links"))
     heads = store(_heads(sets), "heads")
     parts = tasks_for(spark, heads.count(), 50_000)
-    last = store(_links(_candidates(_named(heads, components(links)), points, parts), sets, points), "links")
-    labels = components(links.union(last))
+    labels = _joined(labels, store(_links(_candidates(_named(heads, labels), points, parts), sets, points), "links"))
     grouped = left.join(labels, left["cls"] == labels["node"], "left").select("cls", "least", F.coalesce("label", "cls").alias("label"))
     least = grouped.groupBy("label").agg(F.min("least").alias("component"))
     named = grouped.join(least, "label").select(F.col("cls").alias("_cls"), "component")
