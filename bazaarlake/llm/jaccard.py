@@ -12,8 +12,9 @@ What keeps this from comparing everything with everything:
 3. Where classes share their first shingle, each is linked to one of them, if the pair verifies; then so are the
    components that meet at one of a few first shingles, by one class each. This settles most members of large
    groups of near copies in linear work: about one pair a class, of which a link a class stays as a forest.
-4. Two classes that link share a shingle among the first quarter of both, in the order of the hashes. Points
-   meet where they share such a shingle and are not yet in one component. There the tree is built and searched.
+4. Two classes that link share a shingle among the first quarter of both, in any order common to all. Rare shingles
+   come first, so that passages of many documents bring few together. Points meet where they share such a
+   shingle and are not yet in one component. There the tree is built and searched.
 
 Links between classes that are in one component already are not looked for again; they can't change a result.
 """
@@ -39,7 +40,14 @@ GROUPS, MOST_GROUPS = 64, 8192
 #: First shingles at which classes, and then components, are linked by stars.
 STARS = (1, 12)
 TOKENS_PER_BUCKET = 2_000_000
+HEADS_PER_PART = 50_000
 LEAF, FAN = 16, 8
+#: Queries that walk a tree together, and points or boxes compared at once.
+QUERIES, BOUNDS = 256, 16_384
+#: Pairs of a part that are gathered, so that one that meets at many shingles is judged once.
+PAIRS = 1_000_000
+#: Shingles in at least FEW slices are frequent; about OFTEN of them are known to every task (9 MB).
+FEW, OFTEN = 4, 1_000_000
 #: Bits of the map that spares most unwanted texts a shuffle: 16 MB, whatever the input.
 MAP_BITS = 1 << 27
 
@@ -70,12 +78,15 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, text_key long, n_shingles long, cls long")
 
 
-def shared_shingles(docs: DataFrame, buckets: int) -> DataFrame:
-    """(``cls``, ``shared``): how many of a class's shingles occur in another document, or more.
+def shared_shingles(docs: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """(``cls``, ``shared``): how many of a class's shingles occur in another document, or more; and (``often``, ``times``).
 
     Shingles go to ``buckets`` by hash, packed by slice; what several documents of a slice share is known
     there already and goes on as one entry, so no bucket gets more than an entry per slice of a frequent
     shingle. Entries keep 40 bits of the hash; a chance agreement can only make the number larger.
+
+    ``often`` packs the upper 40 bits of the most frequent shingles of a bucket (`OFTEN` over all, one a bucket at
+    least) and ``times`` in how many slices they occur, as powers of two.
     """
     alone = 65535
 
@@ -117,7 +128,7 @@ def shared_shingles(docs: DataFrame, buckets: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(packed[0], pa.int32()), pa.array(packed[1], pa.int64()), *[pa.array(p, pa.binary()) for p in packed[2:]]], ["bucket", "slice", "marks", "tokens", "ref", "local"])
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows, keys, refs, names = [], [], [], []
+        rows, keys, refs, names, frequent = [], [], [], [], []
         for name, marks, tokens, ref, local in zip(pdf["slice"], pdf["marks"], pdf["tokens"], pdf["ref"], pdf["local"], strict=True):
             if marks:
                 rows.append((name % buckets, name, marks, b"", local))
@@ -132,12 +143,19 @@ def shared_shingles(docs: DataFrame, buckets: int) -> DataFrame:
             key, ref = key[order], ref[order]
             same = key[1:] == key[:-1]
             several = np.append(same, False) | np.append(False, same)
+            edge = np.flatnonzero(np.append(True, ~same))
+            times = np.diff(np.append(edge, len(key)))
+            top = np.flatnonzero(times >= FEW)
+            top = top[np.argsort(-times[top], kind="stable")][: max(1, OFTEN // buckets)]
+            levels = np.log2(times[top]).astype(np.uint8)
+            frequent.append((0, 0, b"", b"", b"", key[edge[top]].tobytes(), levels.tobytes()))
             found, number = np.unique(ref[several & ((ref & 65535) != alone)], return_counts=True)
             # Packed by groups of slices, which a second step sums up.
             slices, edge, size = np.unique(found >> 16, return_index=True, return_counts=True)
             for i, a, b in zip(slices, edge, edge + size, strict=True):
                 rows.append((names[i] % buckets, names[i], b"", (found[a:b] & 65535).astype(np.uint16).tobytes(), number[a:b].astype(np.int32).tobytes()))
-        return pd.DataFrame(rows, columns=["group", "slice", "marks", "ref", "number"])
+        rows = [(*r, None, None) for r in rows] + frequent
+        return pd.DataFrame(rows, columns=["group", "slice", "marks", "ref", "number", "often", "times"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         out_cls, out_shared = [], []
@@ -155,8 +173,34 @@ def shared_shingles(docs: DataFrame, buckets: int) -> DataFrame:
         return pd.DataFrame({"cls": np.concatenate(out_cls), "shared": np.concatenate(out_shared)})
 
     sent = docs.select("text").mapInArrow(send, "bucket int, slice long, marks binary, tokens binary, ref binary, local binary")
-    met = sent.groupBy("bucket").applyInPandas(meet, "group int, slice long, marks binary, ref binary, number binary")
-    return met.groupBy("group").applyInPandas(add, "cls long, shared long").groupBy("cls").agg(F.max("shared").alias("shared"))
+    met = sent.groupBy("bucket").applyInPandas(meet, "group int, slice long, marks binary, ref binary, number binary, often binary, times binary")
+    met = store(met, "shared")
+    parts = met.where("often IS NULL").drop("often", "times")
+    shared = parts.groupBy("group").applyInPandas(add, "cls long, shared long").groupBy("cls").agg(F.max("shared").alias("shared"))
+    return shared, met.where("often IS NOT NULL").select("often", "times")
+
+
+class Rarity:
+    """An order of shingles: by how often they occur, where they are frequent, then by hash.
+
+    Any order is right for `_prefix`, as long as all sets follow the same one; rare shingles first keep few classes at each.
+    """
+
+    def __init__(self, frequent: DataFrame):
+        rows = frequent.collect()
+        short = np.frombuffer(b"".join(r.often for r in rows), np.uint64)
+        level = np.frombuffer(b"".join(r.times for r in rows), np.uint8)
+        order = np.lexsort((level, short))
+        # Shingles that agree in 40 bits count as one.
+        last = np.append(short[order][1:] != short[order][:-1], True)[: len(order)]
+        self.short, self.level = short[order][last], level[order][last]
+
+    def levels(self, tokens: np.ndarray) -> np.ndarray:
+        if not len(self.short):
+            return np.zeros(len(tokens), np.uint8)
+        short = tokens >> np.uint64(24)
+        at = np.minimum(np.searchsorted(self.short, short), len(self.short) - 1)
+        return np.where(self.short[at] == short, self.level[at], 0).astype(np.uint8)
 
 
 def _prefix(size: int) -> int:
@@ -226,44 +270,70 @@ def _links(pairs: DataFrame, sets: DataFrame, points: DataFrame) -> DataFrame:
 
 
 class CountTree:
-    """R-tree over count vectors: leaves of points in the order of size and main counts, boxes of coordinate ranges above."""
+    """R-tree over count vectors: leaves of points in the order of size and main counts, boxes of coordinate ranges above.
 
-    def __init__(self, points: np.ndarray, size: np.ndarray):
+    Labels that many points bear lie together, so that boxes of one label alone are skipped by its own points.
+    """
+
+    def __init__(self, points: np.ndarray, size: np.ndarray, label: np.ndarray | None = None):
+        points = points.astype(np.int32)
+        label = np.arange(len(size)) if label is None else label
+        _, at, many = np.unique(label, return_inverse=True, return_counts=True)
         spread = points.std(axis=0).argsort()[::-1][:3]
-        self.order = np.lexsort((*[points[:, s] for s in spread], size))
-        self.points, self.size = points[self.order], size[self.order]
+        self.order = np.lexsort((*[points[:, s] for s in spread], size, np.where(many[at] >= LEAF, at, -1)))
+        self.points, self.size, self.label = points[self.order], size[self.order], at[self.order]
+        self.own = at
         self.levels = []
-        high, least, most = self.points, self.size, self.size
+        high, least, most, low_label, high_label = self.points, self.size, self.size, self.label, self.label
         while len(high) > 1 or not self.levels:
             cut = np.arange(0, len(high), LEAF if not self.levels else FAN)
             high, least, most = np.maximum.reduceat(high, cut), np.minimum.reduceat(least, cut), np.maximum.reduceat(most, cut)
-            self.levels.append((high, least, most))
-            if len(high) == 1:
-                break
+            low_label, high_label = np.minimum.reduceat(low_label, cut), np.maximum.reduceat(high_label, cut)
+            self.levels.append((high, least, most, low_label, high_label))
 
     @staticmethod
-    def _admits(bound: np.ndarray, size: int, least: np.ndarray, most: np.ndarray) -> np.ndarray:
+    def _admits(bound: np.ndarray, size: np.ndarray, least: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Whether ``bound`` shared shingles can link a set of ``size`` with one of ``least`` to ``most``."""
         small = np.maximum(least, -(-NEED * size // OF))
         fits = (small <= most) & (NEED * small <= OF * size)
         return fits & (OF * bound >= NEED * (size + small - bound))
 
+    def _pass(self, point: np.ndarray, size: np.ndarray, own: np.ndarray, query: np.ndarray, at: np.ndarray, level: tuple) -> np.ndarray:
+        """Which (``query``, ``at``) stay: sizes and labels first, then the bound, a bounded number at a time."""
+        high, least, most, low_label, high_label = level
+        mine, small = size[query], np.maximum(least[at], -(-NEED * size[query] // OF))
+        ok = (small <= most[at]) & (NEED * small <= OF * mine) & ~((low_label[at] == own[query]) & (high_label[at] == own[query]))
+        which = np.flatnonzero(ok)
+        for a in range(0, len(which), BOUNDS):
+            w = which[a : a + BOUNDS]
+            bound = np.minimum(high[at[w]], point[query[w]]).sum(axis=1)
+            ok[w] = self._admits(bound, size[query[w]], least[at[w]], most[at[w]])
+        return ok
+
     def search(self, point: np.ndarray, size: int) -> np.ndarray:
         """Positions (of the given order of points) whose bound admits a link."""
-        at = np.zeros(1, np.int64)
+        return self.search_all(point[None], np.array([size]), np.array([-1]))[1]
+
+    def search_all(self, point: np.ndarray, size: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, position in the given order of points) whose bound admits a link and whose labels differ."""
+        point = point.astype(np.int32)
+        query, at = np.arange(len(size)), np.zeros(len(size), np.int64)
         for depth in range(len(self.levels) - 1, -1, -1):
-            high, least, most = self.levels[depth]
-            ok = self._admits(np.minimum(high[at], point).sum(axis=1), size, least[at], most[at])
+            ok = self._pass(point, size, own, query, at, self.levels[depth])
             fan = LEAF if depth == 0 else FAN
             limit = len(self.points) if depth == 0 else len(self.levels[depth - 1][0])
-            at = (at[ok][:, None] * fan + np.arange(fan)).ravel()
-            at = at[at < limit]
-        ok = self._admits(np.minimum(self.points[at], point).sum(axis=1), size, self.size[at], self.size[at])
-        return self.order[at[ok]]
+            query, at = np.repeat(query[ok], fan), (at[ok][:, None] * fan + np.arange(fan)).ravel()
+            query, at = query[at < limit], at[at < limit]
+        ok = self._pass(point, size, own, query, at, (self.points, self.size, self.size, self.label, self.label))
+        return query[ok], self.order[at[ok]]
+
 
+def _heads(sets: DataFrame, most: int | None = None, rarity: Rarity | None = None) -> DataFrame:
+    """(``token``, ``cls``): the first shingles of which two linking sets share one, or ``most`` of them.
 
-def _heads(sets: DataFrame, most: int | None = None) -> DataFrame:
-    """(``token``, ``cls``): the first shingles of which two linking sets share one, or ``most`` of them."""
+    They are the first by hash, or by ``rarity``.
+    """
+    held = sets.sparkSession.sparkContext.broadcast(rarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -271,6 +341,10 @@ def _heads(sets: DataFrame, most: int | None = None) -> DataFrame:
             for low in range(0, batch.num_rows, 256):
                 tokens = [np.frombuffer(t.as_buffer(), np.uint64) for t in batch.column("tokens").slice(low, 256)]
                 count = [min(_prefix(len(t)), most or len(t)) for t in tokens]
+                if held.value is not None:
+                    ends = np.cumsum([len(t) for t in tokens])
+                    levels = np.split(held.value.levels(np.concatenate(tokens)), ends[:-1])
+                    tokens = [t[np.argsort(v, kind="stable")] if v.any() else t for t, v in zip(tokens, levels, strict=True)]
                 out = np.concatenate([t[:c] for t, c in zip(tokens, count, strict=True)])
                 yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64)), pa.array(np.repeat(cls[low : low + 256], count))], ["token", "cls"])
 
@@ -321,20 +395,33 @@ def _candidates(named: DataFrame, points: DataFrame, parts: int) -> DataFrame:
         token, owner = token[order], owner[order]
         own = [frozenset(t.tolist()) for t in tokens]
         fine = [np.frombuffer(p, np.uint16).astype(np.uint32) for p in pdf["point"]]
-        point = np.stack([_fold(p, GROUPS) for p in fine]).astype(np.int64)
-        found: list[tuple[int, int]] = []
+        point = np.stack([_fold(p, GROUPS) for p in fine]).astype(np.int32)
+        n = np.int64(len(cls))
+        found: set[tuple[int, int]] = set()
+
+        def judge(codes: list[np.ndarray]) -> None:
+            unique = np.unique(np.concatenate(codes)) if codes else np.zeros(0, np.int64)
+            for i, j in zip((unique // n).tolist(), (unique % n).tolist(), strict=True):
+                # A pair belongs to the part of the least shingle at which its classes meet.
+                if min(own[i] & own[j]) % parts == key[0]:
+                    both = _bound(fine[i], fine[j])
+                    if OF * both >= NEED * (int(size[i]) + int(size[j]) - both):
+                        found.add((int(cls[i]), int(cls[j])))
+
+        codes: list[np.ndarray] = []
         edge = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
         for a, b in zip(edge, np.append(edge[1:], len(token)), strict=True):
             block = owner[a:b]
-            tree = CountTree(point[block], size[block])
-            for i in block.tolist():
-                near = block[tree.search(point[i], int(size[i]))]
-                for j in near[(near > i) & (label[near] != label[i])].tolist():
-                    # A pair belongs to the first shingle at which its classes meet.
-                    if min(own[i] & own[j]) == token[a]:
-                        both = _bound(fine[i], fine[j])
-                        if OF * both >= NEED * (int(size[i]) + int(size[j]) - both):
-                            found.append((int(cls[i]), int(cls[j])))
+            tree = CountTree(point[block], size[block], label[block])
+            for low in range(0, len(block), QUERIES):
+                mine = block[low : low + QUERIES]
+                query, near = tree.search_all(point[mine], size[mine], tree.own[low : low + QUERIES])
+                i, j = mine[query], block[near]
+                codes.append((i * n + j)[j > i])
+                if sum(map(len, codes)) > PAIRS:
+                    judge(codes)
+                    codes = []
+        judge(codes)
         pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
@@ -369,7 +456,7 @@ def similar_classes(docs: DataFrame) -> DataFrame:
     total = rows.agg(F.sum("n_shingles")).first()[0]
     spark = docs.sparkSession
     buckets = max(1, -(-(total or 0) // TOKENS_PER_BUCKET))
-    shared = shared_shingles(docs, buckets)
+    shared, frequent = shared_shingles(docs, buckets)
     classes = (
         rows.where("n_shingles > 0")
         .groupBy("cls")
@@ -403,7 +490,7 @@ def similar_classes(docs: DataFrame) -> DataFrame:
         named = few.withColumn("label", F.col("cls")) if labels is None else _named(few, labels)
         labels = _joined(labels, store(_links(_between(named), sets, points), "links"))
     heads = store(_heads(sets), "heads")
-    parts = tasks_for(spark, heads.count(), 50_000)
+    parts = tasks_for(spark, heads.count(), HEADS_PER_PART)
     labels = _joined(labels, store(_links(_candidates(_named(heads, labels), points, parts), sets, points), "links"))
     grouped = left.join(labels, left["cls"] == labels["node"], "left").select("cls", "least", F.coalesce("label", "cls").alias("label"))
     least = grouped.groupBy("label").agg(F.min("least").alias("component"))
