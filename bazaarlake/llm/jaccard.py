@@ -489,7 +489,7 @@ def similar_classes(docs: DataFrame) -> DataFrame:
         few = _heads(sets, most)
         named = few.withColumn("label", F.col("cls")) if labels is None else _named(few, labels)
         labels = _joined(labels, store(_links(_between(named), sets, points), "links"))
-    heads = store(_heads(sets), "heads")
+    heads = store(_heads(sets, rarity=Rarity(frequent)), "heads")
     parts = tasks_for(spark, heads.count(), HEADS_PER_PART)
     labels = _joined(labels, store(_links(_candidates(_named(heads, labels), points, parts), sets, points), "links"))
     grouped = left.join(labels, left["cls"] == labels["node"], "left").select("cls", "least", F.coalesce("label", "cls").alias("label"))
