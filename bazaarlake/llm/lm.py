@@ -7,7 +7,8 @@ The tables of counts are partitioned by hash. The bigrams of the documents, pack
 first word, where they are counted and scored at once; what backs off goes on to the partition of the second word.
 Words above a set share of the corpus, of which there can be no more than one over that share, are sent along with
 their counts: they back off without a trip, and bigrams that begin with one are filed by the whole bigram, so that
-no partition gets all bigrams of a frequent word. Words are named by the upper 48 bits of their hash.
+no partition gets all bigrams of a frequent word. Words are named by the upper 48 bits of their hash, documents by
+their place in a slice; the sums of a slice meet again at the end.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -124,9 +126,11 @@ def _frequent(words: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray, n
     return rows["word"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64), rows["first"].to_numpy(np.int64)
 
 
-def _sums(mark: np.ndarray, value: np.ndarray) -> tuple[bytes, bytes]:
-    which, at = np.unique(mark, return_inverse=True)
-    return which.tobytes(), np.bincount(at, value, len(which)).tobytes()
+def _by_slice(names: np.ndarray, code: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """Sorted ``code`` (slice number and 16 bits of row) packed as slice names, entries of each and rows."""
+    number = code >> 16
+    edge = _edges(number)
+    return names[number[edge]].tobytes(), _pack_counts(_sizes(edge, len(code))), (code & 65535).astype(np.uint16).tobytes()
 
 
 def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, min_count: int = MIN_COUNT) -> DataFrame:
@@ -145,7 +149,7 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, min_count: int = M
     texts = docs.select(F.xxhash64("doc_id", "text").alias("mark"), "text")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = common.value[0]
+        frequent, number = common.value[0], TaskContext.get().partitionId() << 32
         for batch in batches:
             marks = batch.column("mark").to_numpy()
             for low, high, data, offsets in tx.slices(batch.column("text"), SLICE_BYTES):
@@ -153,81 +157,109 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, min_count: int = M
                 name = _word48(found)
                 ok = np.flatnonzero(found.row[1:] == found.row[:-1])
                 row, first, second = found.row[ok], name[ok], name[ok + 1]
-                order = np.lexsort((second, row, first))
+                order = np.lexsort((row, second, first))
                 row, first, second = row[order], first[order], second[order]
-                edge = _edges(first, row, second)
+                edge = _edges(first, second, row)
                 n = _sizes(edge, len(first))
                 row, first, second = row[edge], first[edge], second[edge]
                 place = np.where(np.isin(first, frequent), tx.mix(first * np.uint64(31) + second), first) % np.uint64(buckets)
-                columns: list[list] = [[] for _ in range(7)]
+                # Entries name a row of the slice; the slice's marks travel once.
+                columns: list[list] = [[number % buckets], [number], [marks[low:high].tobytes()], *[[b""] for _ in range(6)]]
                 for b, mine in _by_bucket(place.astype(np.int32)):
-                    named, ref = np.unique(marks[low:high][row[mine]], return_inverse=True)
-                    head = _edges(first[mine])
-                    parts = (b, named.tobytes(), ref.astype(np.uint16).tobytes(), _pack48(first[mine][head]), _pack_counts(_sizes(head, len(mine))), _pack48(second[mine]), _pack_counts(n[mine]))
+                    pair = _edges(first[mine], second[mine])
+                    f, s = first[mine][pair], second[mine][pair]
+                    head = _edges(f)
+                    parts = (
+                        b, number, b"", row[mine].astype(np.uint16).tobytes(), _pack48(f[head]), _pack_counts(_sizes(head, len(f))),
+                        _pack48(s), _pack_counts(_sizes(pair, len(mine))), _pack_counts(n[mine]),
+                    )
                     for column, part in zip(columns, parts, strict=True):
                         column.append(part)
-                yield _batch(columns, ["bucket", "marks", "ref", "first", "runs", "second", "n"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[2:]]],
+                    ["bucket", "slice", "marks", "ref", "first", "runs", "second", "many", "n"],
+                )
+                number += 1
 
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
         frequent, frequent_n, frequent_first = common.value
-        mark = np.concatenate([np.frombuffer(m, np.int64)[np.frombuffer(r, np.uint16)] for m, r in zip(pdf["marks"], pdf["ref"], strict=True)])
-        first = np.concatenate([np.repeat(_unpack48(f), _unpack_counts(r)) for f, r in zip(pdf["first"], pdf["runs"], strict=True)])
-        second = np.concatenate([_unpack48(s) for s in pdf["second"]])
-        n = np.concatenate([_unpack_counts(x) for x in pdf["n"]])
-        order = np.lexsort((second, first))
-        mark, first, second, n = mark[order], first[order], second[order], n[order]
-        edge = _edges(first, second)
-        pair = np.repeat(np.add.reduceat(n, edge), _sizes(edge, len(n))) if len(n) else n
-        edge = _edges(first)
-        begins = np.repeat(np.add.reduceat(n, edge), _sizes(edge, len(n))) if len(n) else n
-        if len(frequent):
-            at = np.minimum(np.searchsorted(frequent, first), len(frequent) - 1)
-            begins = np.where(frequent[at] == first, frequent_first[at], begins)
-        seen = pair >= min_count
-        value = np.where(seen, n * np.log(pair / np.maximum(begins, 1)), 0.0)
-        known = np.zeros(len(n), bool)
-        if len(frequent):
-            at = np.minimum(np.searchsorted(frequent, second), len(frequent) - 1)
-            known = ~seen & (frequent[at] == second)
-            value = np.where(known, n * np.log(backoff * frequent_n[at] / total), value)
-        done = seen | known
-        # One row of sums, and a row per partition of words to back off to.
-        columns: list[list] = [[] for _ in range(6)]
-        rest = np.flatnonzero(~done)
-        for b, mine in _by_bucket((second[rest] % np.uint64(buckets)).astype(np.int32)):
-            mine = rest[mine]
-            mine = mine[np.argsort(second[mine], kind="stable")]
-            named, ref = np.unique(mark[mine], return_inverse=True)
-            head = _edges(second[mine])
-            parts = (b, named.tobytes(), _pack_counts(ref), _pack48(second[mine][head]), _pack_counts(_sizes(head, len(mine))), _pack_counts(n[mine]))
+        whole = pdf["marks"].map(len) > 0
+        columns: list[list] = [[] for _ in range(7)]
+
+        def put(*parts: object) -> None:
             for column, part in zip(columns, parts, strict=True):
                 column.append(part)
-        names, sums = _sums(mark[done], value[done])
-        for column, part in zip(columns, (int(pdf["bucket"].iloc[0]), names, b"", b"", b"", sums), strict=True):
-            column.append(part)
-        return pd.DataFrame(dict(zip(["bucket", "marks", "ref", "word", "runs", "n"], columns, strict=True)))
+
+        for b, name, marks in zip(pdf["bucket"][whole], pdf["slice"][whole], pdf["marks"][whole], strict=True):
+            put(b, np.int64(name).tobytes(), b"", b"", b"", b"", marks)
+        own, pdf = int(pdf["bucket"].iloc[0]), pdf[~whole]
+        if len(pdf):
+            names = pdf["slice"].to_numpy(np.int64)
+            code = np.concatenate([np.frombuffer(r, np.uint16).astype(np.int64) + (k << 16) for k, r in enumerate(pdf["ref"])])
+            many = [_unpack_counts(m) for m in pdf["many"]]
+            first = np.concatenate([np.repeat(np.repeat(_unpack48(f), _unpack_counts(r)), m) for f, r, m in zip(pdf["first"], pdf["runs"], many, strict=True)])
+            second = np.concatenate([np.repeat(_unpack48(s), m) for s, m in zip(pdf["second"], many, strict=True)])
+            n = np.concatenate([_unpack_counts(x) for x in pdf["n"]])
+            order = np.lexsort((second, first))
+            code, first, second, n = code[order], first[order], second[order], n[order]
+            edge = _edges(first, second)
+            pair = np.repeat(np.add.reduceat(n, edge), _sizes(edge, len(n)))
+            edge = _edges(first)
+            begins = np.repeat(np.add.reduceat(n, edge), _sizes(edge, len(n)))
+            if len(frequent):
+                at = np.minimum(np.searchsorted(frequent, first), len(frequent) - 1)
+                begins = np.where(frequent[at] == first, frequent_first[at], begins)
+            seen = pair >= min_count
+            value = np.where(seen, n * np.log(pair / np.maximum(begins, 1)), 0.0)
+            known = np.zeros(len(n), bool)
+            if len(frequent):
+                at = np.minimum(np.searchsorted(frequent, second), len(frequent) - 1)
+                known = ~seen & (frequent[at] == second)
+                value = np.where(known, n * np.log(backoff * frequent_n[at] / total), value)
+            done = seen | known
+            # One row of sums, and a row per partition of words to back off to.
+            rest = np.flatnonzero(~done)
+            rest = rest[np.lexsort((second[rest], code[rest]))]
+            for b, mine in _by_bucket((second[rest] % np.uint64(buckets)).astype(np.int32)):
+                mine = rest[mine]
+                put(b, *_by_slice(names, code[mine]), _pack48(second[mine]), _pack_counts(n[mine]), b"")
+            which, at = np.unique(code[done], return_inverse=True)
+            put(own, *_by_slice(names, which), b"", np.bincount(at, value[done], len(which)).tobytes(), b"")
+        return pd.DataFrame(dict(zip(["bucket", "slices", "per", "ref", "word", "n", "marks"], columns, strict=True)))
 
     def back(words: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        marks, values = [], []
+        rows, slices, refs, values = [], [], [], []
         known = _unpack48(words["words"].iloc[0]) if len(words) else np.zeros(0, np.uint64)
         count = np.frombuffer(words["counts"].iloc[0], np.int64) if len(words) else np.zeros(0, np.int64)
-        for names, ref, word, runs, n in zip(asked["marks"], asked["ref"], asked["word"], asked["runs"], asked["n"], strict=True):
+        for names, per, ref, word, n, marks in zip(asked["slices"], asked["per"], asked["ref"], asked["word"], asked["n"], asked["marks"], strict=True):
             names = np.frombuffer(names, np.int64)
-            if not ref:
-                marks.append(names)
-                values.append(np.frombuffer(n, np.float64))
+            if marks:
+                rows.append((int(names[0]), b"", b"", marks))
                 continue
-            share = np.log(backoff * count[np.searchsorted(known, _unpack48(word))] / total)
-            marks.append(names[_unpack_counts(ref)])
-            values.append(np.repeat(share, _unpack_counts(runs)) * _unpack_counts(n))
-        if not marks:
-            return pd.DataFrame({"mark": np.zeros(0, np.int64), "value": np.zeros(0)})
-        which, at = np.unique(np.concatenate(marks), return_inverse=True)
-        return pd.DataFrame({"mark": which, "value": np.bincount(at, np.concatenate(values), len(which))})
-
-    pairs = texts.mapInArrow(send, "bucket int, marks binary, ref binary, first binary, runs binary, second binary, n binary")
-    scored = pairs.groupBy("bucket").applyInPandas(score, "bucket int, marks binary, ref binary, word binary, runs binary, n binary")
-    sums = words.groupBy("bucket").cogroup(scored.groupBy("bucket")).applyInPandas(back, "mark long, value double").groupBy("mark").agg(F.sum("value").alias("value"))
+            slices.append(np.repeat(names, _unpack_counts(per)))
+            refs.append(np.frombuffer(ref, np.uint16).astype(np.int64))
+            values.append(np.log(backoff * count[np.searchsorted(known, _unpack48(word))] / total) * _unpack_counts(n) if word else np.frombuffer(n, np.float64))
+        if slices:
+            names, at = np.unique(np.concatenate(slices), return_inverse=True)
+            which, at = np.unique((at << 16) + np.concatenate(refs), return_inverse=True)
+            sums = np.bincount(at, np.concatenate(values), len(which))
+            edge = _edges(which >> 16)
+            for a, size in zip(edge, _sizes(edge, len(which)), strict=True):
+                rows.append((int(names[which[a] >> 16]), (which[a : a + size] & 65535).astype(np.uint16).tobytes(), sums[a : a + size].tobytes(), b""))
+        return pd.DataFrame(rows, columns=["slice", "ref", "value", "marks"])
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        mark = np.frombuffer(next(m for m in pdf["marks"] if m), np.int64)
+        value = np.zeros(len(mark))
+        for ref, part in zip(pdf["ref"], pdf["value"], strict=True):
+            value[np.frombuffer(ref, np.uint16)] += np.frombuffer(part, np.float64)
+        return pd.DataFrame({"mark": mark, "value": value})
+
+    pairs = texts.mapInArrow(send, "bucket int, slice long, marks binary, ref binary, first binary, runs binary, second binary, many binary, n binary")
+    scored = pairs.groupBy("bucket").applyInPandas(score, "bucket int, slices binary, per binary, ref binary, word binary, n binary, marks binary")
+    met = words.groupBy("bucket").cogroup(scored.groupBy("bucket")).applyInPandas(back, "slice long, ref binary, value binary, marks binary")
+    # Repeated rows have equal texts and therefore equal sums.
+    sums = met.groupBy("slice").applyInPandas(add, "mark long, value double").groupBy("mark").agg(F.max("value").alias("value"))
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,13 +268,11 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, min_count: int = M
                 yield pa.RecordBatch.from_arrays([batch.column(c).slice(low, high - low) for c in (0, 1)] + [pa.array(count.astype(np.int64))], ["doc_id", "_mark", "n_words"])
 
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("_mark"), "text").mapInArrow(lengths, f"doc_id {kind}, _mark long, n_words long")
-    # Repeated rows put their sums under one mark; each gets its share.
-    times = texts.groupBy("mark").agg(F.count("*").alias("_times")).withColumnRenamed("mark", "_mark")
-    return rows.join(times, "_mark").join(sums, F.col("_mark") == sums["mark"], "left").select(
+    return rows.join(sums, F.col("_mark") == sums["mark"], "left").select(
         "doc_id",
         "n_words",
-        F.round(F.coalesce(F.col("value") / F.col("_times"), F.lit(0.0)), 6).alias("log_score"),
-        F.round(F.when(F.col("n_words") > 1, F.col("value") / F.col("_times") / (F.col("n_words") - 1)), 6).alias("score"),
+        F.round(F.coalesce("value", F.lit(0.0)), 6).alias("log_score"),
+        F.round(F.when(F.col("n_words") > 1, F.col("value") / (F.col("n_words") - 1)), 6).alias("score"),
     )
 
 
