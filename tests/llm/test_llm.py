@@ -312,6 +312,44 @@ def test_decontamination_brute_force(step, monkeypatch):
     assert got == expected and sum(map(len, expected)) > 80
 
 
+@pytest.mark.parametrize("votes, windows", [(1 << 12, 1 << 9), (7, 3)])
+def test_fingerprints_find_windows(votes, windows, monkeypatch):
+    """The search by fingerprints against the sliding sum over all pairs: edited, reordered, cut, repeated and related items."""
+    monkeypatch.setattr(decontamination, "VOTES_PER_STEP", votes)
+    monkeypatch.setattr(decontamination, "WINDOWS_PER_STEP", windows)
+    rng = np.random.default_rng(9)
+    some = lambda n, kind="w": [f"{kind}{x}" for x in rng.integers(0, 5000, n)]
+    items, texts = [], ["", "w1 w2", "two words", "a b c d e " * 9, "two words " * 30]
+    for family in range(24):
+        base = some(int(rng.integers(15, 90)))
+        for j in range(1 + family % 4):
+            own = [*base]
+            own[5 + j] = f"only{j}"
+            items.append(own)
+    for own in items:
+        half = len(own) // 2
+        texts.append(" ".join(some(25, "x") + own + some(25, "x")))
+        texts.append(" ".join(own + own[::-1] + own))
+        texts.append(" ".join(some(25, "x") + own[half:] + own[:half] + items[0]))
+        for edits in (1, 2, 3):
+            new = [*own]
+            for at in rng.integers(0, len(own), edits):
+                new[at] = "edit"
+            texts.append(" ".join(some(9, "x") + new[edits:] + some(9, "x")))
+    items = [" ".join(i) for i in items] + ["two words", "a b c d e " * 6, "..."]
+    held = decontamination.Benchmark.of(list(range(len(items))), items)
+    value, count = np.unique(np.concatenate([np.unique(held.value[a : a + n]) for a, n in zip(held.first, held.count, strict=True)]), return_counts=True)
+    held = held.weigh(dict(zip(value.tolist(), count.tolist(), strict=True)))
+    data = [t.encode() for t in texts]
+    whole = (np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    every, got = (set(zip(*(x.tolist() for x in f(*whole)), strict=True)) for f in (held.match, held.search))
+    assert got <= every and len(every) > 250
+    assert len(got) >= 0.95 * len(every)
+    assert {d for d, *_ in got} == {d for d, *_ in every}
+    whole_items = {(d, i) for d, t in enumerate(texts) for i, item in enumerate(items[:-3]) if f" {item} " in f" {t} "}
+    assert whole_items <= {(d, i) for d, i, _ in got}
+
+
 def test_grammar_reads_clauses():
     read = lambda kinds: [r for r, _ in toxicity.Grammar.read(kinds, [1.0] * len(kinds))]
     I, T, Y, N, R, o = toxicity.INSULT, toxicity.THREAT, toxicity.TARGET, toxicity.NEGATION, toxicity.REPORT, toxicity.OTHER  # noqa: E741
