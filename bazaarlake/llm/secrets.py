@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from bazaarlake.llm.storage import store
 
 MAX_SPELLINGS = 64
+#: Matches of a text whose positions are summed together.
+PART = 256
 
 
 @dataclass(frozen=True)
@@ -132,19 +134,28 @@ def spans(text: Column, rule: Rule) -> Column:
             F.length(z["gap"]).alias("gap"), F.length(z["match"]).alias("size"), (F.length(z["inner"]) >= rule.least).alias("ok")
         ),
     )
-    none = F.array().cast("array<struct<start:int,end:int,ok:boolean>>")
+    none = F.array().cast("array<struct<start:int,end:int>>")
     start = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
     def follow(state: Column, piece: Column) -> Column:
         begin = state["at"] + piece["gap"]
         end = begin + piece["size"]
-        return F.struct(
-            end.alias("at"),
-            F.concat(state["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), piece["ok"].alias("ok")))).alias("out"),
-        )
-
-    found = F.aggregate(pieces, start, follow, lambda state: state["out"])
-    return F.transform(F.filter(found, lambda s: s["ok"]), lambda s: F.struct(s["start"], s["end"]))
+        more = F.concat(state["out"], F.array(F.struct(begin.alias("start"), end.alias("end"))))
+        return F.struct(end.alias("at"), F.when(piece["ok"], more).otherwise(state["out"]).alias("out"))
+
+    def join(state: Column, part: Column) -> Column:
+        moved = F.transform(part["out"], lambda s: F.struct((s["start"] + state["at"]).alias("start"), (s["end"] + state["at"]).alias("end")))
+        return F.struct((state["at"] + part["at"]).alias("at"), F.concat(state["out"], F.array(moved)).alias("out"))
+
+    def in_parts(pieces: Column) -> Column:
+        # Growing an array copies it, so sums run over parts of a fixed length and then over the parts.
+        firsts = F.sequence(F.lit(0), F.floor(F.size(pieces) / PART).cast("int"))
+        parts = F.transform(firsts, lambda n: F.aggregate(F.slice(pieces, n * PART + 1, F.lit(PART)), start, follow))
+        empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<start:int,end:int>>>").alias("out"))
+        return F.aggregate(parts, empty, join, lambda state: F.flatten(state["out"]))
+
+    # An array of one element, so that the pieces are made once and not once per part.
+    return F.flatten(F.transform(F.array(pieces), in_parts))
 
 
 def _tagged(found: Column, order: int, name: str) -> Column:

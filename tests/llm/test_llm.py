@@ -3,6 +3,7 @@
 import glob
 import hashlib
 import os
+import re
 import zlib
 
 import duckdb
@@ -139,6 +140,18 @@ def test_secrets_odd(odd, none):
     assert secrets.scan(none).count() == 0
 
 
+def test_secrets_many_in_one_text(spark):
+    """More matches than a part of the sums holds, at its edges and some too short, against the standard regular expressions."""
+    texts = {n: " é".join(f"token={'k' * (4 + i % 9)} AKIA{'Z' * (8 + i % 7)}" for i in range(n)) for n in (0, 1, 255, 256, 257, 512, 3000)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for r in secrets.scan(docs).collect():
+        expected = []
+        for rank, rule in enumerate(secrets.BASE):
+            found = re.finditer(rule.pattern, texts[r.doc_id])
+            expected += [(m.start(), rank, m.end(), rule.name) for m in found if len(m.group(rule.group)) >= rule.least]
+        assert [tuple(f) for f in r.found] == sorted(expected)
+
+
 def test_suffix_order():
     rng = np.random.default_rng(1)
     for _ in range(400):
