@@ -1,8 +1,9 @@
 """Exact Jaccard join of documents on five-word shingles, through an R-tree of count vectors.
 
 Shingles are hashed to groups; the counts per group make a document a point, and the sum of the coordinate
-minima of two points bounds how many shingles the documents share. A tree of boxes over the points finds all
-points whose bound admits a link, box by box, and the surviving pairs are verified on the shingle sets.
+minima of two points bounds how many shingles the documents share. A tree of boxes over coarse points finds all
+points whose bound admits a link, box by box; points of 65,536 groups, which few unlinked pairs pass, are compared
+in the same task, and what is left is verified on the shingle sets.
 
 What keeps this from comparing everything with everything:
 
@@ -35,8 +36,8 @@ from bazaarlake.llm.storage import store, tasks_for
 
 SHINGLE = 5
 NEED, OF = 75, 100
-#: Groups of the tree's boxes; a point has as many more, by powers of two, as keep about two shingles in a group.
-GROUPS, MOST_GROUPS = 64, 8192
+#: Groups of the tree's boxes and of the points, which are written as the sorted groups of their shingles (2 bytes each).
+GROUPS, FINE_GROUPS = 64, 65_536
 #: First shingles at which classes, and then components, are linked by stars.
 STARS = (1, 12)
 TOKENS_PER_BUCKET = 2_000_000
@@ -209,38 +210,37 @@ def _prefix(size: int) -> int:
 
 
 def _point(tokens: np.ndarray) -> np.ndarray:
-    """Counts of a set's shingles per group; folding a point in half gives the point of half as many groups."""
-    groups = GROUPS
-    while groups < MOST_GROUPS and groups * 2 <= len(tokens):
-        groups *= 2
-    return np.bincount((tokens % np.uint64(groups)).astype(np.int64), minlength=groups).astype(np.uint32)
+    """The group of each shingle of a set, in order: its counts per group in a short form."""
+    return np.sort((tokens % np.uint64(FINE_GROUPS)).astype(np.uint16))
 
 
-def _fold(point: np.ndarray, groups: int) -> np.ndarray:
-    return point if len(point) == groups else point.reshape(-1, groups).sum(axis=0, dtype=np.uint32)
+def _coarse(point: np.ndarray) -> np.ndarray:
+    """Counts of the groups of the tree, of which each holds a fixed part of the groups of a point."""
+    return np.bincount(point % GROUPS, minlength=GROUPS).astype(np.int32)
+
+
+def _numbered(point: np.ndarray) -> np.ndarray:
+    """A point as distinct numbers: the k-th shingle of a group is told from the others."""
+    first = np.searchsorted(point, point)
+    return (point.astype(np.int64) << 32) | (np.arange(len(point)) - first)
 
 
 def _bound(x: np.ndarray, y: np.ndarray) -> int:
-    """At most so many shingles are in both sets: the sum of the coordinate minima."""
-    groups = min(len(x), len(y))
-    return int(np.minimum(_fold(x, groups), _fold(y, groups)).sum())
+    """At most so many shingles are in both sets: the sum of the coordinate minima of two numbered points."""
+    return len(np.intersect1d(x, y, assume_unique=True))
 
 
 def _points(sets: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [_point(np.frombuffer(t.as_buffer(), np.uint64)).astype(np.uint16).tobytes() for t in batch.column("tokens")]
+            out = [_point(np.frombuffer(t.as_buffer(), np.uint64)).tobytes() for t in batch.column("tokens")]
             yield pa.RecordBatch.from_arrays([batch.column("cls"), batch.column("n"), pa.array(out, pa.binary())], ["cls", "n", "point"])
 
     return sets.mapInArrow(run, "cls long, n long, point binary")
 
 
-def _unpacked(point: pa.Scalar) -> np.ndarray:
-    return np.frombuffer(point.as_buffer(), np.uint16).astype(np.uint32)
-
-
-def _links(pairs: DataFrame, sets: DataFrame, points: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``) of classes whose sets reach the similarity; the points sort out most others first."""
+def _links(pairs: DataFrame, sets: DataFrame, points: DataFrame | None = None) -> DataFrame:
+    """The pairs (``a``, ``b``) of classes whose sets reach the similarity; ``points``, if given, sort out most others first."""
 
     def filtered(test):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,9 +252,9 @@ def _links(pairs: DataFrame, sets: DataFrame, points: DataFrame) -> DataFrame:
         return run
 
     def may(x: pa.Scalar, y: pa.Scalar) -> bool:
-        x, y = _unpacked(x), _unpacked(y)
-        both = _bound(x, y)
-        return bool(OF * both >= NEED * (int(x.sum()) + int(y.sum()) - both))
+        x, y = np.frombuffer(x.as_buffer(), np.uint16), np.frombuffer(y.as_buffer(), np.uint16)
+        both = _bound(_numbered(x), _numbered(y))
+        return OF * both >= NEED * (len(x) + len(y) - both)
 
     def do(x: pa.Scalar, y: pa.Scalar) -> bool:
         x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
@@ -266,7 +266,7 @@ def _links(pairs: DataFrame, sets: DataFrame, points: DataFrame) -> DataFrame:
         y = of.select(F.col("cls").alias("b"), F.col(column).alias("y"))
         return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(filtered(test), "a long, b long")
 
-    return joined(joined(pairs, points, "point", may), sets, "tokens", do)
+    return joined(pairs if points is None else joined(pairs, points, "point", may), sets, "tokens", do)
 
 
 class CountTree:
@@ -394,8 +394,9 @@ def _candidates(named: DataFrame, points: DataFrame, parts: int) -> DataFrame:
         order = np.lexsort((owner, token))
         token, owner = token[order], owner[order]
         own = [frozenset(t.tolist()) for t in tokens]
-        fine = [np.frombuffer(p, np.uint16).astype(np.uint32) for p in pdf["point"]]
-        point = np.stack([_fold(p, GROUPS) for p in fine]).astype(np.int32)
+        fine = [np.frombuffer(p, np.uint16) for p in pdf["point"]]
+        point = np.stack([_coarse(p) for p in fine])
+        fine = [_numbered(p) for p in fine]
         n = np.int64(len(cls))
         found: set[tuple[int, int]] = set()
 
@@ -491,7 +492,7 @@ def similar_classes(docs: DataFrame) -> DataFrame:
         labels = _joined(labels, store(_links(_between(named), sets, points), "links"))
     heads = store(_heads(sets, rarity=Rarity(frequent)), "heads")
     parts = tasks_for(spark, heads.count(), HEADS_PER_PART)
-    labels = _joined(labels, store(_links(_candidates(_named(heads, labels), points, parts), sets, points), "links"))
+    labels = _joined(labels, store(_links(_candidates(_named(heads, labels), points, parts), sets), "links"))
     grouped = left.join(labels, left["cls"] == labels["node"], "left").select("cls", "least", F.coalesce("label", "cls").alias("label"))
     least = grouped.groupBy("label").agg(F.min("least").alias("component"))
     named = grouped.join(least, "label").select(F.col("cls").alias("_cls"), "component")

@@ -51,3 +51,17 @@ def test_jaccard_many_buckets_and_parts(spark, monkeypatch):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_join(docs).collect()}
     assert got == {i: (len(s), find(i)) for i, s in enumerate(sets)}
     assert 1 < len({c for _, c in got.values()}) < len(texts)
+
+
+def test_near_but_unlinked_sets_send_few_pairs(spark):
+    """Sets that share 68 % meet at many shingles; hardly a pair of them may leave the tree, and all links must."""
+    rng = np.random.default_rng(5)
+    shared = rng.integers(0, 1 << 63, 170, dtype=np.uint64)
+    sets = [np.unique(np.append(shared, rng.integers(0, 1 << 63, 40, dtype=np.uint64))) for _ in range(60)]
+    sets += [np.unique(np.append(s[:-1], rng.integers(0, 1 << 63, 1, dtype=np.uint64))) for s in sets[:5]]
+    rows = [(i, len(s), bytearray(s.tobytes())) for i, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "cls long, n long, tokens binary").repartition(4)
+    named = jaccard._heads(df).selectExpr("token", "cls", "cls as label")
+    pairs = {tuple(r) for r in jaccard._candidates(named, jaccard._points(df), 3).collect()}
+    assert {(i, 60 + i) for i in range(5)} <= pairs
+    assert len(pairs) <= len(sets)
