@@ -7,8 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bazaarlake import registry
 from bazaarlake.contracts import AUDIT_LOGS, ENTITIES, bronze_schema
 from bazaarlake.plans import gold, marts, quality, silver
+from bazaarlake.session import materialize
+from bazaarlake.sources import sample
 
 DAY = dt.datetime(2024, 1, 1)
 
@@ -241,3 +244,29 @@ def test_hot_order_is_split_at_run_time(spark, tmp_path):
         for key in settings:
             spark.conf.unset(key)
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_large_sample_tables_are_dealt_to_more_tasks_than_cores(spark, rows, tmp_path, monkeypatch):
+    spark.range(90).selectExpr("id as a", "id % 7 as b").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    few = sample.read_spread(spark, str(tmp_path), "orders", "a", "b")
+    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(sample, "ROWS_PER_TASK", 3, raising=False)
+    many = sample.read_spread(spark, str(tmp_path), "orders", "a", "b")
+    assert many.rdd.getNumPartitions() == 30
+    assert rows(many) == rows(few) == sorted(((i, i % 7) for i in range(90)), key=repr)
+
+
+def test_gold_tests_deduplicate_each_raw_table_once(spark, monkeypatch):
+    raw = {e: bronze(spark, e, {c: "1" for c in ENTITIES[e].required_columns}) for e in ENTITIES}
+    for e in ENTITIES:
+        monkeypatch.setitem(sample.BRONZE, e, lambda spark, sf_dir, e=e: raw[e])
+    deduplicated = []
+
+    def recorded(df, name="step"):
+        if "row_number()" in df._jdf.queryExecution().analyzed().toString():
+            deduplicated.append(name)
+        return materialize(df, name)
+
+    monkeypatch.setattr(registry, "materialize", recorded)
+    registry.QUERIES["dq_gold_results"](spark, "unused")
+    assert sorted(deduplicated) == sorted(f"silver_{e}" for e in ENTITIES)
