@@ -6,8 +6,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from bazaarlake import registry
 from bazaarlake.contracts import ENTITIES, SOURCE_SYSTEMS
 from bazaarlake.plans import ingest, pipeline, quality
+from bazaarlake.session import shared_dir
 from bazaarlake.sources import landing
 from bazaarlake.sources.landing import UploadRequest
 
@@ -494,3 +496,70 @@ def test_gold_waits_for_silver(lake, root):
     with pytest.raises(quality.QualityGateError, match="order_status accepted_values"):
         pipeline.refresh(lake, AT)
     assert not lake.exists("gold", "fact_orders")
+
+
+def _bytes_below(*folders):
+    """Bytes on disk; a file of two names counts once."""
+    met = {}
+    for folder in folders:
+        for place, _, names in os.walk(folder):
+            met |= {(s := os.lstat(f"{place}/{n}")).st_ino: s.st_size for n in names}
+    return sum(met.values())
+
+
+def test_rows_are_written_once(lake, root, rows):
+    """Besides the raw table nothing holds the rows: an ingest leaves little scratch, and a repeated one replaces its partition."""
+    spark = lake.spark
+    shared = shared_dir(spark)
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    digest = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(20_000)]
+    good = put(root, "sellers", "many", "m.csv", SELLERS + "".join(f"{d},1,{d[:30]},ST\n" for d in digest))
+    other = put(root, "sellers", "rated", "r.csv", "Rating," + SELLERS + "5,x,1,a,A\n")
+    lower = put(root, "sellers", "again", "a.csv", "rating,more," + SELLERS + "6,y,z,1,a,A\n")
+    for _ in range(2):
+        ingest.ingest_batch(lake, root, [good, other, lower], "i1", AT)
+        assert ingest.read_bronze(lake, "sellers").count() == 20_002
+    found = ingest.read_bronze(lake, "sellers").where("batch_id <> 'many'")
+    assert rows(found, "batch_id", "rating", "more", "ingest_id") == [("again", "6", "y", "i1"), ("rated", "5", None, "i1")]
+    table = lake.path("bronze", "bronze_sellers")
+    assert not [n for n in os.listdir(table) if n.startswith("_next")]
+    scratch = [f"{shared}/{n}" for n in set(os.listdir(shared)) - before]
+    assert _bytes_below(*scratch) < _bytes_below(table) / 4
+
+
+def test_landing_and_ingest_leave_no_scratch(spark, tmp_path):
+    """The registered ingest keeps the landing zone, the lake and the results; the repeated delivery takes no disk, the raw copies are files of their own."""
+    sf, day = str(tmp_path / "sf"), dt.datetime(1997, 3, 4)
+    tables = {
+        "region": ("r_regionkey int, r_name string", [(0, "ASIA")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(0, "CHINA", 0)]),
+        "customer": ("c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string", [(i, f"c{i}", 0, 1.0, "BUILDING") for i in range(4)]),
+        "supplier": ("s_suppkey long, s_name string, s_nationkey int, s_acctbal double", [(i, f"s{i}", 0, 1.0) for i in range(4)]),
+        "part": ("p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double", [(i, f"p{i}", "Brand#1", "SMALL", 7, 2.5) for i in range(4)]),
+        "orders": (
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+            [(i, i % 4, "P", 10.0, day, "1-URGENT") for i in range(40)],
+        ),
+        "lineitem": (
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_tax double, l_returnflag string, l_shipdate timestamp_ntz",
+            [(i // 2, i % 4, i % 4, i % 2, 3.0, 20.0, 0.01, "N", day) for i in range(80)],
+        ),
+    }
+    for name, (schema, content) in tables.items():
+        spark.createDataFrame(content, schema).write.parquet(f"{sf}/{name}.parquet")
+    shared = shared_dir(spark)
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    steps = registry.QUERIES["rows_loaded"](spark, sf)
+    assert {r.table_name: r.row_count for r in steps.collect()} == {
+        "orders": 80, "customers": 8, "order_items": 80, "products": 12, "payments": 120, "sellers": 8
+    }
+    left = {n.rpartition("-")[0]: f"{shared}/{n}" for n in set(os.listdir(shared)) - before}
+    assert left.keys() == {"landing", "ingest"}
+
+    def upload(zone, batch):
+        found = {n: os.stat(f"{place}/{n}") for place, _, names in os.walk(f"{left['landing']}/{zone}") for n in names if f"={batch}" in place and n.endswith(".csv")}
+        return {n: s.st_ino for n, s in found.items()}, {s.st_nlink for s in found.values()}
+
+    good, again, raw = upload("tmp", "orders_good"), upload("tmp", "orders_repeat"), upload("raw", "orders_good")
+    assert good[0] and again[0] == good[0]
+    assert raw[0].keys() == good[0].keys() and raw[1] == {1}
