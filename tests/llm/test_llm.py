@@ -8,11 +8,14 @@ import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bazaarlake.llm import ann, decontamination, jaccard, lm, mixing, quality, registry, secrets, sharding, substrings, suffixes, toxicity
+from bazaarlake.llm import text as tx
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 WORDS = "the old mill by the river stood still while the rain fell on the quiet town and nobody came to see".split()
@@ -214,6 +217,31 @@ def test_hot_anchors_over_several_buckets(spark, monkeypatch):
         assert sorted((r.doc_id, r.h) for r in got) == removed(rows, 50)
 
 
+def test_contexts_travel_by_pack():
+    """A pack of texts of several slices sends one row to a bucket, and one for what it settled itself."""
+    rng = np.random.default_rng(5)
+    passage = "".join(rng.choice(list("abcdefgh"), 400))
+    texts = ["".join(rng.choice(list("ijklmnop"), 4_000)) + passage[k % 200 :] for k in range(1_000)]
+    column = pa.array(texts, pa.string())
+    lists = []
+    for text in texts:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        lists.append(np.unique(substrings.Anchors(raw, np.array([0, len(raw)])).hash >> np.uint64(24)).tobytes())
+    names = ["mark", "doc_id", "text", "shared", "hot"]
+    ids = np.arange(len(texts))
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids), column, pa.array(lists, pa.binary()), pa.array([b""] * len(texts), pa.binary())], names)
+    assert column.nbytes > 3 * tx.SLICE_BYTES
+    sent = pa.Table.from_batches(list(substrings._contexts(50, 40)(iter([batch])))).to_pandas()
+    assert len(sent) <= 41 and set(sent["bucket"]) == set(range(40))
+    parts = pd.concat([substrings._resolve(50, 3)(rows) for _, rows in sent.groupby("bucket")])
+    assert len(parts) <= 40 * 3
+    found = pd.concat([substrings._stretches_of_documents(rows) for _, rows in parts.groupby("group")])
+    gone = {m: sum(np.frombuffer(high, np.int64) - np.frombuffer(low, np.int64)) for m, low, high in found.itertuples(index=False)}
+    assert len(gone) == len(found) == len(texts) - 1
+    # The first text has the whole passage, so each other one loses what it has of it; later ones may share a byte before it.
+    assert [gone.get(k, 0) for k in range(200)] == [0, *[400 - k for k in range(1, 200)]]
+
+
 def test_substrings_odd(odd):
     got = substrings.remove_repeats(odd).withColumn("h", F.sha2("kept", 256)).collect()
     assert sorted((2**63 if r.doc_id is None else r.doc_id, r.h) for r in got) == removed([r[:2] for r in odd_rows()], 50)
